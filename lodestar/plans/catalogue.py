@@ -82,3 +82,60 @@ QUERIES: dict[str, Query] = {
     "triple_support": q_triple_support,
     "triple_rules": q_triple_rules,
 }
+
+
+# -- graphs -----------------------------------------------------------------
+
+from lodestar.operators import graph as G  # noqa: E402
+
+RANK_DIGITS = 10
+
+
+def _g1_friends(spark, sf_dir):
+    return S.undirected(S.succession_graph(spark, sf_dir, "purchase"))
+
+
+def _g2(spark, sf_dir):
+    return S.succession_graph(spark, sf_dir)
+
+
+def q_friends_symmetric(spark, sf_dir):
+    return G.recommend_friends(_g1_friends(spark, sf_dir), 10, "symmetric")
+
+
+def q_friends_list_order(spark, sf_dir):
+    return G.recommend_friends_text(_g1_friends(spark, sf_dir), 10, "list_order")
+
+
+def q_pagerank_edge(spark, sf_dir):
+    ranks = G.pagerank_edge(_g2(spark, sf_dir), rounds=10, damping=0.85)
+    return ranks.select("page", F.round("rank", RANK_DIGITS).alias("rank"))
+
+
+def _power_ranks(spark, sf_dir):
+    ranks = G.pagerank_power(_g2(spark, sf_dir), rounds=40, beta=0.8)
+    return ranks.select("page", F.round("rank", RANK_DIGITS).alias("rank"))
+
+
+def q_pagerank_power(spark, sf_dir):
+    return _power_ranks(spark, sf_dir)
+
+
+def q_hits_scores(spark, sf_dir):
+    hs = G.hits(_g2(spark, sf_dir), rounds=40)
+    return hs.select("page", F.round("hub", RANK_DIGITS).alias("hub"),
+                     F.round("authority", RANK_DIGITS).alias("authority"))
+
+
+def q_rank_extremes(spark, sf_dir):
+    return G.rank_extremes(_power_ranks(spark, sf_dir), "rank", "page", 5)
+
+
+QUERIES.update({
+    "friends_symmetric": q_friends_symmetric,
+    "friends_list_order": q_friends_list_order,
+    "pagerank_edge": q_pagerank_edge,
+    "pagerank_power": q_pagerank_power,
+    "hits_scores": q_hits_scores,
+    "rank_extremes": q_rank_extremes,
+})

@@ -59,3 +59,100 @@ ORACLES: dict[str, str] = {
               UNION ALL SELECT item_b, item_c, item_a, n FROM ft) r
         JOIN fp ON fp.item_a = r.x AND fp.item_b = r.y""",
 }
+
+
+# -- graphs -----------------------------------------------------------------
+
+RANK_DIGITS = 10
+
+
+def _graph(event_type: str | None) -> str:
+    where = f"WHERE event_type = '{event_type}'" if event_type else ""
+    return f"""
+  ev AS (SELECT user_id, lead(user_id) OVER (ORDER BY ts, event_id) AS nxt
+         FROM events {where}),
+  g AS (SELECT DISTINCT user_id AS src, nxt AS dst FROM ev
+        WHERE nxt IS NOT NULL AND nxt <> user_id)"""
+
+
+def _friends(cond: str) -> str:
+    return f"""WITH {_graph('purchase')},
+  adj AS (SELECT src, dst FROM g UNION SELECT dst, src FROM g),
+  users AS (SELECT DISTINCT src AS user_id FROM adj),
+  cand AS (SELECT a.dst AS user_id, b.dst AS candidate, count(*) AS n
+           FROM adj a JOIN adj b ON a.src = b.src AND {cond}
+           WHERE NOT EXISTS (SELECT 1 FROM adj d WHERE d.src = a.dst AND d.dst = b.dst)
+           GROUP BY 1, 2),
+  ranked AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY n DESC, candidate)
+             AS rank FROM cand)"""
+
+
+def _pagerank_edge(rounds: int = 10, d: float = 0.85) -> str:
+    ctes = [f"""WITH {_graph(None)},
+  od AS (SELECT src, count(*) AS deg FROM g GROUP BY src),
+  lw AS (SELECT g.src, g.dst, 1.0::DOUBLE / od.deg AS w FROM g JOIN od USING (src)),
+  nn AS (SELECT count(*)::DOUBLE AS n FROM od),
+  r0 AS (SELECT src AS page, 1.0::DOUBLE / (SELECT n FROM nn) AS rank FROM od)"""]
+    for i in range(1, rounds + 1):
+        ctes.append(f"""
+  r{i} AS (SELECT lw.dst AS page,
+                  sum(r.rank * lw.w) * {d!r}::DOUBLE + {1.0 - d!r}::DOUBLE / (SELECT n FROM nn) AS rank
+           FROM lw JOIN r{i - 1} r ON lw.src = r.page GROUP BY lw.dst)""")
+    return ",".join(ctes) + f"\nSELECT page, round(rank, {RANK_DIGITS}) AS rank FROM r{rounds}"
+
+
+def _pagerank_power_ctes(rounds: int = 40, beta: float = 0.8) -> str:
+    ctes = [f"""WITH {_graph(None)},
+  nodes AS (SELECT src AS page FROM g UNION SELECT dst FROM g),
+  nn AS (SELECT count(*)::DOUBLE AS n FROM nodes),
+  od AS (SELECT src, count(*) AS deg FROM g GROUP BY src),
+  lw AS (SELECT g.src, g.dst, 1.0::DOUBLE / od.deg AS w FROM g JOIN od USING (src)),
+  r0 AS (SELECT page, 1.0::DOUBLE / (SELECT n FROM nn) AS rank FROM nodes)"""]
+    for i in range(1, rounds + 1):
+        ctes.append(f"""
+  r{i} AS (SELECT nodes.page,
+                  {1.0 - beta!r}::DOUBLE / (SELECT n FROM nn) + {beta!r}::DOUBLE * coalesce(c.s, 0.0) AS rank
+           FROM nodes LEFT JOIN (SELECT lw.dst, sum(r.rank * lw.w) AS s
+                                 FROM lw JOIN r{i - 1} r ON lw.src = r.page GROUP BY lw.dst) c
+                ON c.dst = nodes.page)""")
+    return ",".join(ctes) + f""",
+  pr AS (SELECT page, round(rank, {RANK_DIGITS}) AS rank FROM r{rounds})"""
+
+
+def _hits(rounds: int = 40) -> str:
+    ctes = [f"""WITH {_graph(None)},
+  nodes AS (SELECT src AS page FROM g UNION SELECT dst FROM g),
+  h0 AS (SELECT page, 1.0::DOUBLE AS s FROM nodes)"""]
+    for i in range(1, rounds + 1):
+        ctes.append(f"""
+  ar{i} AS (SELECT nodes.page, coalesce(c.s, 0.0) AS s FROM nodes LEFT JOIN
+            (SELECT g.dst, sum(h.s) AS s FROM g JOIN h{i - 1} h ON g.src = h.page GROUP BY g.dst) c
+            ON c.dst = nodes.page),
+  a{i} AS (SELECT page, s / (SELECT max(s) FROM ar{i}) AS s FROM ar{i}),
+  hr{i} AS (SELECT nodes.page, coalesce(c.s, 0.0) AS s FROM nodes LEFT JOIN
+            (SELECT g.src, sum(a.s) AS s FROM g JOIN a{i} a ON g.dst = a.page GROUP BY g.src) c
+            ON c.src = nodes.page),
+  h{i} AS (SELECT page, s / (SELECT max(s) FROM hr{i}) AS s FROM hr{i})""")
+    return ",".join(ctes) + f"""
+SELECT h.page, round(h.s, {RANK_DIGITS}) AS hub, round(a.s, {RANK_DIGITS}) AS authority
+FROM h{rounds} h JOIN a{rounds} a USING (page)"""
+
+
+ORACLES.update({
+    "friends_symmetric": _friends("a.dst <> b.dst") + """
+SELECT u.user_id, r.candidate, r.n, r.rank
+FROM users u LEFT JOIN ranked r ON r.user_id = u.user_id AND r.rank <= 10""",
+    "friends_list_order": _friends("a.dst < b.dst") + """
+SELECT u.user_id, coalesce(string_agg(CAST(r.candidate AS VARCHAR), ',' ORDER BY r.rank), '') AS recs
+FROM users u LEFT JOIN ranked r ON r.user_id = u.user_id AND r.rank <= 10
+GROUP BY u.user_id""",
+    "pagerank_edge": _pagerank_edge(10, 0.85),
+    "pagerank_power": _pagerank_power_ctes(40, 0.8) + "\nSELECT page, rank FROM pr",
+    "hits_scores": _hits(40),
+    "rank_extremes": _pagerank_power_ctes(40, 0.8) + """
+SELECT 'bottom' AS side, row_number() OVER (ORDER BY rank, page) AS pos, page
+FROM (SELECT * FROM pr ORDER BY rank, page LIMIT 5)
+UNION ALL
+SELECT 'top' AS side, 6 - row_number() OVER (ORDER BY rank DESC, page DESC) AS pos, page
+FROM (SELECT * FROM pr ORDER BY rank DESC, page DESC LIMIT 5)""",
+})
