@@ -139,3 +139,79 @@ QUERIES.update({
     "hits_scores": q_hits_scores,
     "rank_extremes": q_rank_extremes,
 })
+
+
+# -- k-means and SVM --------------------------------------------------------
+
+from lodestar.operators import cluster as K  # noqa: E402
+from lodestar.operators import linear as L  # noqa: E402
+
+KMEANS_SEEDS = list(range(10))
+KMEANS_ROUNDS = 5
+SVM_C = 100.0
+SVM_ROUNDS = 5
+SVM_BIAS = 0.1
+
+
+def svm_fixed_weights(dim: int) -> list[float]:
+    """The fixed model of ``svm_cost_gradient``: w_d = 0.01 * (d mod 5 - 2)."""
+    return [0.01 * ((d % 5) - 2) for d in range(dim)]
+
+
+def _points(spark, sf_dir):
+    return S.embeddings_points(spark, sf_dir)
+
+
+def _assign(distance):
+    def q(spark, sf_dir):
+        pts = _points(spark, sf_dir)
+        centers = K.initial_centers(pts, KMEANS_SEEDS)
+        out = K.kmeans_assign(pts, centers, distance)
+        return out.select("vec_id", "cluster", F.round("dist", 6).alias("dist"))
+    return q
+
+
+def q_kmeans_fit_loss(spark, sf_dir):
+    pts = _points(spark, sf_dir)
+    centers = K.initial_centers(pts, KMEANS_SEEDS)
+    _, losses = K.kmeans_fit(pts, centers, KMEANS_ROUNDS, "l2")
+    return K.loss_frame(spark, losses)
+
+
+def _svm_rows(spark, sf_dir):
+    return L.svm_rows(_points(spark, sf_dir))
+
+
+def _dim(spark, sf_dir):
+    return len(_points(spark, sf_dir).select("features").first()[0])
+
+
+def q_svm_cost_gradient(spark, sf_dir):
+    dim = _dim(spark, sf_dir)
+    _, dw, db = L.svm_cost_gradient(_svm_rows(spark, sf_dir), svm_fixed_weights(dim), SVM_BIAS,
+                                    SVM_C)
+    rows = [(d, float(g)) for d, g in enumerate(dw)] + [(-1, float(db))]
+    return spark.createDataFrame(rows, "dim int, dw double").select(
+        "dim", F.round("dw", 6).alias("dw"))
+
+
+def q_svm_batch_fit(spark, sf_dir):
+    _, _, hist = L.svm_batch_fit(_svm_rows(spark, sf_dir), _dim(spark, sf_dir), SVM_C,
+                                 lr=3e-7, stop=0.25, max_rounds=SVM_ROUNDS)
+    return L.history_frame(spark, hist, "pct_change")
+
+
+def q_svm_minibatch_fit(spark, sf_dir):
+    _, _, hist = L.svm_minibatch_fit(_svm_rows(spark, sf_dir), _dim(spark, sf_dir), SVM_C,
+                                     lr=1e-5, batch_size=20, stop=0.01, max_rounds=SVM_ROUNDS)
+    return L.history_frame(spark, hist, "smoothed")
+
+
+QUERIES.update({
+    "kmeans_assign_l2": _assign("l2"),
+    "kmeans_assign_l1": _assign("l1"),
+    "kmeans_fit_loss": q_kmeans_fit_loss,
+    "svm_cost_gradient": q_svm_cost_gradient,
+    "svm_batch_fit": q_svm_batch_fit,
+    "svm_minibatch_fit": q_svm_minibatch_fit,
+})

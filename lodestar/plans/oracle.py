@@ -156,3 +156,127 @@ UNION ALL
 SELECT 'top' AS side, 6 - row_number() OVER (ORDER BY rank DESC, page DESC) AS pos, page
 FROM (SELECT * FROM pr ORDER BY rank DESC, page DESC LIMIT 5)""",
 })
+
+
+# -- k-means and SVM --------------------------------------------------------
+
+_PTS = """
+  pts AS (SELECT vec_id, unnest(range(0, len(embedding))) AS d,
+                 CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings)"""
+
+_DIST = {"l2": "(p.x - c.c) * (p.x - c.c)", "l1": "abs(p.x - c.c)"}
+
+
+def _assign_cte(i: int, dist: str) -> str:
+    return f"""
+  d{i} AS (SELECT p.vec_id, c.cluster, sum({_DIST[dist]}) AS dist
+           FROM pts p JOIN c{i} c ON p.d = c.d GROUP BY 1, 2),
+  a{i} AS (SELECT vec_id, cluster, dist FROM
+           (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dist, cluster) AS rn
+            FROM d{i}) WHERE rn = 1)"""
+
+
+def _kmeans_assign(dist: str) -> str:
+    return f"""WITH {_PTS},
+  c0 AS (SELECT vec_id AS cluster, d, x AS c FROM pts WHERE vec_id BETWEEN 0 AND 9),
+  {_assign_cte(0, dist)}
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, round(dist, 6) AS dist FROM a0"""
+
+
+def _kmeans_fit(rounds: int = 5) -> str:
+    ctes = [f"""WITH {_PTS},
+  c0 AS (SELECT vec_id AS cluster, d, x AS c FROM pts WHERE vec_id BETWEEN 0 AND 9)"""]
+    for i in range(rounds):
+        ctes.append(_assign_cte(i, "l2"))
+        if i < rounds - 1:
+            ctes.append(f"""
+  c{i + 1} AS (SELECT a.cluster, p.d, sum(p.x) / count(*) AS c
+             FROM a{i} a JOIN pts p USING (vec_id) GROUP BY 1, 2
+             UNION ALL SELECT * FROM c{i} WHERE cluster NOT IN (SELECT cluster FROM a{i}))""")
+    body = "\nUNION ALL ".join(f"SELECT {i} AS iteration, round(sum(dist), 6) AS loss FROM a{i}"
+                               for i in range(rounds))
+    return ",".join(ctes) + "\n" + body
+
+
+_SVM_ROWS = """
+  yrows AS (SELECT vec_id, CASE WHEN label < 5 THEN 1 ELSE -1 END AS y FROM embeddings)"""
+
+
+def _svm_round(k: int, batch_filter: str | None, lr: float) -> str:
+    """CTEs for round k given W{k} (d, w) and B{k} (b): cost C{k} and the
+    next model W{k+1}, B{k+1}."""
+    viol = "m.m < 1" + (f" AND {batch_filter}" if batch_filter else "")
+    return f"""
+  M{k} AS (SELECT p.vec_id, r.y, r.batch, r.y * (sum(p.x * w.w) + (SELECT b FROM B{k})) AS m
+           FROM pts p JOIN W{k} w USING (d) JOIN yrows r USING (vec_id) GROUP BY 1, 2, 3),
+  C{k} AS (SELECT 0.5 * (SELECT sum(w * w) FROM W{k}) + 100.0 * sum(greatest(0.0, 1.0 - m)) AS cost
+           FROM M{k}),
+  G{k} AS (SELECT w.d, w.w + 100.0 * coalesce(sum(CASE WHEN {viol} THEN -m.y * p.x END), 0.0) AS dw
+           FROM W{k} w JOIN pts p ON p.d = w.d JOIN M{k} m ON m.vec_id = p.vec_id
+           GROUP BY w.d, w.w),
+  DB{k} AS (SELECT 100.0 * coalesce(sum(CASE WHEN {viol} THEN -m.y END), 0) AS db FROM M{k} m),
+  W{k + 1} AS (SELECT d, w - {lr!r} * dw AS w FROM W{k} JOIN G{k} USING (d)),
+  B{k + 1} AS (SELECT (SELECT b FROM B{k}) - {lr!r} * (SELECT db FROM DB{k}) AS b)"""
+
+
+def _svm_fit(rounds: int, lr: float, minibatch: bool) -> str:
+    ctes = [f"WITH {_PTS},{_SVM_ROWS}"]
+    if minibatch:
+        ctes.append("""
+  perm AS (SELECT vec_id, (row_number() OVER (ORDER BY (vec_id * 48271) % 2147483647, vec_id) - 1)
+                          // 20 AS batch FROM embeddings),
+  nb AS (SELECT CAST(ceil(count(*) / 20) AS BIGINT) AS n FROM embeddings),
+  yb AS (SELECT vec_id, y, batch FROM yrows0 JOIN perm USING (vec_id))""")
+        ctes[0] = ctes[0].replace("yrows AS", "yrows0 AS", 1)
+        ctes[-1] = ctes[-1].replace("yb AS", "yrows AS", 1)
+    else:
+        ctes[0] = ctes[0].replace("ELSE -1 END AS y FROM", "ELSE -1 END AS y, 0 AS batch FROM", 1)
+    ctes.append("""
+  W0 AS (SELECT DISTINCT d, 0.0::DOUBLE AS w FROM pts),
+  B0 AS (SELECT 0.0::DOUBLE AS b)""")
+    for k in range(rounds):
+        bf = f"m.batch = {k} % (SELECT n FROM nb)" if minibatch else None
+        ctes.append(_svm_round(k, bf, lr))
+    hist = "\n    UNION ALL ".join(f"SELECT {k} AS iteration, cost FROM C{k}" for k in range(rounds))
+    ctes.append(f"""
+  hist AS ({hist}),
+  h2 AS (SELECT iteration, cost,
+                abs(lag(cost) OVER (ORDER BY iteration) - cost) * 100.0
+                  / lag(cost) OVER (ORDER BY iteration) AS pct FROM hist)""")
+    if not minibatch:
+        return ",".join(ctes) + f"""
+SELECT iteration, round(cost, 6) AS cost, round(pct, 10) AS pct_change FROM h2
+WHERE iteration <= coalesce((SELECT min(iteration) FROM h2 WHERE pct <= 0.25), {rounds - 1})"""
+    sm = ["  S1 AS (SELECT 0.5 * 0.0 + 0.5 * (SELECT pct FROM h2 WHERE iteration = 1) AS s)"]
+    for k in range(2, rounds):
+        sm.append(f"  S{k} AS (SELECT 0.5 * (SELECT s FROM S{k - 1}) + 0.5 * "
+                  f"(SELECT pct FROM h2 WHERE iteration = {k}) AS s)")
+    sel = "\n    UNION ALL ".join([f"SELECT 0 AS iteration, CAST(NULL AS DOUBLE) AS s"] +
+                                  [f"SELECT {k}, s FROM S{k}" for k in range(1, rounds)])
+    return ",".join(ctes) + ",\n" + ",\n".join(sm) + f""",
+  sm AS ({sel})
+SELECT h2.iteration, round(h2.cost, 6) AS cost, round(sm.s, 10) AS smoothed
+FROM h2 JOIN sm USING (iteration)
+WHERE h2.iteration <= coalesce((SELECT min(iteration) FROM sm WHERE s <= 0.01), {rounds - 1})"""
+
+
+_SVM_GRADIENT = f"""WITH {_PTS},{_SVM_ROWS},
+  W AS (SELECT DISTINCT d, CAST(0.01 * ((d % 5) - 2) AS DOUBLE) AS w FROM pts),
+  M AS (SELECT p.vec_id, r.y, r.y * (sum(p.x * w.w) + 0.1) AS m
+        FROM pts p JOIN W w USING (d) JOIN yrows r USING (vec_id) GROUP BY 1, 2),
+  V AS (SELECT vec_id, y FROM M WHERE m < 1)
+SELECT CAST(w.d AS INTEGER) AS dim,
+       round(w.w + 100.0 * coalesce(sum(-v.y * p.x), 0.0), 6) AS dw
+FROM W w LEFT JOIN (pts p JOIN V v USING (vec_id)) ON p.d = w.d
+GROUP BY w.d, w.w
+UNION ALL
+SELECT -1 AS dim, round(CAST(100.0 * coalesce(sum(-y), 0) AS DOUBLE), 6) AS dw FROM V"""
+
+ORACLES.update({
+    "kmeans_assign_l2": _kmeans_assign("l2"),
+    "kmeans_assign_l1": _kmeans_assign("l1"),
+    "kmeans_fit_loss": _kmeans_fit(5),
+    "svm_cost_gradient": _SVM_GRADIENT,
+    "svm_batch_fit": _svm_fit(5, 3e-7, minibatch=False),
+    "svm_minibatch_fit": _svm_fit(5, 1e-5, minibatch=True),
+})
