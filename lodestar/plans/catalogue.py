@@ -215,3 +215,72 @@ QUERIES.update({
     "svm_batch_fit": q_svm_batch_fit,
     "svm_minibatch_fit": q_svm_minibatch_fit,
 })
+
+
+# -- recommendation ---------------------------------------------------------
+
+from lodestar.operators import recommend as R  # noqa: E402
+
+CF_USER = 499
+CF_BELOW_ITEM = 1000
+CF_TOP = 20
+MF_K = 4
+MF_REG = 0.2
+MF_LR = 1e-4
+MF_ROUNDS = 3
+MF_DIGITS = 3
+
+
+def q_cf_user_user(spark, sf_dir):
+    out = R.cf_user_user(S.purchase_matrix(spark, sf_dir), CF_USER, CF_BELOW_ITEM, CF_TOP)
+    return out.select("item", F.round("score", 6).alias("score"), "rank")
+
+
+def q_cf_item_item(spark, sf_dir):
+    out = R.cf_item_item(S.purchase_matrix(spark, sf_dir), CF_USER, CF_BELOW_ITEM, CF_TOP)
+    return out.select("item", F.round("score", 6).alias("score"), "rank")
+
+
+def q_cf_hit_rate(spark, sf_dir):
+    r = S.purchase_matrix(spark, sf_dir).persist()
+    actual = r.filter((F.col("user") == CF_USER) & (F.col("item") < CF_BELOW_ITEM)).select("item")
+    uu = R.hit_rate(R.cf_user_user(r, CF_USER, CF_BELOW_ITEM, CF_TOP), actual)
+    ii = R.hit_rate(R.cf_item_item(r, CF_USER, CF_BELOW_ITEM, CF_TOP), actual)
+    return (uu.select("k", F.round("rate", 10).alias("uu_rate"))
+            .join(ii.select("k", F.round("rate", 10).alias("ii_rate")), "k", "full"))
+
+
+def _mf_factors(spark, ratings):
+    mx = ratings.agg(F.max("user"), F.max("item")).first()
+    return (R.init_factors(spark, int(mx[0]), MF_K, 1), R.init_factors(spark, int(mx[1]), MF_K, 2))
+
+
+def q_mf_objective(spark, sf_dir):
+    ratings = S.quantity_ratings(spark, sf_dir).persist()
+    p, q = _mf_factors(spark, ratings)
+    n, sse, reg, obj = R.mf_objective(ratings, p, q, MF_REG)
+    return spark.createDataFrame([(n, sse, reg, obj)],
+                                 "n long, sse double, reg double, objective double").select(
+        "n", *[F.round(c, MF_DIGITS).alias(c) for c in ("sse", "reg", "objective")])
+
+
+def q_mf_gd_fit(spark, sf_dir):
+    hist = R.mf_gd_fit(S.quantity_ratings(spark, sf_dir), MF_K, MF_REG, MF_LR, MF_ROUNDS)
+    return spark.createDataFrame(hist, "iteration int, objective double").select(
+        "iteration", F.round("objective", MF_DIGITS).alias("objective"))
+
+
+def q_mf_als_fit(spark, sf_dir):
+    model = R.mf_als_fit(S.quantity_ratings(spark, sf_dir), rank=20, reg=0.2)
+    return model.itemFactors.select(F.col("id").cast("long").alias("item"),
+                                    F.size("features").alias("n_factors"))
+
+
+QUERIES.update({
+    "cf_user_user": q_cf_user_user,
+    "cf_item_item": q_cf_item_item,
+    "cf_hit_rate": q_cf_hit_rate,
+    "mf_objective": q_mf_objective,
+    "mf_gd_fit": q_mf_gd_fit,
+    "mf_als_fit": q_mf_als_fit,
+})

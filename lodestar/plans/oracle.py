@@ -8,6 +8,8 @@ round.  Floating results are rounded the same way in both engines.
 
 from __future__ import annotations
 
+import math
+
 # Java whitespace split of a line with trailing blanks removed (F1).
 _SPLIT = r"string_split_regex(regexp_replace({c}, '\s+$', '', 'g'), '\s+')"
 
@@ -280,3 +282,105 @@ ORACLES.update({
     "svm_batch_fit": _svm_fit(5, 3e-7, minibatch=False),
     "svm_minibatch_fit": _svm_fit(5, 1e-5, minibatch=True),
 })
+
+
+# -- recommendation ---------------------------------------------------------
+
+from lodestar.functions.hashing import uniform01_sql  # noqa: E402
+
+_CF = """
+  r AS (SELECT DISTINCT o_custkey AS cust, l_partkey AS item
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+  rm AS (SELECT * FROM r WHERE NOT (cust = 499 AND item < 1000)),
+  ti AS (SELECT item FROM rm WHERE cust = 499)"""
+
+_CF_UU = """
+  pt AS (SELECT count(*) AS n FROM ti),
+  ov AS (SELECT rm.cust, count(*) AS ov FROM rm JOIN ti USING (item) GROUP BY rm.cust),
+  deg AS (SELECT cust, count(*) AS p FROM rm GROUP BY cust),
+  w AS (SELECT ov.cust, ov.ov / sqrt((SELECT n FROM pt) * deg.p) AS w FROM ov JOIN deg USING (cust)),
+  uu_sc AS (SELECT rm.item, sum(w.w) AS score FROM rm JOIN w USING (cust)
+            WHERE rm.item < 1000 GROUP BY rm.item),
+  uu AS (SELECT item, score, row_number() OVER (ORDER BY round(score, 9) DESC, item) AS rank
+         FROM uu_sc)"""
+
+_CF_II = """
+  q AS (SELECT item, count(*) AS q FROM rm GROUP BY item),
+  tq AS (SELECT ti.item, q.q FROM ti JOIN q USING (item)),
+  s AS (SELECT rm.cust, sum(1.0 / sqrt(tq.q)) AS s FROM rm JOIN tq USING (item) GROUP BY rm.cust),
+  ii_acc AS (SELECT rm.item, sum(s.s) AS acc FROM rm JOIN s USING (cust)
+             WHERE rm.item < 1000 GROUP BY rm.item),
+  ii_sc AS (SELECT ii_acc.item, acc / sqrt(q.q) AS score FROM ii_acc JOIN q USING (item)),
+  ii AS (SELECT item, score, row_number() OVER (ORDER BY round(score, 9) DESC, item) AS rank
+         FROM ii_sc)"""
+
+
+def _mf_base(k: int = 4) -> str:
+    scale = repr(math.sqrt(5.0 / k))
+    return f"""
+  ratings AS (SELECT o_custkey AS cust, l_partkey AS part, avg(l_quantity) AS rating
+              FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2),
+  dims AS (SELECT unnest(range(0, {k})) AS d),
+  uid AS (SELECT unnest(generate_series(1, (SELECT max(cust) FROM ratings))) AS id),
+  iid AS (SELECT unnest(generate_series(1, (SELECT max(part) FROM ratings))) AS id),
+  P0 AS (SELECT id, d, {scale} * {uniform01_sql('id', 'd', 1)} AS v FROM uid, dims),
+  Q0 AS (SELECT id, d, {scale} * {uniform01_sql('id', 'd', 2)} AS v FROM iid, dims)"""
+
+
+def _mf_err(t: int) -> str:
+    return f"""
+  E{t} AS (SELECT r.cust, r.part, r.rating - sum(p.v * q.v) AS err
+           FROM ratings r JOIN P{t} p ON p.id = r.cust JOIN Q{t} q ON q.id = r.part AND q.d = p.d
+           GROUP BY r.cust, r.part, r.rating)"""
+
+
+def _mf_obj(t: int, reg: float) -> str:
+    return (f"SELECT sum(err * err) AS sse, {reg!r} * ((SELECT sum(v * v) FROM P{t}) + "
+            f"(SELECT sum(v * v) FROM Q{t})) AS reg, count(*) AS n FROM E{t}")
+
+
+def _mf_gd(rounds: int = 3, reg: float = 0.2, lr: float = 1e-4, k: int = 4) -> str:
+    ctes = [f"WITH {_mf_base(k)}"]
+    for t in range(rounds + 1):
+        ctes.append(_mf_err(t))
+        if t == rounds:
+            break
+        for own, other, key, okey in (("P", "Q", "cust", "part"), ("Q", "P", "part", "cust")):
+            ctes.append(f"""
+  {own}{t + 1} AS (SELECT f.id, f.d, f.v + coalesce({lr!r} * g.g, 0.0) AS v FROM {own}{t} f LEFT JOIN
+           (SELECT e.{key} AS id, o.d, sum(2.0 * e.err * o.v - {reg!r} * s.v) AS g
+            FROM E{t} e JOIN {other}{t} o ON o.id = e.{okey}
+                        JOIN {own}{t} s ON s.id = e.{key} AND s.d = o.d
+            GROUP BY 1, 2) g ON g.id = f.id AND g.d = f.d)""")
+    objs = "\nUNION ALL ".join(
+        f"SELECT {t} AS iteration, round(sse + reg, 3) AS objective FROM ({_mf_obj(t, reg)})"
+        for t in range(rounds + 1))
+    return ",".join(ctes) + "\n" + objs
+
+
+ORACLES.update({
+    "cf_user_user": f"WITH {_CF},{_CF_UU}\n"
+                    "SELECT item, round(score, 6) AS score, rank FROM uu WHERE rank <= 20",
+    "cf_item_item": f"WITH {_CF},{_CF_II}\n"
+                    "SELECT item, round(score, 6) AS score, rank FROM ii WHERE rank <= 20",
+    "cf_hit_rate": f"""WITH {_CF},{_CF_UU},{_CF_II},
+  pos AS (SELECT item FROM r WHERE cust = 499 AND item < 1000),
+  npos AS (SELECT count(*) AS n FROM pos),
+  uh AS (SELECT rank AS k, sum(CASE WHEN item IN (SELECT item FROM pos) THEN 1 ELSE 0 END)
+                  OVER (ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS h
+         FROM uu WHERE rank <= 20),
+  ih AS (SELECT rank AS k, sum(CASE WHEN item IN (SELECT item FROM pos) THEN 1 ELSE 0 END)
+                  OVER (ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS h
+         FROM ii WHERE rank <= 20)
+SELECT coalesce(uh.k, ih.k) AS k,
+       round(CAST(uh.h AS DOUBLE) / (SELECT n FROM npos), 10) AS uu_rate,
+       round(CAST(ih.h AS DOUBLE) / (SELECT n FROM npos), 10) AS ii_rate
+FROM uh FULL JOIN ih ON uh.k = ih.k""",
+    "mf_objective": f"WITH {_mf_base(4)},{_mf_err(0)}\n"
+                    "SELECT n, round(sse, 3) AS sse, round(reg, 3) AS reg, "
+                    "round(sse + reg, 3) AS objective FROM (" + _mf_obj(0, 0.2) + ")",
+    "mf_gd_fit": _mf_gd(3, 0.2, 1e-4, 4),
+    "mf_als_fit": """
+SELECT DISTINCT l_partkey AS item, 20 AS n_factors
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+})
