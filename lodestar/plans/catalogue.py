@@ -284,3 +284,63 @@ QUERIES.update({
     "mf_gd_fit": q_mf_gd_fit,
     "mf_als_fit": q_mf_als_fit,
 })
+
+
+# -- sketches, streaming, sinks, positional join ----------------------------
+
+from lodestar.operators import joins as J  # noqa: E402
+from lodestar.operators import sketch as C  # noqa: E402
+from lodestar.session import scratch_path  # noqa: E402
+from lodestar.sources import sinks as K  # noqa: E402
+from lodestar.streaming import sketch_stream as ST  # noqa: E402
+
+CMS_TEST_BUCKETS = 200
+
+
+def q_cms_sketch(spark, sf_dir):
+    ev = S.table(spark, sf_dir, "events").select("user_id")
+    return C.cms_sketch(ev, "user_id", CMS_TEST_BUCKETS)
+
+
+def q_cms_estimate(spark, sf_dir):
+    ev = S.table(spark, sf_dir, "events").select("user_id")
+    sketch = C.cms_sketch(ev, "user_id", CMS_TEST_BUCKETS)
+    probes = (ev.select(F.col("user_id").alias("id"))
+              .unionByName(S.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))))
+    return C.cms_estimate(sketch, probes, "id", CMS_TEST_BUCKETS)
+
+
+def q_cms_error(spark, sf_dir):
+    li = S.table(spark, sf_dir, "lineitem").select("l_partkey")
+    return C.cms_error(li, "l_partkey", CMS_TEST_BUCKETS)
+
+
+def q_cms_stream(spark, sf_dir):
+    schema = S.table(spark, sf_dir, "events").schema
+    return ST.cms_stream(spark, sf_dir, "events.parquet", schema, "user_id", CMS_TEST_BUCKETS)
+
+
+def q_sink_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "word-count-tsv")
+    K.write_kv_text(q_word_count(spark, sf_dir), "token", "n", path)
+    return K.read_kv_text(spark, path, "string", "long").select(
+        "key", F.col("value").alias("n"))
+
+
+def q_positional_join(spark, sf_dir):
+    labels = S.table(spark, sf_dir, "labels").orderBy("doc_id")
+    path_a, path_b = scratch_path(spark, "labels-quality"), scratch_path(spark, "labels-toxic")
+    labels.select(F.col("quality").cast("string")).write.text(path_a)
+    labels.select(F.col("toxic").cast("string")).write.text(path_b)
+    z = J.zip_text_files(spark, path_a, path_b, ("quality", "toxic"))
+    return z.select("idx", F.col("quality").cast("int"), F.col("toxic").cast("int"))
+
+
+QUERIES.update({
+    "cms_sketch": q_cms_sketch,
+    "cms_estimate": q_cms_estimate,
+    "cms_error": q_cms_error,
+    "cms_stream": q_cms_stream,
+    "sink_roundtrip": q_sink_roundtrip,
+    "positional_join": q_positional_join,
+})

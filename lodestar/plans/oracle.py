@@ -384,3 +384,55 @@ FROM uh FULL JOIN ih ON uh.k = ih.k""",
 SELECT DISTINCT l_partkey AS item, 20 AS n_factors
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
 })
+
+
+# -- sketches, streaming, sinks, positional join ----------------------------
+
+from lodestar.functions.hashing import CMS_PARAMS, CMS_PRIME  # noqa: E402
+
+
+def _cms_cells(x: str, n_buckets: int = 200) -> str:
+    params = ", ".join(f"({h}, {a}, {b})" for h, (a, b) in enumerate(CMS_PARAMS))
+    p = CMS_PRIME
+    return f"""
+  hp AS (SELECT * FROM (VALUES {params}) AS t(h, a, b)),
+  cells AS (SELECT src.x AS id, hp.h,
+                   CAST((((hp.a * (((src.x % {p}) + {p}) % {p}) + hp.b) % {p}) + {p}) % {p} % {n_buckets}
+                        AS INTEGER) AS bucket
+            FROM ({x}) src, hp),
+  sketch AS (SELECT h, bucket, count(*) AS n FROM cells GROUP BY h, bucket)"""
+
+
+_CMS_SKETCH = f"WITH {_cms_cells('SELECT user_id AS x FROM events')}\nSELECT h, bucket, n FROM sketch"
+
+_CMS_PROBE = """
+  probe AS (SELECT DISTINCT id FROM (SELECT user_id AS id FROM events
+                                     UNION ALL SELECT c_custkey FROM customer)),
+  pcells AS (SELECT probe.id, hp.h,
+                    CAST((((hp.a * (((probe.id % 123457) + 123457) % 123457) + hp.b) % 123457)
+                          + 123457) % 123457 % 200 AS INTEGER) AS bucket
+             FROM probe, hp)"""
+
+ORACLES.update({
+    "cms_sketch": _CMS_SKETCH,
+    "cms_stream": _CMS_SKETCH,
+    "cms_estimate": f"""WITH {_cms_cells('SELECT user_id AS x FROM events')},{_CMS_PROBE}
+SELECT pcells.id, min(coalesce(sketch.n, 0)) AS estimate
+FROM pcells LEFT JOIN sketch ON sketch.h = pcells.h AND sketch.bucket = pcells.bucket
+GROUP BY pcells.id""",
+    "cms_error": f"""WITH {_cms_cells('SELECT l_partkey AS x FROM lineitem')},
+  truth AS (SELECT l_partkey AS id, count(*) AS true_n FROM lineitem GROUP BY 1),
+  tot AS (SELECT count(*) AS t FROM lineitem),
+  est AS (SELECT c.id, min(s.n) AS estimate
+          FROM (SELECT DISTINCT id, h, bucket FROM cells) c
+          JOIN sketch s ON s.h = c.h AND s.bucket = c.bucket GROUP BY c.id)
+SELECT truth.id, true_n, estimate, true_n / (SELECT t FROM tot) AS norm_freq,
+       (estimate - true_n) / true_n AS rel_error
+FROM truth JOIN est USING (id)""",
+    "sink_roundtrip": f"""
+        SELECT token AS key, count(*) AS n
+        FROM (SELECT unnest({_SPLIT.format(c='text')}) AS token FROM documents)
+        GROUP BY token""",
+    "positional_join": """
+        SELECT row_number() OVER (ORDER BY doc_id) - 1 AS idx, quality, toxic FROM labels""",
+})
