@@ -28,14 +28,18 @@ def _two_hop(adj: DataFrame, mode: str) -> DataFrame:
     """``(user_id, candidate)`` rows, one per shared neighbour.
 
     ``symmetric``: both directions; ``list_order``: the reference's
-    one-directional emission (with id-sorted lists only larger ids are
-    offered, N3).
+    one-directional emission, friend i -> friend j only for j after i in
+    the list (column ``pos`` when present, else id order -- with id-sorted
+    lists only larger ids are offered, N3).
     """
-    a = adj.select(F.col("src").alias("mid"), F.col("dst").alias("user_id"))
-    b = adj.select(F.col("src").alias("mid"), F.col("dst").alias("candidate"))
+    order = "pos" if "pos" in adj.columns else "dst"
+    a = adj.select(F.col("src").alias("mid"), F.col("dst").alias("user_id"),
+                   F.col(order).alias("_oa"))
+    b = adj.select(F.col("src").alias("mid"), F.col("dst").alias("candidate"),
+                   F.col(order).alias("_ob"))
     cond = (F.col("user_id") != F.col("candidate")) if mode == "symmetric" else (
-        F.col("user_id") < F.col("candidate"))
-    return a.join(b, "mid").filter(cond).drop("mid")
+        F.col("_oa") < F.col("_ob"))
+    return a.join(b, "mid").filter(cond).select("user_id", "candidate")
 
 
 def friend_candidates(adj: DataFrame, top_n: int = 10, mode: str = "symmetric") -> DataFrame:
@@ -59,21 +63,30 @@ def friend_candidates(adj: DataFrame, top_n: int = 10, mode: str = "symmetric")
             .filter(F.col("rank") <= top_n))
 
 
-def recommend_friends(adj: DataFrame, top_n: int = 10, mode: str = "symmetric") -> DataFrame:
-    """M6 long form with J12: every user with a list keeps a row (null
-    candidate when there is nothing to recommend)."""
-    users = adj.select(F.col("src").alias("user_id")).distinct()
-    return users.join(friend_candidates(adj, top_n, mode), "user_id", "left")
+def _users(adj: DataFrame, users: DataFrame | None) -> DataFrame:
+    if users is not None:
+        return users.select(F.col(users.columns[0]).alias("user_id")).distinct()
+    return adj.select(F.col("src").alias("user_id")).distinct()
 
 
-def recommend_friends_text(adj: DataFrame, top_n: int = 10, mode: str = "list_order") -> DataFrame:
+def recommend_friends(adj: DataFrame, top_n: int = 10, mode: str = "symmetric",
+                      users: DataFrame | None = None) -> DataFrame:
+    """M6 long form with J12: every user keeps a row (null candidate when
+    there is nothing to recommend).  ``users`` lists users whose input row
+    may be empty; by default the users with at least one friend."""
+    return _users(adj, users).join(friend_candidates(adj, top_n, mode), "user_id", "left")
+
+
+def recommend_friends_text(adj: DataFrame, top_n: int = 10, mode: str = "list_order",
+                           users: DataFrame | None = None) -> DataFrame:
     """K5 form ``(user_id, recs)``: ids joined by commas in rank order,
-    ``''`` for a user without candidates."""
+    ``''`` for a user without candidates.  The per-user list holds at most
+    ``top_n`` entries, so collecting it is bounded."""
     ranked = friend_candidates(adj, top_n, mode)
     lists = ranked.groupBy("user_id").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "candidate"))),
                                  lambda s: s["candidate"].cast("string")), ",").alias("recs"))
-    users = adj.select(F.col("src").alias("user_id")).distinct()
+    users = _users(adj, users)
     return (users.join(lists, "user_id", "left")
             .select("user_id", F.coalesce("recs", F.lit("")).alias("recs")))
 

@@ -291,7 +291,7 @@ QUERIES.update({
 from lodestar.operators import joins as J  # noqa: E402
 from lodestar.operators import sketch as C  # noqa: E402
 from lodestar.session import scratch_path  # noqa: E402
-from lodestar.sources import sinks as K  # noqa: E402
+from lodestar.sources import sinks as IO  # noqa: E402
 from lodestar.streaming import sketch_stream as ST  # noqa: E402
 
 CMS_TEST_BUCKETS = 200
@@ -322,8 +322,8 @@ def q_cms_stream(spark, sf_dir):
 
 def q_sink_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "word-count-tsv")
-    K.write_kv_text(q_word_count(spark, sf_dir), "token", "n", path)
-    return K.read_kv_text(spark, path, "string", "long").select(
+    IO.write_kv_text(q_word_count(spark, sf_dir), "token", "n", path)
+    return IO.read_kv_text(spark, path, "string", "long").select(
         "key", F.col("value").alias("n"))
 
 

@@ -36,7 +36,7 @@ def read_lines_indexed(spark: SparkSession, path: str, out: str = "idx") -> Data
 
 
 def _cast(col, to: str, permissive: bool):
-    return F.try_cast(col, to) if permissive else col.cast(to)
+    return col.try_cast(to) if permissive else col.cast(to)
 
 
 def read_adjacency(spark: SparkSession, path: str, permissive: bool = False) -> DataFrame:
