@@ -2,11 +2,11 @@
 recommendation (M6), PageRank in edge-flow (M8) and power-iteration (M9)
 form, HITS (M10) and the top/bottom-n report (O3).
 
-Iterative operators keep the edge list (with its out-degree weight) cached
-and hash-partitioned on ``src``; the per-round rank vector is produced by a
-hash aggregation on the page id, so the join of round *i+1* finds both
-sides already partitioned and each round costs one shuffle of partially
-aggregated contributions.
+Iterative operators cache the distinct edge list (with its out-degree
+weight) once.  Each round sends scores along the edges -- with the score
+vector broadcast when the node count is below a checked bound, otherwise
+through a salted co-partitioned join -- and sums the contributions per
+page with partial aggregation: one shuffle of partial sums per round.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.plans.iterate import LineageCutter
+from lodestar.plans.skew import hot_keys, salt_big, salt_small
 
 
 def _partitions(df: DataFrame) -> int:
@@ -91,23 +92,85 @@ def recommend_friends_text(adj: DataFrame, top_n: int = 10, mode: str = "list_or
             .select("user_id", F.coalesce("recs", F.lit("")).alias("recs")))
 
 
-# -- PageRank ---------------------------------------------------------------
+# -- score propagation shared by PageRank and HITS -------------------------
+
+# Broadcast bounds, checked by counting edges and nodes once per run: an
+# edge list this small is broadcast (and the broadcast reused by every round
+# planned together); otherwise a score vector this small is broadcast to the
+# edge scan each round.
+MAX_BROADCAST_EDGES = 1_000_000
+MAX_BROADCAST_NODES = 2_000_000
+
 
-def _weighted_links(edges: DataFrame) -> DataFrame:
-    """Distinct edges with ``w = 1/outdeg(src)`` (U1, A10), hash-partitioned
-    on ``src`` and cached (I5)."""
+class _Flow:
+    """Distinct edges prepared for repeated propagation ``frm -> to``.
+
+    Three physical strategies, chosen from counts taken once:
+
+    * ``edges``: the cached edge list itself is small -- broadcast it; the
+      score vector stays where the previous aggregation left it.
+    * ``scores``: the node count is below the bound -- broadcast the score
+      vector each round; the cached edges keep their scan partitioning, so
+      no edge moves and a node of any degree is spread over all tasks.
+    * ``salted``: both are large -- hash-partition the edges once on
+      ``(frm, salt)``; hot ``frm`` nodes (more than half an average
+      partition) are salted by ``to`` and their score rows repeated per
+      salt, so per round only the score vector is shuffled and no task
+      holds a hot node's whole edge list.
+    """
+
+    def __init__(self, links: DataFrame, frm: str, to: str, n_edges: int, nodes: DataFrame,
+                 max_nodes: int | None = None, max_edges: int | None = None):
+        self.frm, self.to = frm, to
+        max_nodes = MAX_BROADCAST_NODES if max_nodes is None else max_nodes
+        max_edges = MAX_BROADCAST_EDGES if max_edges is None else max_edges
+        self.mode = ("edges" if n_edges <= max_edges else
+                     "scores" if nodes.count() <= max_nodes else "salted")
+        self.links = links
+        if self.mode == "salted":
+            parts = _partitions(links)
+            self.hot, self.buckets = hot_keys(links, frm, parts), parts
+            self.links = (links.withColumn("_salt", salt_big(frm, self.hot, to, parts))
+                          .repartition(parts, frm, "_salt")
+                          .persist(StorageLevel.MEMORY_AND_DISK))
+
+    def spread(self, scores: DataFrame, value: str) -> DataFrame:
+        """``(page, c)``: ``value * w`` sent along every edge."""
+        if self.mode == "edges":
+            lk = F.broadcast(self.links)
+            j = lk.join(scores, lk[self.frm] == scores.page)
+        elif self.mode == "scores":
+            j = self.links.join(F.broadcast(scores), self.links[self.frm] == scores.page)
+        else:
+            sc = scores.withColumn("_s", F.explode(salt_small("page", self.hot, self.buckets)))
+            j = self.links.join(sc, (self.links[self.frm] == sc.page)
+                                & (self.links["_salt"] == sc["_s"]))
+        return j.select(F.col(self.to).alias("page"), (F.col(value) * F.col("w")).alias("c"))
+
+    def release(self) -> None:
+        if self.mode == "salted":
+            self.links.unpersist()
+
+
+def _links(edges: DataFrame, weighted: bool) -> DataFrame:
+    """Distinct edges (U1); ``w = 1/outdeg(src)`` (A10) or 1; cached."""
     links = edges.select("src", "dst").dropDuplicates(["src", "dst"])
-    deg = Window.partitionBy("src")
-    return (links.repartition(_partitions(edges), "src")
-            .withColumn("w", F.lit(1.0) / F.count(F.lit(1)).over(deg))
+    if weighted:
+        deg = links.groupBy("src").agg(F.count(F.lit(1)).alias("_deg"))
+        links = links.join(deg, "src").select("src", "dst",
+                                              (F.lit(1.0) / F.col("_deg")).alias("w"))
+    else:
+        links = links.withColumn("w", F.lit(1.0))
+    return links.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _nodes(links: DataFrame) -> DataFrame:
+    return (links.select(F.col("src").alias("page"))
+            .union(links.select(F.col("dst").alias("page"))).distinct()
             .persist(StorageLevel.MEMORY_AND_DISK))
 
 
-def _spread(links: DataFrame, ranks: DataFrame) -> DataFrame:
-    """One J9 + X3 step: ``(page, c)`` contributions along every edge."""
-    return (links.join(ranks, links.src == ranks.page)
-            .select(F.col("dst").alias("page"), (F.col("rank") * F.col("w")).alias("c")))
-
+# -- PageRank ---------------------------------------------------------------
 
 def pagerank_edge(edges: DataFrame, rounds: int = 10, damping: float = 0.85,
                   checkpoint_every: int = 5) -> DataFrame:
@@ -120,14 +183,19 @@ def pagerank_edge(edges: DataFrame, rounds: int = 10, damping: float = 0.85,
     """
     spark = edges.sparkSession
     cut = LineageCutter(spark, checkpoint_every)
-    links = _weighted_links(edges)
-    pages = links.select(F.col("src").alias("page")).distinct().persist()
+    links = _links(edges, weighted=True)
+    nodes = _nodes(links)
+    flow = _Flow(links, "src", "dst", links.count(), nodes)
+    pages = flow.links.select(F.col("src").alias("page")).distinct().persist()
     n = pages.count()
     ranks = pages.select("page", F.lit(1.0 / n).alias("rank"))
     for i in range(rounds):
-        ranks = (_spread(links, ranks).groupBy("page")
+        ranks = (flow.spread(ranks, "rank").groupBy("page")
                  .agg((F.sum("c") * damping + (1.0 - damping) / n).alias("rank")))
-        ranks = cut(ranks, i)
+        ranks = cut(ranks, i, force=i == rounds - 1)
+    flow.release()
+    for df in (pages, nodes, links):
+        df.unpersist()
     return ranks
 
 
@@ -142,17 +210,19 @@ def pagerank_power(edges: DataFrame, rounds: int = 40, beta: float = 0.8,
     """
     spark = edges.sparkSession
     cut = LineageCutter(spark, checkpoint_every)
-    links = _weighted_links(edges)
-    nodes = (links.select(F.col("src").alias("page"))
-             .union(links.select(F.col("dst").alias("page"))).distinct()
-             .persist(StorageLevel.MEMORY_AND_DISK))
+    links = _links(edges, weighted=True)
+    nodes = _nodes(links)
     n = nodes.count()
+    flow = _Flow(links, "src", "dst", links.count(), nodes)
     zero = nodes.select("page", F.lit(0.0).alias("c"))
     ranks = nodes.select("page", F.lit(1.0 / n).alias("rank"))
     for i in range(rounds):
-        ranks = (_spread(links, ranks).unionByName(zero).groupBy("page")
+        ranks = (flow.spread(ranks, "rank").unionByName(zero).groupBy("page")
                  .agg(((1.0 - beta) / n + beta * F.sum("c")).alias("rank")))
-        ranks = cut(ranks, i)
+        ranks = cut(ranks, i, force=i == rounds - 1)
+    flow.release()
+    nodes.unpersist()
+    links.unpersist()
     return ranks
 
 
@@ -170,17 +240,15 @@ def hits(edges: DataFrame, rounds: int = 40, checkpoint_every: int = 5) -> DataF
     """
     spark = edges.sparkSession
     cut = LineageCutter(spark, checkpoint_every)
-    links = (edges.select("src", "dst").dropDuplicates(["src", "dst"])
-             .persist(StorageLevel.MEMORY_AND_DISK))
-    nodes = (links.select(F.col("src").alias("page"))
-             .union(links.select(F.col("dst").alias("page"))).distinct()
-             .persist(StorageLevel.MEMORY_AND_DISK))
-    zero = nodes.select("page", F.lit(0.0).alias("v"))
-
-    def step(scores: DataFrame, frm: str, to: str) -> DataFrame:
-        return (links.join(scores, links[frm] == scores.page)
-                .select(F.col(to).alias("page"), F.col("s").alias("v"))
-                .unionByName(zero).groupBy("page").agg(F.sum("v").alias("s")))
+    links = _links(edges, weighted=False)
+    nodes = _nodes(links)
+    e = links.count()
+    forward, backward = _Flow(links, "src", "dst", e, nodes), _Flow(links, "dst", "src", e, nodes)
+    zero = nodes.select("page", F.lit(0.0).alias("c"))
+
+    def step(flow: _Flow, scores: DataFrame) -> DataFrame:
+        return (flow.spread(scores, "s").unionByName(zero)
+                .groupBy("page").agg(F.sum("c").alias("s")))
 
     def by_max(scores: DataFrame) -> DataFrame:
         top = scores.agg(F.max("s")).first()[0] or 0.0
@@ -189,12 +257,16 @@ def hits(edges: DataFrame, rounds: int = 40, checkpoint_every: int = 5) -> DataF
     hub = nodes.select("page", F.lit(1.0).alias("s"))
     auth = nodes.select("page", F.lit(1.0).alias("s"))
     for i in range(rounds):
-        auth = step(hub, "src", "dst")
-        hub = step(auth, "dst", "src")
+        auth = step(forward, hub)
+        hub = step(backward, auth)
         if i < rounds - 1 and (i + 1) % cut.every == 0:
             hub = by_max(cut(hub, i, force=True))
     auth = by_max(cut(auth, rounds, force=True))
     hub = by_max(cut(hub, rounds, force=True))
+    forward.release()
+    backward.release()
+    nodes.unpersist()
+    links.unpersist()
     return (hub.select("page", F.col("s").alias("hub"))
             .join(auth.select("page", F.col("s").alias("authority")), "page"))
 

@@ -73,3 +73,19 @@ def test_rank_extremes_order(spark):
     # low -> high; ties ascend by id, so the top list prefers larger ids
     assert got == [("bottom", 1, 0), ("bottom", 2, 4), ("bottom", 3, 8),
                    ("top", 1, 6), ("top", 2, 3), ("top", 3, 7)]
+
+
+def test_salted_path_matches_broadcast_path(spark, monkeypatch):
+    hub = [(0, d) for d in range(1, 300)]
+    rest = [(s, (s * 7) % 300) for s in range(1, 300) if (s * 7) % 300 != s]
+    edges = spark.createDataFrame(hub + rest, "src long, dst long")
+    want = {p: round(r, 12) for p, r in rows(G.pagerank_power(edges, rounds=3), "page", "rank")}
+    want_h = rows(G.hits(edges, rounds=2))
+    monkeypatch.setattr(G, "MAX_BROADCAST_EDGES", 0)
+    for max_nodes in (10_000, 0):           # score broadcast, then salted
+        monkeypatch.setattr(G, "MAX_BROADCAST_NODES", max_nodes)
+        got = {p: round(r, 12) for p, r in rows(G.pagerank_power(edges, rounds=3), "page", "rank")}
+        assert got == want
+        got_h = rows(G.hits(edges, rounds=2))
+        assert [(p, round(h, 12), round(a, 12)) for p, h, a in got_h] == \
+            [(p, round(h, 12), round(a, 12)) for p, h, a in want_h]
