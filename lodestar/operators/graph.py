@@ -55,6 +55,7 @@ def friend_candidates(adj: DataFrame, top_n: int = 10, mode: str = "symmetric")
     """
     if mode not in ("symmetric", "list_order"):
         raise ValueError("mode must be 'symmetric' or 'list_order'")
+    adj = _cached(adj)
     counts = (_two_hop(adj, mode).groupBy("user_id", "candidate")
               .agg(F.count(F.lit(1)).alias("n")))
     direct = adj.select(F.col("src").alias("user_id"), F.col("dst").alias("candidate"))
@@ -64,6 +65,13 @@ def friend_candidates(adj: DataFrame, top_n: int = 10, mode: str = "symmetric")
             .filter(F.col("rank") <= top_n))
 
 
+def _cached(df: DataFrame) -> DataFrame:
+    """The adjacency is read three or four times (both sides of the
+    two-hop join, the anti join, the user list): cache it once."""
+    return df if df.storageLevel.useMemory or df.storageLevel.useDisk else df.persist(
+        StorageLevel.MEMORY_AND_DISK)
+
+
 def _users(adj: DataFrame, users: DataFrame | None) -> DataFrame:
     if users is not None:
         return users.select(F.col(users.columns[0]).alias("user_id")).distinct()
@@ -75,6 +83,7 @@ def recommend_friends(adj: DataFrame, top_n: int = 10, mode: str = "symmetric",
     """M6 long form with J12: every user keeps a row (null candidate when
     there is nothing to recommend).  ``users`` lists users whose input row
     may be empty; by default the users with at least one friend."""
+    adj = _cached(adj)
     return _users(adj, users).join(friend_candidates(adj, top_n, mode), "user_id", "left")
 
 
@@ -83,6 +92,7 @@ def recommend_friends_text(adj: DataFrame, top_n: int = 10, mode: str = "list_or
     """K5 form ``(user_id, recs)``: ids joined by commas in rank order,
     ``''`` for a user without candidates.  The per-user list holds at most
     ``top_n`` entries, so collecting it is bounded."""
+    adj = _cached(adj)
     ranked = friend_candidates(adj, top_n, mode)
     lists = ranked.groupBy("user_id").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "candidate"))),
