@@ -132,3 +132,26 @@ def triple_rules(triples: DataFrame, pair_counts: DataFrame) -> DataFrame:
 def rules_as_float32(rules: DataFrame) -> DataFrame:
     """Reference-exact float32 confidences (Spark divides floats in double)."""
     return rules.withColumn("confidence", F.col("confidence").cast("float"))
+
+
+def basket_arrays(df: DataFrame, basket_cols: Sequence[str], text_col: str = "text") -> DataFrame:
+    """Baskets as rows ``(*basket_cols, items)`` of distinct non-empty tokens."""
+    return df.select(*basket_cols, F.array_distinct(split_nonempty(text_col)).alias("items"))
+
+
+def frequent_itemsets(baskets: DataFrame, min_support: int, n_baskets: int,
+                      items_col: str = "items") -> DataFrame:
+    """M4 beyond triples: all frequent itemsets of any size with Spark ML's
+    parallel FP-growth.  Output ``(items array<string> sorted, n)``.
+
+    FP-growth takes a fraction; ``(s - 0.5) / n`` makes its
+    ``ceil(fraction * n)`` equal the integer support s exactly.
+    """
+    from pyspark.ml.fpm import FPGrowth
+
+    fp = FPGrowth(itemsCol=items_col, minSupport=(min_support - 0.5) / max(1, n_baskets),
+                  minConfidence=1.0)
+    model = fp.fit(baskets.select(items_col))
+    return (model.freqItemsets
+            .select(F.array_sort("items").alias("items"), F.col("freq").alias("n"))
+            .filter(F.col("n") >= min_support))

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.functions.text import first_letter, java_split
+from lodestar.functions.text import java_split
 
 
 def tokens(df: DataFrame, col: str = "value", keep_empty: bool = True,
@@ -29,12 +29,22 @@ def word_count(df: DataFrame, col: str = "value", keep_empty: bool = True) -> Da
     return tokens(df, col, keep_empty).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
+# A token starts at the beginning of the line or after one whitespace
+# character; skip its leading non-letters and capture its first ASCII letter.
+# Tokens without a letter never match, and each token matches at most once.
+_FIRST_LETTER_OF_TOKEN = r"(?:^|\s)[^A-Za-z\s]*([A-Za-z])"
+
+
 def first_letter_count(df: DataFrame, col: str = "value") -> DataFrame:
     """M2: ``(letter, n)``: lower-cased first ASCII letter of each token;
-    tokens without any ASCII letter are skipped (P4)."""
-    letters = tokens(df, col).select(first_letter("token").alias("letter"))
-    return (letters.filter(F.col("letter") != "")
-            .groupBy("letter").agg(F.count(F.lit(1)).alias("n")))
+    tokens without any ASCII letter are skipped (P4).
+
+    One regex pass per line extracts the letters directly, so the tokens
+    themselves are never materialised as rows.
+    """
+    letters = df.select(F.explode(F.regexp_extract_all(F.col(col), F.lit(_FIRST_LETTER_OF_TOKEN),
+                                                       1)).alias("c"))
+    return letters.groupBy(F.lower("c").alias("letter")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def split_records(df: DataFrame, col: str = "value", strict: bool = False) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,7 +38,8 @@ def q_distinct_count_per_key(spark, sf_dir):
 # -- baskets ----------------------------------------------------------------
 
 def _basket_setup(spark, sf_dir):
-    items = S.conversation_items(spark, sf_dir)
+    # the long-form basket items are read by every A-priori level: cache once
+    items = S.conversation_items(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
     support = B.support_threshold(S.conversation_count(spark, sf_dir))
     return items, support
 
@@ -72,6 +74,15 @@ def q_triple_rules(spark, sf_dir):
     return B.triple_rules(triples, pairs)
 
 
+def q_frequent_itemsets(spark, sf_dir):
+    conv = S.table(spark, sf_dir, "conversations").select(*S.BASKET_COLS, "text")
+    n = S.conversation_count(spark, sf_dir)
+    sets = B.frequent_itemsets(B.basket_arrays(conv, S.BASKET_COLS, "text"),
+                               B.support_threshold(n), n)
+    return sets.select(F.array_join("items", ",").alias("items"),
+                       F.size("items").alias("size"), "n")
+
+
 QUERIES: dict[str, Query] = {
     "word_count": q_word_count,
     "first_letter_count": q_first_letter_count,
@@ -81,6 +92,7 @@ QUERIES: dict[str, Query] = {
     "pair_rules": q_pair_rules,
     "triple_support": q_triple_support,
     "triple_rules": q_triple_rules,
+    "frequent_itemsets": q_frequent_itemsets,
 }
 
 

@@ -32,6 +32,24 @@ _BASKET_ITEMS = r"""
          GROUP BY 1, 2, 3 HAVING count(*) >= (SELECT s FROM th))
 """
 
+def _itemsets(levels: int = 10) -> str:
+    """All frequent itemsets, level k grown from frequent (k-1)-prefixes."""
+    ctes = ["o1 AS (SELECT conv_id, turn, item AS i1 FROM fo)"]
+    sel = ["SELECT item AS items, 1 AS size, n FROM fi"]
+    for k in range(2, levels + 1):
+        prev = ", ".join(f"o.i{j}" for j in range(1, k))
+        keys = ", ".join(f"i{j}" for j in range(1, k + 1))
+        ctes.append(f"""o{k}x AS (SELECT o.conv_id, o.turn, {prev}, f.item AS i{k}
+           FROM o{k - 1} o JOIN fo f ON f.conv_id = o.conv_id AND f.turn = o.turn
+                                   AND f.item > o.i{k - 1}),
+  L{k} AS (SELECT {keys}, count(*) AS n FROM o{k}x GROUP BY {keys}
+           HAVING count(*) >= (SELECT s FROM th)),
+  o{k} AS (SELECT o{k}x.* FROM o{k}x JOIN L{k} USING ({keys}))""")
+        sel.append(f"SELECT concat_ws(',', {keys}) AS items, {k} AS size, n FROM L{k}")
+    return (f"WITH {_BASKET_ITEMS},\n  " + ",\n  ".join(ctes) + "\n" +
+            "\nUNION ALL ".join(sel))
+
+
 ORACLES: dict[str, str] = {
     "word_count": f"""
         SELECT token, count(*) AS n
@@ -54,6 +72,7 @@ ORACLES: dict[str, str] = {
               UNION ALL SELECT item_b, item_a, n FROM fp) r
         JOIN fi ON fi.item = r.lhs""",
     "triple_support": f"WITH {_BASKET_ITEMS} SELECT item_a, item_b, item_c, n FROM ft",
+    "frequent_itemsets": _itemsets(10),
     "triple_rules": f"""WITH {_BASKET_ITEMS}
         SELECT x || ',' || y || '->' || z AS rule, r.n, r.n / fp.n AS confidence
         FROM (SELECT item_a AS x, item_b AS y, item_c AS z, n FROM ft

@@ -49,3 +49,11 @@ def test_support_monotone_property(items):
 
 def test_support_threshold_formula():
     assert [B.support_threshold(n) for n in (87, 536, 5012)] == [17, 100, 933]
+
+
+def test_fpgrowth_agrees_with_apriori(spark):
+    df = spark.createDataFrame(BASKETS, "basket long, text string")
+    arrays = B.basket_arrays(df, ["basket"], "text")
+    got = sorted((tuple(r["items"]), r["n"]) for r in B.frequent_itemsets(arrays, 2, 5).collect())
+    assert got == [(("a",), 4), (("a", "b"), 3), (("a", "b", "c"), 2), (("a", "c"), 3),
+                   (("b",), 4), (("b", "c"), 3), (("c",), 4)]

@@ -54,3 +54,13 @@ def test_distinct_count_with_expression(spark):
     df = spark.createDataFrame([(1, "a", "b"), (1, "ab", ""), (2, "x", "y")], "k int, a string, b string")
     out = distinct_count_per_key(df, "k", F.concat("a", "b"))
     assert rows(out) == [(1, 1), (2, 1)]
+
+
+def test_first_letter_matches_token_definition(spark):
+    from lodestar.functions.text import first_letter
+    texts = ["  7x  --ab\tc9 Z", "", "   ", "é ü9 Ña q", "a\nb\r\nc", "(1)(2) x-y", "\x0bv w"]
+    df = lines(spark, *texts)
+    brute = (df.select(java_split("value").alias("t")).selectExpr("explode(t) AS token")
+             .select(first_letter("token").alias("letter")).filter("letter <> ''")
+             .groupBy("letter").count())
+    assert rows(first_letter_count(df)) == rows(brute)
