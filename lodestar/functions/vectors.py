@@ -50,8 +50,8 @@ def scale(a: Column | str, k: Column | float) -> Column:
 
 
 def literal_vector(values) -> Column:
-    """A bounded model vector (centroid, weights) as an array literal."""
-    return F.array(*[F.lit(float(v)) for v in values])
+    """A bounded model vector (centroid, weights) as one array literal."""
+    return F.lit([float(v) for v in values])
 
 
 DISTANCES = {"l2": l2_squared, "l1": l1_distance}

@@ -5,9 +5,9 @@ The centroids are model state of k x dim numbers, handed to every task as
 an array literal inside the projection (the map-side hash table of the
 reference becomes a constant folded into generated code).  Each round is a
 single job: assignment, then one aggregation per cluster carrying count,
-loss and one sum per dimension, partially aggregated before the shuffle --
+loss and the per-dimension sums, partially aggregated before the shuffle --
 only k x dim partial sums per partition cross the network, however large
-one cluster is.
+one cluster is (wide vectors use the exploded form of ``vector_sums``).
 """
 
 from __future__ import annotations
@@ -19,12 +19,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.functions.vectors import distance as distance_fn
+from lodestar.operators.vector_sums import vector_sums
 
 FLOAT_MAX = 3.4028234663852886e38
 
 
 def _centroid_literal(centers: Sequence[Sequence[float]]):
-    return F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in centers])
+    """One array-of-arrays literal (a single constant in the plan)."""
+    return F.lit([[float(v) for v in c] for c in centers])
 
 
 def _nearest(features: str, centers, distance: str):
@@ -53,9 +55,9 @@ def _round_stats(points: DataFrame, centers, distance: str, features: str, dim:
     assigned = (points.select(features, best.alias("_b")).filter(F.col("_b").isNotNull())
                 .select(F.col("_b.cluster").alias("cluster"), F.col("_b.dist").alias("dist"),
                         features))
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum("dist").alias("loss")]
-    aggs += [F.sum(F.col(features)[d]).alias(f"s{d}") for d in range(dim)]
-    return assigned.groupBy("cluster").agg(*aggs).collect()
+    sums, extras = vector_sums(assigned, features, dim, ["cluster"],
+                               extra=[F.count(F.lit(1)).alias("n"), F.sum("dist").alias("loss")])
+    return {k[0]: (extras[k]["n"], extras[k]["loss"], sums[k]) for k in extras}
 
 
 def kmeans_step(points: DataFrame, centers: Sequence[Sequence[float]], distance: str = "l2",
@@ -66,16 +68,16 @@ def kmeans_step(points: DataFrame, centers: Sequence[Sequence[float]], distance:
     removed with later ids shifting down (``drop_empty``, N4).
     """
     dim = len(centers[0])
-    rows = {r["cluster"]: r for r in _round_stats(points, centers, distance, features, dim)}
-    loss = float(sum(r["loss"] for r in rows.values()))
+    stats = _round_stats(points, centers, distance, features, dim)
+    loss = float(sum(s[1] for s in stats.values()))
     new = []
     for k, c in enumerate(centers):
-        r = rows.get(k)
-        if r is None:
+        if k not in stats:
             if not drop_empty:
                 new.append(list(c))
             continue
-        new.append([r[f"s{d}"] / r["n"] for d in range(dim)])
+        n, _, sums = stats[k]
+        new.append([x / n for x in sums])
     return new, loss
 
 

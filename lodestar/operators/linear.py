@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from lodestar.functions.vectors import dot, literal_vector
 from lodestar.operators.sequence import with_global_index
+from lodestar.operators.vector_sums import vector_sums
 
 
 def svm_rows(df: DataFrame, label: str = "label", features: str = "features",
@@ -39,14 +40,15 @@ def _round(rows: DataFrame, w: Sequence[float], b: float, c: float,
     if in_batch is not None:
         viol = viol & in_batch
     neg_y = F.when(viol, -F.col("y").cast("double")).otherwise(F.lit(0.0))
-    aggs = [F.sum(F.greatest(F.lit(0.0), F.lit(1.0) - m)).alias("hinge"),
-            F.sum(neg_y).alias("gb")]
-    aggs += [F.sum(neg_y * F.col("features")[d]).alias(f"g{d}") for d in range(dim)]
-    r = rows.agg(*aggs).first()
-    hinge = r["hinge"] or 0.0
+    sums, extras = vector_sums(
+        rows, "features", dim, (), weight=neg_y,
+        extra=[F.sum(F.greatest(F.lit(0.0), F.lit(1.0) - m)).alias("hinge"),
+               F.sum(neg_y).alias("gb")])
+    g, r = sums.get((), [0.0] * dim), extras.get((), {})
+    hinge = r.get("hinge") or 0.0
     cost = 0.5 * sum(x * x for x in w) + c * hinge
-    dw = [w[d] + c * (r[f"g{d}"] or 0.0) for d in range(dim)]
-    db = c * (r["gb"] or 0.0)
+    dw = [w[d] + c * g[d] for d in range(dim)]
+    db = c * (r.get("gb") or 0.0)
     return cost, dw, db
 
 

@@ -52,3 +52,10 @@ def test_nan_points_are_dropped(spark):
 def test_unknown_distance_rejected(points):
     with pytest.raises(ValueError):
         K.kmeans_assign(points, CENTERS, "cosine")
+
+
+def test_wide_vector_path_matches_narrow(points, monkeypatch):
+    from lodestar.operators import vector_sums as V
+    want = K.kmeans_fit(points, CENTERS, 2, "l2")
+    monkeypatch.setattr(V, "WIDE_DIM", 1)
+    assert K.kmeans_fit(points, CENTERS, 2, "l2") == want

@@ -37,3 +37,10 @@ def test_stop_rule_windows(spark):
     assert got[1][1:] == pytest.approx((10.0, 5.0)) and got[2][1:] == pytest.approx((10.0, 7.5))
     assert rows(percent_changes(hist), "pct_change")[1:] == [(pytest.approx(10.0),)] * 2
     assert L.pct_change(100.0, 90.0) == pytest.approx(10.0)
+
+
+def test_wide_vector_path_matches_narrow(svm, monkeypatch):
+    from lodestar.operators import vector_sums as V
+    want = L.svm_cost_gradient(svm, [0.5, 0.0], 0.0, 100.0)
+    monkeypatch.setattr(V, "WIDE_DIM", 1)
+    assert L.svm_cost_gradient(svm, [0.5, 0.0], 0.0, 100.0) == want
