@@ -14,6 +14,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lodestar.functions.hashing import CMS_BUCKETS
@@ -37,13 +38,22 @@ def cms_stream_query(stream: DataFrame, col: str, n_buckets: int = CMS_BUCKETS,
             .trigger(availableNow=True).start())
 
 
-def cms_stream(spark: SparkSession, source_dir: str, file_glob: str, schema: StructType,
-               col: str, n_buckets: int = CMS_BUCKETS, timeout_s: float | None = None) -> DataFrame:
+def cms_stream(spark: SparkSession, source_dir: str, file_glob: str, schema: StructType | None,
+               col: str, n_buckets: int = CMS_BUCKETS, timeout_s: float | None = None,
+               fmt: str = "parquet") -> DataFrame:
     """T1 + T3: drain every file matching ``file_glob`` under
     ``source_dir`` through the streaming sketch, then return the sketch as
-    a batch DataFrame ``(h, bucket, n)`` ready for probing."""
-    stream = (spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
-              .parquet(source_dir).select(col))
+    a batch DataFrame ``(h, bucket, n)`` ready for probing.
+
+    ``fmt="text"`` reads one integer id per line (S14): the line is
+    right-trimmed and cast, and ``col`` names the resulting column.
+    """
+    reader = spark.readStream.option("pathGlobFilter", file_glob)
+    if fmt == "text":
+        stream = reader.text(source_dir).select(
+            F.regexp_replace("value", r"\s+$", "").cast("long").alias(col))
+    else:
+        stream = reader.schema(schema).format(fmt).load(source_dir).select(col)
     q = cms_stream_query(stream, col, n_buckets)
     q.awaitTermination(timeout_s)
     if q.exception() is not None:

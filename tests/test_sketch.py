@@ -39,3 +39,13 @@ def test_stream_equals_batch(spark, tmp_path):
     assert rows(streamed) == rows(C.cms_sketch(ev, "user_id", 100))
     total = C.cms_total(streamed).first()[0]
     assert total == 5000
+
+
+def test_text_stream_of_ids(spark, tmp_path):
+    src = tmp_path / "lines"
+    src.mkdir()
+    (src / "a.txt").write_text("0\n1 \n149\n0\n")
+    (src / "b.txt").write_text("123457\n")
+    sk = cms_stream(spark, str(src), "*.txt", None, "id", fmt="text")
+    probes = spark.createDataFrame([(0,), (1,), (149,), (5,)], "id long")
+    assert rows(C.cms_estimate(sk, probes)) == [(0, 3), (1, 1), (5, 0), (149, 1)]
