@@ -32,15 +32,24 @@ def _two_hop(adj: DataFrame, mode: str) -> DataFrame:
     one-directional emission, friend i -> friend j only for j after i in
     the list (column ``pos`` when present, else id order -- with id-sorted
     lists only larger ids are offered, N3).
+
+    A hub of degree d yields d^2 rows.  Hubs (more than half an average
+    partition of list entries) are split explicitly: one side of the join
+    is salted by a hash of the user, the other repeats the hub's rows once
+    per salt, so the d^2 rows are produced by ``parts`` tasks instead of one.
     """
     order = "pos" if "pos" in adj.columns else "dst"
+    parts = _partitions(adj)
+    hot = hot_keys(adj, "src", parts)
     a = adj.select(F.col("src").alias("mid"), F.col("dst").alias("user_id"),
                    F.col(order).alias("_oa"))
+    a = a.withColumn("_salt", salt_big("mid", hot, "user_id", parts))
     b = adj.select(F.col("src").alias("mid"), F.col("dst").alias("candidate"),
                    F.col(order).alias("_ob"))
+    b = b.withColumn("_salt", F.explode(salt_small("mid", hot, parts)))
     cond = (F.col("user_id") != F.col("candidate")) if mode == "symmetric" else (
         F.col("_oa") < F.col("_ob"))
-    return a.join(b, "mid").filter(cond).select("user_id", "candidate")
+    return a.join(b, ["mid", "_salt"]).filter(cond).select("user_id", "candidate")
 
 
 def friend_candidates(adj: DataFrame, top_n: int = 10, mode: str = "symmetric") -> DataFrame:

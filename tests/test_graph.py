@@ -89,3 +89,25 @@ def test_salted_path_matches_broadcast_path(spark, monkeypatch):
         got_h = rows(G.hits(edges, rounds=2))
         assert [(p, round(h, 12), round(a, 12)) for p, h, a in got_h] == \
             [(p, round(h, 12), round(a, 12)) for p, h, a in want_h]
+
+
+def test_friends_with_a_hub_match_brute_force(spark):
+    import itertools
+    from collections import Counter
+    edges = {(0, v) for v in range(1, 60)} | {(v, (v * 7) % 60) for v in range(1, 60) if (v * 7) % 60 != v}
+    sym = sorted(edges | {(b, a) for a, b in edges})
+    adj = spark.createDataFrame(sym, "src long, dst long")
+    friends = {}
+    for a, b in sym:
+        friends.setdefault(a, set()).add(b)
+    cnt = Counter()
+    for m, fs in friends.items():
+        for u, v in itertools.permutations(sorted(fs), 2):
+            if v not in friends[u]:
+                cnt[(u, v)] += 1
+    want = []
+    for u in sorted(friends):
+        ranked = sorted(((v, n) for (x, v), n in cnt.items() if x == u), key=lambda t: (-t[1], t[0]))
+        want += [(u, v, n, r + 1) for r, (v, n) in enumerate(ranked[:10])] or [(u, None, None, None)]
+    got = rows(G.recommend_friends(adj, 10, "symmetric"), "user_id", "candidate", "n", "rank")
+    assert got == sorted(want, key=lambda t: [(v is not None, v or 0) for v in t])
