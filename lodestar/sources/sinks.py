@@ -14,9 +14,13 @@ from pyspark.sql import functions as F
 
 def write_kv_text(df: DataFrame, key: str, value: str | Column, path: str,
                   single_file: bool = False, mode: str = "overwrite") -> None:
-    """K1: ``key<TAB>value`` lines sorted by key across part files."""
+    """K1: ``key<TAB>value`` lines sorted by key across part files.
+
+    The value is a secondary sort key so that the range partitioner can
+    split a key that holds a large share of the rows.
+    """
     v = F.col(value) if isinstance(value, str) else value
-    out = df.select(F.col(key).alias("_k"), v.cast("string").alias("_v")).orderBy("_k")
+    out = df.select(F.col(key).alias("_k"), v.cast("string").alias("_v")).orderBy("_k", "_v")
     if single_file:
         out = out.coalesce(1)
     out.select(F.concat_ws("\t", F.col("_k").cast("string"), "_v").alias("value")) \
