@@ -34,8 +34,9 @@ def get_spark(master: str | None = None, app: str = "lodestar",
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
-        .config("spark.driver.memory", conf.pop("driver_memory", "8g"))
+        .config("spark.driver.memory", conf.pop("driver_memory", "4g"))
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
