@@ -253,9 +253,10 @@ def hits(edges: DataFrame, rounds: int = 40, checkpoint_every: int = 5) -> DataF
 
     Dividing by the max every round only rescales the vectors, so the
     rescaling is applied at each lineage cut (to keep values finite) and
-    at the end, not as one driver action per half-round.  Nodes without
-    in-links (out-links) get authority (hub) 0 via a union with the node
-    list, so each half-round is one aggregation.
+    at the end, not as one driver action per half-round.  A node absent
+    from a score vector has score 0 and contributes nothing to the next
+    half-round, so intermediate vectors hold only nodes that received a
+    contribution; the node list is joined in once, at the end.
     """
     spark = edges.sparkSession
     cut = LineageCutter(spark, checkpoint_every)
@@ -263,11 +264,9 @@ def hits(edges: DataFrame, rounds: int = 40, checkpoint_every: int = 5) -> DataF
     nodes = _nodes(links)
     e = links.count()
     forward, backward = _Flow(links, "src", "dst", e, nodes), _Flow(links, "dst", "src", e, nodes)
-    zero = nodes.select("page", F.lit(0.0).alias("c"))
 
     def step(flow: _Flow, scores: DataFrame) -> DataFrame:
-        return (flow.spread(scores, "s").unionByName(zero)
-                .groupBy("page").agg(F.sum("c").alias("s")))
+        return flow.spread(scores, "s").groupBy("page").agg(F.sum("c").alias("s"))
 
     def by_max(scores: DataFrame) -> DataFrame:
         top = scores.agg(F.max("s")).first()[0] or 0.0
@@ -282,12 +281,16 @@ def hits(edges: DataFrame, rounds: int = 40, checkpoint_every: int = 5) -> DataF
             hub = by_max(cut(hub, i, force=True))
     auth = by_max(cut(auth, rounds, force=True))
     hub = by_max(cut(hub, rounds, force=True))
+    out = (nodes.join(hub.select("page", F.col("s").alias("hub")), "page", "left")
+           .join(auth.select("page", F.col("s").alias("authority")), "page", "left")
+           .select("page", F.coalesce("hub", F.lit(0.0)).alias("hub"),
+                   F.coalesce("authority", F.lit(0.0)).alias("authority")))
+    out = cut(out, rounds, force=True)
     forward.release()
     backward.release()
     nodes.unpersist()
     links.unpersist()
-    return (hub.select("page", F.col("s").alias("hub"))
-            .join(auth.select("page", F.col("s").alias("authority")), "page"))
+    return out
 
 
 # -- top / bottom report (O3) ----------------------------------------------
