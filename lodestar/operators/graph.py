@@ -36,17 +36,18 @@ def _two_hop(adj: DataFrame, mode: str) -> DataFrame:
     A hub of degree d yields d^2 rows.  Hubs (more than half an average
     partition of list entries) are split explicitly: one side of the join
     is salted by a hash of the user, the other repeats the hub's rows once
-    per salt, so the d^2 rows are produced by ``parts`` tasks instead of one.
+    per salt (salts proportional to the hub's size), so the d^2 rows are
+    produced by many tasks instead of one.
     """
     order = "pos" if "pos" in adj.columns else "dst"
     parts = _partitions(adj)
     hot = hot_keys(adj, "src", parts)
     a = adj.select(F.col("src").alias("mid"), F.col("dst").alias("user_id"),
                    F.col(order).alias("_oa"))
-    a = a.withColumn("_salt", salt_big("mid", hot, "user_id", parts))
+    a = a.withColumn("_salt", salt_big("mid", hot, "user_id"))
     b = adj.select(F.col("src").alias("mid"), F.col("dst").alias("candidate"),
                    F.col(order).alias("_ob"))
-    b = b.withColumn("_salt", F.explode(salt_small("mid", hot, parts)))
+    b = b.withColumn("_salt", F.explode(salt_small("mid", hot)))
     cond = (F.col("user_id") != F.col("candidate")) if mode == "symmetric" else (
         F.col("_oa") < F.col("_ob"))
     return a.join(b, ["mid", "_salt"]).filter(cond).select("user_id", "candidate")
@@ -133,9 +134,10 @@ class _Flow:
       no edge moves and a node of any degree is spread over all tasks.
     * ``salted``: both are large -- hash-partition the edges once on
       ``(frm, salt)``; hot ``frm`` nodes (more than half an average
-      partition) are salted by ``to`` and their score rows repeated per
-      salt, so per round only the score vector is shuffled and no task
-      holds a hot node's whole edge list.
+      partition) are salted by ``to`` into about one partition's worth of
+      edges per salt and their score rows repeated per salt, so per round
+      only the score vector is shuffled and no task holds a hot node's
+      whole edge list.
     """
 
     def __init__(self, links: DataFrame, frm: str, to: str, n_edges: int, nodes: DataFrame,
@@ -148,8 +150,8 @@ class _Flow:
         self.links = links
         if self.mode == "salted":
             parts = _partitions(links)
-            self.hot, self.buckets = hot_keys(links, frm, parts), parts
-            self.links = (links.withColumn("_salt", salt_big(frm, self.hot, to, parts))
+            self.hot = hot_keys(links, frm, parts)
+            self.links = (links.withColumn("_salt", salt_big(frm, self.hot, to))
                           .repartition(parts, frm, "_salt")
                           .persist(StorageLevel.MEMORY_AND_DISK))
 
@@ -161,7 +163,7 @@ class _Flow:
         elif self.mode == "scores":
             j = self.links.join(F.broadcast(scores), self.links[self.frm] == scores.page)
         else:
-            sc = scores.withColumn("_s", F.explode(salt_small("page", self.hot, self.buckets)))
+            sc = scores.withColumn("_s", F.explode(salt_small("page", self.hot)))
             j = self.links.join(sc, (self.links[self.frm] == sc.page)
                                 & (self.links["_salt"] == sc["_s"]))
         return j.select(F.col(self.to).alias("page"), (F.col(value) * F.col("w")).alias("c"))

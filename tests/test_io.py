@@ -95,3 +95,18 @@ def test_positional_join_frames(spark):
     b = spark.createDataFrame([(0, 1), (1, 2)], "idx long, b int")
     with pytest.raises(ValueError):
         positional_join(a, b)
+
+
+def test_hot_keys_and_salts(spark):
+    from pyspark.sql import functions as F
+    from lodestar.plans.skew import hot_keys, salt_big, salt_small
+    df = spark.createDataFrame([(0, i) for i in range(400)] + [(k, k) for k in range(1, 101)],
+                               "k long, v long")
+    hot = hot_keys(df, "k", parts=10)
+    assert hot.keys == [0] and hot.buckets == [8]          # 400 rows / 50 per partition
+    salts = {r[0] for r in df.filter("k = 0").select(salt_big("k", hot, "v")).collect()}
+    assert salts == set(range(8))
+    assert {r[0] for r in df.filter("k = 5").select(salt_big("k", hot, "v")).collect()} == {0}
+    small = spark.createDataFrame([(0,), (5,)], "k long").select(
+        "k", F.explode(salt_small("k", hot)).alias("s"))
+    assert rows(small) == [(0, s) for s in range(8)] + [(5, 0)]
