@@ -40,21 +40,26 @@ def cms_stream_query(stream: DataFrame, col: str, n_buckets: int = CMS_BUCKETS,
 
 def cms_stream(spark: SparkSession, source_dir: str, file_glob: str, schema: StructType | None,
                col: str, n_buckets: int = CMS_BUCKETS, timeout_s: float | None = None,
-               fmt: str = "parquet") -> DataFrame:
+               fmt: str = "parquet", checkpoint: str | None = None,
+               max_files_per_trigger: int | None = None) -> DataFrame:
     """T1 + T3: drain every file matching ``file_glob`` under
     ``source_dir`` through the streaming sketch, then return the sketch as
     a batch DataFrame ``(h, bucket, n)`` ready for probing.
 
     ``fmt="text"`` reads one integer id per line (S14): the line is
     right-trimmed and cast, and ``col`` names the resulting column.
+    Passing the ``checkpoint`` of an earlier run resumes it: only files
+    that arrived since are read, and the counts add to the saved state.
     """
     reader = spark.readStream.option("pathGlobFilter", file_glob)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if fmt == "text":
         stream = reader.text(source_dir).select(
             F.regexp_replace("value", r"\s+$", "").cast("long").alias(col))
     else:
         stream = reader.schema(schema).format(fmt).load(source_dir).select(col)
-    q = cms_stream_query(stream, col, n_buckets)
+    q = cms_stream_query(stream, col, n_buckets, checkpoint=checkpoint)
     q.awaitTermination(timeout_s)
     if q.exception() is not None:
         raise RuntimeError(f"streaming sketch failed: {q.exception()}")

@@ -49,3 +49,17 @@ def test_text_stream_of_ids(spark, tmp_path):
     sk = cms_stream(spark, str(src), "*.txt", None, "id", fmt="text")
     probes = spark.createDataFrame([(0,), (1,), (149,), (5,)], "id long")
     assert rows(C.cms_estimate(sk, probes)) == [(0, 3), (1, 1), (5, 0), (149, 1)]
+
+
+def test_stream_resumes_from_checkpoint(spark, tmp_path):
+    src, ck = tmp_path / "in", str(tmp_path / "ck")
+    src.mkdir()
+    (src / "a.txt").write_text("0\n1\n2\n")
+    (src / "b.txt").write_text("0\n")
+    first = rows(cms_stream(spark, str(src), "*.txt", None, "id", 50, fmt="text", checkpoint=ck,
+                            max_files_per_trigger=1))
+    (src / "c.txt").write_text("0\n5\n")
+    second = rows(cms_stream(spark, str(src), "*.txt", None, "id", 50, fmt="text", checkpoint=ck))
+    ids = spark.createDataFrame([(i,) for i in (0, 1, 2, 0, 0, 5)], "id long")
+    assert sum(n for h, _, n in first if h == 0) == 4
+    assert second == rows(C.cms_sketch(ids, "id", 50))
