@@ -63,3 +63,47 @@ def distance(name: str):
         return DISTANCES[name.lower()]
     except KeyError:
         raise ValueError(f"unknown distance {name!r}; use one of {sorted(DISTANCES)}")
+
+
+# Higher-order functions (transform / zip_with / aggregate) are evaluated
+# row by row without code generation.  When one side is a model of known,
+# modest width, the arithmetic is written out term by term instead, which
+# whole-stage code generation compiles; above UNROLL_MAX terms the
+# higher-order form is kept so plans stay small.
+UNROLL_MAX = 8192
+
+
+def _terms(col: Column | str, values, term) -> Column:
+    c = _c(col)
+    acc = F.lit(0.0)
+    for d, v in enumerate(values):
+        acc = acc + term(c[d], F.lit(float(v)))
+    return acc
+
+
+def dot_const(col: Column | str, values) -> Column:
+    """Dot product with a constant vector (model weights)."""
+    if len(values) > UNROLL_MAX:
+        return dot(col, literal_vector(values))
+    return _terms(col, values, lambda x, v: x * v)
+
+
+def distance_const(name: str, col: Column | str, center) -> Column:
+    """``l2`` (squared) or ``l1`` distance to a constant vector (a centroid)."""
+    distance(name)                                  # validates the name (X8)
+    if len(center) > UNROLL_MAX:
+        return distance(name)(col, literal_vector(center))
+    if name.lower() == "l2":
+        return _terms(col, center, lambda x, v: (x - v) * (x - v))
+    return _terms(col, center, lambda x, v: F.abs(x - v))
+
+
+def dot_width(a: Column | str, b: Column | str, width: int) -> Column:
+    """Dot product of two vector columns of known width."""
+    if width > UNROLL_MAX:
+        return dot(a, b)
+    x, y = _c(a), _c(b)
+    acc = F.lit(0.0)
+    for d in range(width):
+        acc = acc + x[d] * y[d]
+    return acc

@@ -1,19 +1,23 @@
 """k-means with given initial centroids (M7): L2-squared or L1 assignment,
 mean update, loss per round measured with the centroids before the update.
 
-The centroids are model state of k x dim numbers, handed to every task as
-an array literal inside the projection (the map-side hash table of the
-reference becomes a constant folded into generated code).  Each round is a
-single job: assignment, then one aggregation per cluster carrying count,
-loss and the per-dimension sums, partially aggregated before the shuffle --
-only k x dim partial sums per partition cross the network, however large
-one cluster is (wide vectors use the exploded form of ``vector_sums``).
+The centroids are model state of k x dim numbers handed to every task (the
+map-side hash table of the reference).  Distances are computed per Arrow
+batch with vectorised numpy inside ``mapInPandas`` -- Spark's higher-order
+array functions would be interpreted row by row, and k x dim unrolled
+column terms overflow generated-code method limits.  Each round is a
+single job: every task folds its points into k partial rows (count, loss,
+per-dimension sums) and Spark sums the partials by cluster, so only
+k x dim numbers per partition cross the network, however large one
+cluster is.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,40 +28,82 @@ from lodestar.operators.vector_sums import vector_sums
 FLOAT_MAX = 3.4028234663852886e38
 
 
-def _centroid_literal(centers: Sequence[Sequence[float]]):
-    """One array-of-arrays literal (a single constant in the plan)."""
-    return F.lit([[float(v) for v in c] for c in centers])
+# Rows per block of the distance computation (block x centroids x dim
+# doubles are materialised at once).
+_BLOCK_ELEMENTS = 4_000_000
 
 
-def _nearest(features: str, centers, distance: str):
-    """``struct(dist, cluster)`` of the nearest centroid (W5: struct order
-    compares the distance, then the lower index); null when every distance
-    is NaN or >= Float.MAX (P8)."""
-    dist = distance_fn(distance)
-    scored = F.transform(_centroid_literal(centers),
-                         lambda c, i: F.struct(dist(F.col(features), c).alias("dist"),
-                                               i.alias("cluster")))
-    return F.array_min(F.filter(scored, lambda s: ~F.isnan(s["dist"]) & (s["dist"] < FLOAT_MAX)))
+def _nearest_block(x: np.ndarray, centers: np.ndarray, distance: str):
+    """Nearest centroid of each row of ``x``: ``(cluster, dist, valid)``.
+
+    W5: ``argmin`` returns the first minimum, so the lowest index wins
+    ties; P8: NaN or >= Float.MAX distances are not candidates.
+    """
+    k, dim = centers.shape
+    d = np.empty((x.shape[0], k))
+    step = max(1, _BLOCK_ELEMENTS // max(1, x.shape[0] * dim))
+    for j in range(0, k, step):
+        diff = x[:, None, :] - centers[None, j:j + step, :]
+        d[:, j:j + step] = (diff * diff if distance == "l2" else np.abs(diff)).sum(axis=2)
+    d[~(d < FLOAT_MAX)] = np.inf                    # NaN and overflow are never nearest
+    cluster = d.argmin(axis=1)
+    dist = d[np.arange(d.shape[0]), cluster]
+    return cluster, dist, np.isfinite(dist)
+
+
+def _matrix(series: pd.Series, dim: int) -> np.ndarray:
+    if len(series) == 0:
+        return np.empty((0, dim))
+    return np.stack(series.to_numpy()).astype(np.float64, copy=False)
 
 
 def kmeans_assign(points: DataFrame, centers: Sequence[Sequence[float]], distance: str = "l2",
                   features: str = "features", id_col: str = "vec_id") -> DataFrame:
-    """``(id, cluster, dist)`` for every point with a finite distance."""
-    best = _nearest(features, centers, distance)
-    return (points.select(id_col, best.alias("_b"))
-            .filter(F.col("_b").isNotNull())
-            .select(id_col, F.col("_b.cluster").cast("int").alias("cluster"),
-                    F.col("_b.dist").alias("dist")))
+    """``(id, cluster, dist)`` for every point with a finite distance.
+
+    The k x dim centroids travel with the task; each Arrow batch of points
+    is scored with vectorised numpy (no per-row Python, no cross join).
+    """
+    distance_fn(distance)                                    # validates the name (X8)
+    cent = np.asarray(centers, dtype=np.float64)
+    id_type = points.schema[id_col].dataType.simpleString()
+
+    def score(batches):
+        for pdf in batches:
+            x = _matrix(pdf[features], cent.shape[1])
+            cluster, dist, ok = _nearest_block(x, cent, distance.lower())
+            yield pd.DataFrame({id_col: pdf[id_col].to_numpy()[ok],
+                                "cluster": cluster[ok].astype(np.int32), "dist": dist[ok]})
+
+    return points.select(id_col, features).mapInPandas(
+        score, f"{id_col} {id_type}, cluster int, dist double")
 
 
 def _round_stats(points: DataFrame, centers, distance: str, features: str, dim: int):
-    best = _nearest(features, centers, distance)
-    assigned = (points.select(features, best.alias("_b")).filter(F.col("_b").isNotNull())
-                .select(F.col("_b.cluster").alias("cluster"), F.col("_b.dist").alias("dist"),
-                        features))
-    sums, extras = vector_sums(assigned, features, dim, ["cluster"],
-                               extra=[F.count(F.lit(1)).alias("n"), F.sum("dist").alias("loss")])
-    return {k[0]: (extras[k]["n"], extras[k]["loss"], sums[k]) for k in extras}
+    """Per cluster ``(n, loss, sums)``: each task folds its points into k
+    partial rows (map-side combine in numpy); Spark sums the partials."""
+    cent = np.asarray(centers, dtype=np.float64)
+    k = cent.shape[0]
+
+    def fold(batches):
+        n, loss, sums = np.zeros(k, np.int64), np.zeros(k), np.zeros((k, dim))
+        for pdf in batches:
+            x = _matrix(pdf[features], dim)
+            cluster, dist, ok = _nearest_block(x, cent, distance)
+            cluster, dist, x = cluster[ok], dist[ok], x[ok]
+            n += np.bincount(cluster, minlength=k)
+            loss += np.bincount(cluster, weights=dist, minlength=k)
+            np.add.at(sums, cluster, x)
+        hit = np.nonzero(n)[0]
+        if len(hit):
+            yield pd.DataFrame({"cluster": hit.astype(np.int32), "n": n[hit], "loss": loss[hit],
+                                "sums": list(sums[hit])})
+
+    partials = points.select(features).mapInPandas(
+        fold, "cluster int, n long, loss double, sums array<double>")
+    sums, extras = vector_sums(partials, "sums", dim, ["cluster"],
+                               extra=[F.sum("n").alias("n"), F.sum("loss").alias("loss")])
+    return {key[0]: (extras[key]["n"], extras[key]["loss"], sums[key]) for key in extras}
 
 
 def kmeans_step(points: DataFrame, centers: Sequence[Sequence[float]], distance: str = "l2",
@@ -68,7 +114,8 @@ def kmeans_step(points: DataFrame, centers: Sequence[Sequence[float]], distance:
     removed with later ids shifting down (``drop_empty``, N4).
     """
     dim = len(centers[0])
-    stats = _round_stats(points, centers, distance, features, dim)
+    distance_fn(distance)
+    stats = _round_stats(points, centers, distance.lower(), features, dim)
     loss = float(sum(s[1] for s in stats.values()))
     new = []
     for k, c in enumerate(centers):

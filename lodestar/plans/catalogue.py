@@ -190,6 +190,15 @@ def q_kmeans_fit_loss(spark, sf_dir):
     return K.loss_frame(spark, losses)
 
 
+def q_kmeans_fit_centers(spark, sf_dir):
+    """Centroids after the k-means rounds, long form ``(cluster, dim, value)``."""
+    pts = _points(spark, sf_dir)
+    centers, _ = K.kmeans_fit(pts, K.initial_centers(pts, KMEANS_SEEDS), KMEANS_ROUNDS, "l2")
+    return K.centers_frame(spark, centers).select(
+        "cluster", F.posexplode("center").alias("dim", "value")).select(
+        "cluster", "dim", F.round("value", 6).alias("value"))
+
+
 def _svm_rows(spark, sf_dir):
     return L.svm_rows(_points(spark, sf_dir))
 
@@ -223,6 +232,7 @@ QUERIES.update({
     "kmeans_assign_l2": _assign("l2"),
     "kmeans_assign_l1": _assign("l1"),
     "kmeans_fit_loss": q_kmeans_fit_loss,
+    "kmeans_fit_centers": q_kmeans_fit_centers,
     "svm_cost_gradient": q_svm_cost_gradient,
     "svm_batch_fit": q_svm_batch_fit,
     "svm_minibatch_fit": q_svm_minibatch_fit,

@@ -204,16 +204,19 @@ def _kmeans_assign(dist: str) -> str:
 SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, round(dist, 6) AS dist FROM a0"""
 
 
-def _kmeans_fit(rounds: int = 5) -> str:
+def _kmeans_fit(rounds: int = 5, centers: bool = False) -> str:
     ctes = [f"""WITH {_PTS},
   c0 AS (SELECT vec_id AS cluster, d, x AS c FROM pts WHERE vec_id BETWEEN 0 AND 9)"""]
     for i in range(rounds):
         ctes.append(_assign_cte(i, "l2"))
-        if i < rounds - 1:
+        if i < rounds - 1 or centers:
             ctes.append(f"""
   c{i + 1} AS (SELECT a.cluster, p.d, sum(p.x) / count(*) AS c
              FROM a{i} a JOIN pts p USING (vec_id) GROUP BY 1, 2
              UNION ALL SELECT * FROM c{i} WHERE cluster NOT IN (SELECT cluster FROM a{i}))""")
+    if centers:
+        return ",".join(ctes) + (f"\nSELECT CAST(cluster AS INTEGER) AS cluster, CAST(d AS INTEGER)"
+                                 f" AS dim, round(c, 6) AS value FROM c{rounds}")
     body = "\nUNION ALL ".join(f"SELECT {i} AS iteration, round(sum(dist), 6) AS loss FROM a{i}"
                                for i in range(rounds))
     return ",".join(ctes) + "\n" + body
@@ -297,6 +300,7 @@ ORACLES.update({
     "kmeans_assign_l2": _kmeans_assign("l2"),
     "kmeans_assign_l1": _kmeans_assign("l1"),
     "kmeans_fit_loss": _kmeans_fit(5),
+    "kmeans_fit_centers": _kmeans_fit(5, centers=True),
     "svm_cost_gradient": _SVM_GRADIENT,
     "svm_batch_fit": _svm_fit(5, 3e-7, minibatch=False),
     "svm_minibatch_fit": _svm_fit(5, 1e-5, minibatch=True),
