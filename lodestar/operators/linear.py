@@ -15,7 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.functions.vectors import dot, literal_vector
+from lodestar.functions.vectors import dot_const
 from lodestar.operators.sequence import with_global_index
 from lodestar.operators.vector_sums import vector_sums
 
@@ -28,14 +28,17 @@ def svm_rows(df: DataFrame, label: str = "label", features: str = "features",
 
 
 def _margin(w: Sequence[float], b: float) -> Column:
-    return F.col("y") * (dot("features", literal_vector(w)) + F.lit(float(b)))
+    """``y * (x . w + b)``; the dot product is unrolled column arithmetic
+    (compiled by whole-stage codegen) for models up to ``UNROLL_MAX``."""
+    return F.col("y") * (dot_const("features", w) + F.lit(float(b)))
 
 
 def _round(rows: DataFrame, w: Sequence[float], b: float, c: float,
            in_batch: Column | None = None):
     """Cost of (w, b) on all rows and the gradient on ``in_batch`` rows."""
     dim = len(w)
-    m = _margin(w, b)
+    rows = rows.withColumn("_m", _margin(w, b))         # computed once per row
+    m = F.col("_m")
     viol = m < 1
     if in_batch is not None:
         viol = viol & in_batch

@@ -280,7 +280,7 @@ def _mf_factors(spark, ratings):
 def q_mf_objective(spark, sf_dir):
     ratings = S.quantity_ratings(spark, sf_dir).persist()
     p, q = _mf_factors(spark, ratings)
-    n, sse, reg, obj = R.mf_objective(ratings, p, q, MF_REG)
+    n, sse, reg, obj = R.mf_objective(ratings, p, q, MF_REG, MF_K)
     return spark.createDataFrame([(n, sse, reg, obj)],
                                  "n long, sse double, reg double, objective double").select(
         "n", *[F.round(c, MF_DIGITS).alias(c) for c in ("sse", "reg", "objective")])
