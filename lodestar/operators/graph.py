@@ -3,10 +3,11 @@ recommendation (M6), PageRank in edge-flow (M8) and power-iteration (M9)
 form, HITS (M10) and the top/bottom-n report (O3).
 
 Iterative operators cache the distinct edge list (with its out-degree
-weight) once.  Each round sends scores along the edges -- with the score
-vector broadcast when the node count is below a checked bound, otherwise
-through a salted co-partitioned join -- and sums the contributions per
-page with partial aggregation: one shuffle of partial sums per round.
+weight) once.  Each round sends scores along the edges -- broadcasting the
+edge list or the score vector when counts taken once show it is small,
+otherwise through a salted co-partitioned join (``_Flow``) -- and sums the
+contributions per page with partial aggregation: one shuffle of partial
+sums per round.
 """
 
 from __future__ import annotations
