@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.functions.vectors import distance as distance_fn
+from lodestar.sources.sinks import write_iterations
 from lodestar.operators.vector_sums import vector_sums
 
 FLOAT_MAX = 3.4028234663852886e38
@@ -129,17 +130,25 @@ def kmeans_step(points: DataFrame, centers: Sequence[Sequence[float]], distance:
 
 
 def kmeans_fit(points: DataFrame, centers: Sequence[Sequence[float]], rounds: int = 21,
-               distance: str = "l2", features: str = "features", drop_empty: bool = False):
+               distance: str = "l2", features: str = "features", drop_empty: bool = False,
+               iteration_dir: str | None = None):
     """M7: ``rounds`` rounds (the reference's 0..20 inclusive is 21).
 
-    Returns ``(centers, losses)``; the points are cached once (I5).
+    Returns ``(centers, losses)``; the points are cached once (I5).  With
+    ``iteration_dir`` every round's centroids and loss are also written
+    there, one ``iteration=<i>`` folder per round (K3).
     """
+    spark = points.sparkSession
     pts = points.select(features).persist(StorageLevel.MEMORY_AND_DISK)
     losses = []
     try:
-        for _ in range(rounds):
+        for i in range(rounds):
             centers, loss = kmeans_step(pts, centers, distance, features, drop_empty)
             losses.append(loss)
+            if iteration_dir:
+                write_iterations(centers_frame(spark, centers).select(
+                    F.lit(i).alias("iteration"), "cluster", "center", F.lit(loss).alias("loss")),
+                    iteration_dir)
     finally:
         pts.unpersist()
     return centers, losses

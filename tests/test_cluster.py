@@ -59,3 +59,12 @@ def test_wide_vector_path_matches_narrow(points, monkeypatch):
     want = K.kmeans_fit(points, CENTERS, 2, "l2")
     monkeypatch.setattr(V, "WIDE_DIM", 1)
     assert K.kmeans_fit(points, CENTERS, 2, "l2") == want
+
+
+def test_iterations_are_written_per_round(spark, points, tmp_path):
+    out = str(tmp_path / "iters")
+    K.kmeans_fit(points, CENTERS, 2, "l2", iteration_dir=out)
+    got = spark.read.parquet(out)
+    assert rows(got.groupBy("iteration").agg({"loss": "max"})) == [(0, 8.0), (1, 4.0)]
+    assert rows(got.filter("iteration = 1"), "cluster", "center") == [(0, [0.0, 1.0]),
+                                                                     (1, [10.0, 1.0])]
