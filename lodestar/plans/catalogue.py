@@ -13,8 +13,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.operators import baskets as B
+from lodestar.operators import cluster as K
+from lodestar.operators import graph as G
+from lodestar.operators import joins as J
+from lodestar.operators import linear as L
+from lodestar.operators import recommend as R
+from lodestar.operators import sketch as C
 from lodestar.operators import text as T
+from lodestar.session import scratch_path
+from lodestar.sources import sinks as IO
 from lodestar.sources import tables as S
+from lodestar.streaming import sketch_stream as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -98,7 +107,6 @@ QUERIES: dict[str, Query] = {
 
 # -- graphs -----------------------------------------------------------------
 
-from lodestar.operators import graph as G  # noqa: E402
 
 RANK_DIGITS = 10
 
@@ -155,8 +163,6 @@ QUERIES.update({
 
 # -- k-means and SVM --------------------------------------------------------
 
-from lodestar.operators import cluster as K  # noqa: E402
-from lodestar.operators import linear as L  # noqa: E402
 
 KMEANS_SEEDS = list(range(10))
 KMEANS_ROUNDS = 5
@@ -241,7 +247,6 @@ QUERIES.update({
 
 # -- recommendation ---------------------------------------------------------
 
-from lodestar.operators import recommend as R  # noqa: E402
 
 CF_USER = 499
 CF_BELOW_ITEM = 1000
@@ -310,11 +315,6 @@ QUERIES.update({
 
 # -- sketches, streaming, sinks, positional join ----------------------------
 
-from lodestar.operators import joins as J  # noqa: E402
-from lodestar.operators import sketch as C  # noqa: E402
-from lodestar.session import scratch_path  # noqa: E402
-from lodestar.sources import sinks as IO  # noqa: E402
-from lodestar.streaming import sketch_stream as ST  # noqa: E402
 
 CMS_TEST_BUCKETS = 200
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import math
 
+from lodestar.functions.hashing import CMS_PARAMS, CMS_PRIME, uniform01_sql
+
 # Java whitespace split of a line with trailing blanks removed (F1).
 _SPLIT = r"string_split_regex(regexp_replace({c}, '\s+$', '', 'g'), '\s+')"
 
@@ -309,7 +311,6 @@ ORACLES.update({
 
 # -- recommendation ---------------------------------------------------------
 
-from lodestar.functions.hashing import uniform01_sql  # noqa: E402
 
 _CF = """
   r AS (SELECT DISTINCT o_custkey AS cust, l_partkey AS item
@@ -411,7 +412,6 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
 
 # -- sketches, streaming, sinks, positional join ----------------------------
 
-from lodestar.functions.hashing import CMS_PARAMS, CMS_PRIME  # noqa: E402
 
 
 def _cms_cells(x: str, n_buckets: int = 200) -> str:
