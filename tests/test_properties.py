@@ -77,3 +77,62 @@ def test_sketch_never_underestimates(spark, ids, buckets):
     truth = Counter(ids)
     assert [(i, n) for i, n, _ in err] == sorted(truth.items())
     assert all(e >= n for _, n, e in err)
+
+
+def _friends_model(edges, top_n=10):
+    import itertools
+    friends = {}
+    for a, b in edges:
+        friends.setdefault(a, set()).add(b)
+        friends.setdefault(b, set()).add(a)
+    cnt = Counter()
+    for fs in friends.values():
+        for u, v in itertools.permutations(sorted(fs), 2):
+            if v not in friends[u]:
+                cnt[(u, v)] += 1
+    out = []
+    for u in sorted(friends):
+        ranked = sorted(((v, n) for (x, v), n in cnt.items() if x == u), key=lambda t: (-t[1], t[0]))
+        out += [(u, v, n, r + 1) for r, (v, n) in enumerate(ranked[:top_n])] or [(u, None, None, None)]
+    return sorted(out, key=lambda t: [(x is not None, x or 0) for x in t])
+
+
+@SETTINGS
+@given(st.sets(st.tuples(st.integers(0, 12), st.integers(0, 12)).filter(lambda e: e[0] != e[1]),
+               min_size=1, max_size=40),
+       st.integers(min_value=1, max_value=4))
+def test_friends_match_brute_force(spark, edges, top_n):
+    from lodestar.operators import graph as G
+    sym = sorted(set(edges) | {(b, a) for a, b in edges})
+    adj = spark.createDataFrame(sym, "src long, dst long")
+    got = rows(G.recommend_friends(adj, top_n, "symmetric"), "user_id", "candidate", "n", "rank")
+    assert got == _friends_model(edges, top_n)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.sets(st.tuples(st.integers(0, 9), st.integers(0, 9)).filter(lambda e: e[0] != e[1]),
+               min_size=2, max_size=30),
+       st.sampled_from(["edges", "scores", "salted"]))
+def test_power_iteration_matches_numpy(spark, edges, mode):
+    import numpy as np
+
+    from lodestar.operators import graph as G
+    nodes = sorted({n for e in edges for n in e})
+    idx = {n: i for i, n in enumerate(nodes)}
+    m = np.zeros((len(nodes), len(nodes)))
+    outdeg = Counter(a for a, _ in edges)
+    for a, b in edges:
+        m[idx[b], idx[a]] = 1.0 / outdeg[a]
+    r = np.ones(len(nodes)) / len(nodes)
+    for _ in range(4):
+        r = (1 - 0.8) / len(nodes) + 0.8 * m @ r
+    old = (G.MAX_BROADCAST_EDGES, G.MAX_BROADCAST_NODES)
+    G.MAX_BROADCAST_EDGES = 10**6 if mode == "edges" else 0
+    G.MAX_BROADCAST_NODES = 10**6 if mode == "scores" else 0
+    try:
+        df = spark.createDataFrame(sorted(edges), "src long, dst long")
+        got = dict(rows(G.pagerank_power(df, rounds=4, beta=0.8, checkpoint_every=2), "page", "rank"))
+    finally:
+        G.MAX_BROADCAST_EDGES, G.MAX_BROADCAST_NODES = old
+    assert set(got) == set(nodes)
+    assert all(abs(got[n] - r[idx[n]]) < 1e-12 for n in nodes)
