@@ -4,6 +4,7 @@ import itertools
 import re
 from collections import Counter
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -136,3 +137,76 @@ def test_power_iteration_matches_numpy(spark, edges, mode):
         G.MAX_BROADCAST_EDGES, G.MAX_BROADCAST_NODES = old
     assert set(got) == set(nodes)
     assert all(abs(got[n] - r[idx[n]]) < 1e-12 for n in nodes)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.sets(st.tuples(st.integers(0, 7), st.integers(0, 9)), min_size=4, max_size=40),
+       st.integers(min_value=0, max_value=10))
+def test_cf_matches_dense_formula(spark, cells, hide_below):
+    import numpy as np
+
+    from lodestar.operators import recommend as R
+    target = 0
+    rm = {(u, i) for u, i in cells if not (u == target and i < hide_below)}
+    users = sorted({u for u, _ in rm})
+    items = sorted({i for _, i in rm})
+    if target not in users:
+        return
+    ui, ii = {u: k for k, u in enumerate(users)}, {i: k for k, i in enumerate(items)}
+    m = np.zeros((len(users), len(items)))
+    for u, i in rm:
+        m[ui[u], ii[i]] = 1
+    p, q = m.sum(1), m.sum(0)
+    su = (np.diag(p ** -0.5) @ m @ m.T @ np.diag(p ** -0.5) @ m)[ui[target]]
+    si = (m @ np.diag(q ** -0.5) @ m.T @ m @ np.diag(q ** -0.5))[ui[target]]
+    r = spark.createDataFrame(sorted(cells), "user long, item long")
+    for fn, dense in ((R.cf_user_user, su), (R.cf_item_item, si)):
+        # the bound both hides the target's block (before degrees) and slices the ranking
+        ranked = fn(r, target, hide_below, 20, mask=True)
+        got = {i: s for i, s, _ in rows(ranked, "item", "score", "rank")}
+        want = {i: dense[ii[i]] for i in items if i < hide_below and dense[ii[i]] > 0}
+        assert set(got) == set(want)
+        assert all(abs(got[i] - want[i]) < 1e-9 for i in want)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.lists(st.integers(-3, 3), min_size=3, max_size=3),
+                          st.sampled_from([-1, 1])), min_size=1, max_size=15),
+       st.lists(st.integers(-2, 2), min_size=3, max_size=3), st.integers(-1, 1))
+def test_svm_round_matches_numpy(spark, data, w, b):
+    import numpy as np
+
+    from lodestar.operators import linear as L
+    x = np.array([f for f, _ in data], dtype=float)
+    y = np.array([lab for _, lab in data], dtype=float)
+    wv = np.array(w, dtype=float) / 4
+    margin = y * (x @ wv + b)
+    viol = margin < 1
+    cost = 0.5 * wv @ wv + 100 * np.maximum(0, 1 - margin).sum()
+    dw = wv + 100 * (-(y[viol, None] * x[viol])).sum(0)
+    db = 100 * (-y[viol]).sum()
+    df = spark.createDataFrame([(i, [float(v) for v in f], lab) for i, (f, lab) in enumerate(data)],
+                               "row_id long, features array<double>, y int")
+    got = L.svm_cost_gradient(df, list(wv), float(b), 100.0)
+    assert got[0] == pytest.approx(cost) and got[1] == pytest.approx(list(dw)) and got[2] == db
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(-5, 5), st.integers(-5, 5)), min_size=3, max_size=30),
+       st.sampled_from(["l2", "l1"]))
+def test_kmeans_step_matches_numpy(spark, pts, dist):
+    import numpy as np
+
+    from lodestar.operators import cluster as K
+    x = np.array(pts, dtype=float)
+    cent = x[:3].copy()
+    diff = x[:, None, :] - cent[None]
+    d = (diff ** 2).sum(2) if dist == "l2" else np.abs(diff).sum(2)
+    lab = d.argmin(1)
+    loss = d[np.arange(len(x)), lab].sum()
+    new = [x[lab == k].mean(0).tolist() if (lab == k).any() else cent[k].tolist() for k in range(3)]
+    df = spark.createDataFrame([(i, [float(a), float(b)]) for i, (a, b) in enumerate(pts)],
+                               "vec_id long, features array<double>")
+    got_new, got_loss = K.kmeans_step(df, cent.tolist(), dist)
+    assert got_loss == pytest.approx(loss)
+    assert np.allclose(np.array(got_new), np.array(new))
