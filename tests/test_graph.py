@@ -111,3 +111,13 @@ def test_friends_with_a_hub_match_brute_force(spark):
         want += [(u, v, n, r + 1) for r, (v, n) in enumerate(ranked[:10])] or [(u, None, None, None)]
     got = rows(G.recommend_friends(adj, 10, "symmetric"), "user_id", "candidate", "n", "rank")
     assert got == sorted(want, key=lambda t: [(v is not None, v or 0) for v in t])
+
+
+def test_list_order_follows_list_positions(spark):
+    # one adjacency row per user; the lists are deliberately not sorted by id
+    lists = {1: [3, 2], 2: [1], 3: [1], 4: [3, 2]}
+    adj = spark.createDataFrame([(u, f, i) for u, fs in lists.items() for i, f in enumerate(fs)],
+                                "src long, dst long, pos int")
+    got = rows(G.recommend_friends(adj, 10, "list_order"), "user_id", "candidate", "n")
+    # rows 1 and 4 emit 3 -> 2 (3 before 2), never 2 -> 3; 2 and 3 have a single friend
+    assert got == [(1, None, None), (2, None, None), (3, 2, 2), (4, None, None)]

@@ -64,3 +64,8 @@ def test_first_letter_matches_token_definition(spark):
              .select(first_letter("token").alias("letter")).filter("letter <> ''")
              .groupBy("letter").count())
     assert rows(first_letter_count(df)) == rows(brute)
+
+
+def test_word_count_can_drop_empty_token(spark):
+    df = lines(spark, " a b ", "   ")
+    assert rows(word_count(df, keep_empty=False)) == [("a", 1), ("b", 1)]
