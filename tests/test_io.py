@@ -110,3 +110,12 @@ def test_hot_keys_and_salts(spark):
     small = spark.createDataFrame([(0,), (5,)], "k long").select(
         "k", F.explode(salt_small("k", hot)).alias("s"))
     assert rows(small) == [(0, s) for s in range(8)] + [(5, 0)]
+
+
+def test_single_file_sink(spark, tmp_path):
+    import glob
+    df = spark.range(0, 50).selectExpr("CAST(id AS STRING) AS k", "id AS n").repartition(5)
+    p = str(tmp_path / "one")
+    IO.write_kv_text(df, "k", "n", p, single_file=True)
+    assert len(glob.glob(p + "/part-*")) == 1
+    assert len(rows(IO.read_kv_text(spark, p))) == 50
