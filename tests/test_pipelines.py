@@ -57,7 +57,7 @@ def test_friends_from_adjacency_file(spark, tmp_path):
 
 def test_kmeans_from_point_and_centroid_files(spark, tmp_path):
     pts = write(tmp_path / "points.txt", "0 0\n0 2\n10 0\n10 2\n")
-    cen = write(tmp_path / "c1.txt", "0\t0 0 \n1\t10 0 \nLoss\t99\n")
+    cen = write(tmp_path / "centroids.txt", "0\t0 0 \n1\t10 0 \nLoss\t99\n")
     points = TX.read_vectors(spark, pts)
     centers = [r["center"] for r in TX.read_centroids(spark, cen).orderBy("cluster").collect()]
     new, losses = K.kmeans_fit(points, centers, 2, "l2")
@@ -69,7 +69,7 @@ def test_pagerank_from_edge_files(spark, tmp_path):
     ranks = {p: round(r, 10) for p, r in rows(G.pagerank_edge(TX.read_edges_ws(spark, ws), 1),
                                                "page", "rank")}
     assert ranks == {"a": 0.25, "b": 0.14375, "c": 0.56875}
-    tab = write(tmp_path / "graph.txt", "1\t2\n1\t3\n2\t3\n3\t1\n4\t3\n1\t2\n")
+    tab = write(tmp_path / "edges.tsv", "1\t2\n1\t3\n2\t3\n3\t1\n4\t3\n1\t2\n")
     power = {p: round(r, 10) for p, r in rows(G.pagerank_power(TX.read_edges_tab(spark, tab), 1),
                                               "page", "rank")}
     assert power == {1: 0.25, 2: 0.15, 3: 0.55, 4: 0.05}
@@ -87,8 +87,8 @@ def test_sketch_error_from_stream_and_counts(spark, tmp_path):
 
 
 def test_svm_from_feature_and_label_files(spark, tmp_path):
-    feats = write(tmp_path / "features.txt", "1,0\n0,1\n2,2\n")
-    labels = write(tmp_path / "target.txt", "1\n-1\n1\n")
+    feats = write(tmp_path / "rows.csv", "1,0\n0,1\n2,2\n")
+    labels = write(tmp_path / "labels.txt", "1\n-1\n1\n")
     x = TX.read_int_rows(spark, feats).withColumnRenamed("row_id", "idx")
     y = TX.read_values(spark, labels, "int").withColumnRenamed("value", "y")
     data = positional_join(x, y).select(F.col("idx").alias("row_id"), "features", "y")
@@ -97,8 +97,8 @@ def test_svm_from_feature_and_label_files(spark, tmp_path):
 
 
 def test_cf_from_dense_matrix_and_names(spark, tmp_path):
-    mat = write(tmp_path / "user-shows.txt", "1 1 0\n0 1 1\n1 1 1\n")
-    names = write(tmp_path / "shows.txt", '"A"\n"B"\n"C"\n')
+    mat = write(tmp_path / "matrix.txt", "1 1 0\n0 1 1\n1 1 1\n")
+    names = write(tmp_path / "names.txt", '"A"\n"B"\n"C"\n')
     r = TX.read_dense_matrix(spark, mat).select(F.col("row_id").alias("user"),
                                                 F.col("col_id").alias("item"))
     ranked = R.cf_user_user(r, 0, 3, 20, mask=False)
