@@ -32,7 +32,10 @@ def with_global_index(df: DataFrame, order: Sequence[str], out: str = "idx",
     """Add a 0-based position in the total order ``order`` (a unique key).
 
     Distributed ``zipWithIndex``: local row numbers plus a per-partition
-    offset (running count over at most ``n_parts`` summary rows).
+    offset (running count over at most ``n_parts`` summary rows).  The
+    summary is computed by a second, column-pruned pass over the same range
+    partitioning (only the order key is shuffled), so ``df`` must be
+    deterministic -- a scan or a plan over scans, as everywhere here.
     """
     w = Window.partitionBy("_pid").orderBy(*order)
     local = _ranged(df, order, n_parts).withColumn("_lrn", F.row_number().over(w) - 1)
