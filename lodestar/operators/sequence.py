@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,13 +33,17 @@ def with_global_index(df: DataFrame, order: Sequence[str], out: str = "idx",
     """Add a 0-based position in the total order ``order`` (a unique key).
 
     Distributed ``zipWithIndex``: local row numbers plus a per-partition
-    offset (running count over at most ``n_parts`` summary rows).  The
-    summary is computed by a second, column-pruned pass over the same range
-    partitioning (only the order key is shuffled), so ``df`` must be
-    deterministic -- a scan or a plan over scans, as everywhere here.
+    offset (running count over at most ``n_parts`` summary rows).
+
+    Range partitioning samples its bounds with a seed tied to the RDD, so
+    two separately planned passes may cut the data differently.  The ranged,
+    locally numbered rows are therefore cached once and both the summary
+    and the rows are read from that cache (a lost cache partition is
+    recomputed through the same shuffle dependency, hence the same bounds).
     """
     w = Window.partitionBy("_pid").orderBy(*order)
-    local = _ranged(df, order, n_parts).withColumn("_lrn", F.row_number().over(w) - 1)
+    local = (_ranged(df, order, n_parts).withColumn("_lrn", F.row_number().over(w) - 1)
+             .persist(StorageLevel.MEMORY_AND_DISK))
     sizes = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = sizes.select(
         "_pid",
@@ -57,11 +62,12 @@ def with_global_next(df: DataFrame, order: Sequence[str], cols: Sequence[str],
     order (null after the last row).
     """
     w = Window.partitionBy("_pid").orderBy(*order)
+    # cached once: the boundary summary and the rows must see the same cut
     local = _ranged(df, order, n_parts).select(
         "*",
         *[F.lead(c).over(w).alias(f"_lead_{c}") for c in cols],
         F.lead(F.lit(1)).over(w).isNull().alias("_last"),
-        F.row_number().over(w).alias("_rn"))
+        F.row_number().over(w).alias("_rn")).persist(StorageLevel.MEMORY_AND_DISK)
     firsts = local.filter(F.col("_rn") == 1).select("_pid", *[F.col(c).alias(f"_first_{c}")
                                                             for c in cols])
     by_pid = Window.orderBy("_pid")
