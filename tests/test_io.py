@@ -119,3 +119,12 @@ def test_single_file_sink(spark, tmp_path):
     IO.write_kv_text(df, "k", "n", p, single_file=True)
     assert len(glob.glob(p + "/part-*")) == 1
     assert len(rows(IO.read_kv_text(spark, p))) == 50
+
+
+def test_line_index_beyond_the_range_sample(spark, tmp_path):
+    # enough lines that range bounds come from a sample (seeded per RDD), and
+    # a summary branch that only needs the partition id: both must agree
+    p = tmp_path / "many.txt"
+    p.write_text("".join(f"{i}\n" for i in range(4000)))
+    got = TX.read_lines_indexed(spark, str(p)).selectExpr("CAST(value AS BIGINT) = idx AS ok")
+    assert got.filter("NOT ok").count() == 0
