@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from lodestar.llm.common import documents
+from lodestar.llm.extendible_dedup import exact_groups
 from lodestar.llm.token_counts import token_counts
 
 
@@ -13,8 +14,19 @@ def q_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def q_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = documents(spark, sf_dir).select("doc_id", "text")
+    return exact_groups(rows).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
 QUERIES = {
     "op1_token_counts": q_token_counts,
+    "op6_exact_dedup": q_exact_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_exact_dedup": """
+        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+               doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+        FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+}
