@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lodestar.llm.common import documents
 from lodestar.llm.extendible_dedup import exact_groups
+from lodestar.llm.fair_mixing import fair_mix
 from lodestar.llm.token_counts import token_counts
 
 
@@ -19,8 +20,13 @@ def q_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(rows).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def q_fair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fair_mix(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_token_counts": q_token_counts,
+    "op3_fair_mixing": q_fair_mixing,
     "op6_exact_dedup": q_exact_dedup,
 }
 
