@@ -53,8 +53,9 @@ def flat(column: pa.ChunkedArray | pa.Array) -> pa.Array:
 
 
 def text_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(offsets int64, bytes uint8) of a string array; null texts are empty."""
-    texts = texts.cast(pa.large_string()).fill_null("")
+    """(offsets int64, bytes uint8) of a string or binary array; nulls are empty."""
+    binary = pa.types.is_binary(texts.type) or pa.types.is_large_binary(texts.type)
+    texts = texts.cast(pa.large_binary()).fill_null(b"") if binary else texts.cast(pa.large_string()).fill_null("")
     texts = pa.concat_arrays([texts])
     n, bufs = len(texts), texts.buffers()
     offsets = np.frombuffer(bufs[1], np.int64, n + 1, texts.offset * 8)

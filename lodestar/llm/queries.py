@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from lodestar.llm import byte_bpe
 from lodestar.llm.common import documents
 from lodestar.llm.extendible_dedup import exact_groups
 from lodestar.llm.fair_mixing import fair_mix
@@ -24,10 +25,16 @@ def q_fair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fair_mix(documents(spark, sf_dir))
 
 
+def q_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                               public_tokenizers.PATTERN)
+
+
 QUERIES = {
     "op1_token_counts": q_token_counts,
     "op3_fair_mixing": q_fair_mixing,
     "op6_exact_dedup": q_exact_dedup,
+    "op8_byte_bpe": q_byte_bpe,
 }
 
 ORACLES: dict[str, str] = {
