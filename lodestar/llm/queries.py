@@ -9,6 +9,7 @@ from lodestar.llm import byte_bpe
 from lodestar.llm.common import documents
 from lodestar.llm.extendible_dedup import exact_groups
 from lodestar.llm.fair_mixing import fair_mix
+from lodestar.llm.simhash_vptree import near_duplicates
 from lodestar.llm.token_counts import token_counts
 
 
@@ -30,9 +31,14 @@ def q_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                public_tokenizers.PATTERN)
 
 
+def q_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_token_counts": q_token_counts,
     "op3_fair_mixing": q_fair_mixing,
+    "op4_simhash_vptree": q_simhash,
     "op6_exact_dedup": q_exact_dedup,
     "op8_byte_bpe": q_byte_bpe,
 }
