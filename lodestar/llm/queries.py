@@ -6,9 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from lodestar.llm import byte_bpe
-from lodestar.llm.common import documents
+from lodestar.llm.common import documents, table
 from lodestar.llm.extendible_dedup import exact_groups
 from lodestar.llm.fair_mixing import fair_mix
+from lodestar.llm.nb_linear_toxicity import toxicity
 from lodestar.llm.simhash_vptree import near_duplicates
 from lodestar.llm.token_counts import token_counts
 
@@ -35,12 +36,17 @@ def q_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
 
+def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_token_counts": q_token_counts,
     "op3_fair_mixing": q_fair_mixing,
     "op4_simhash_vptree": q_simhash,
     "op6_exact_dedup": q_exact_dedup,
     "op8_byte_bpe": q_byte_bpe,
+    "op10_nb_linear_toxicity": q_toxicity,
 }
 
 ORACLES: dict[str, str] = {
