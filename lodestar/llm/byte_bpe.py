@@ -255,9 +255,10 @@ def encode(docs: DataFrame, ranks: str, pattern: str, key: str = "doc_id", text:
 
 
 def decode(coded: DataFrame, ranks: str, ids: str = "ids", out: str = "decoded",
-           part_bytes: int = PART_BYTES) -> DataFrame:
-    """``coded`` with the raw bytes (column ``out``) in place of the ids."""
-    rest = [c for c in coded.columns if c not in (ids, out)]
+           part_bytes: int = PART_BYTES, keep_ids: bool = False) -> DataFrame:
+    """``coded`` with the raw bytes (column ``out``) in place of, or beside,
+    the ids."""
+    rest = [c for c in coded.columns if c != out and (keep_ids or c != ids)]
     kinds = ", ".join(f"`{c}` {coded.schema[c].dataType.simpleString()}" for c in rest)
 
     def raw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,8 +282,10 @@ def decode(coded: DataFrame, ranks: str, ids: str = "ids", out: str = "decoded",
     return coded.mapInArrow(raw, f"{kinds}, `{out}` binary" if rest else f"`{out}` binary")
 
 
-def round_trip(docs: DataFrame, ranks: str, pattern: str, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """key, n_tokens, ids_sha256, decoded_sha256 of every row."""
+def round_trip(docs: DataFrame, ranks: str, pattern: str, key: str = "doc_id", text: str = "text",
+               keep_ids: bool = False, **how) -> DataFrame:
+    """key, n_tokens, ids_sha256, decoded_sha256 (and the ids) of every row."""
     coded = encode(docs, ranks, pattern, key, text, **how).withColumns(
         {"n_tokens": (F.octet_length("ids") / 4).cast("long"), "ids_sha256": F.sha2("ids", 256)})
-    return decode(coded, ranks).select(key, "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    return decode(coded, ranks, keep_ids=keep_ids).select(
+        key, "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"), *["ids"] * keep_ids)

@@ -167,25 +167,28 @@ def text_index(docs: DataFrame, key: str = "doc_id", text: str | Column = "text"
 
 
 def exact_groups(docs: DataFrame, key: str = "doc_id", text: str | Column = "text",
-                 bucket_entries: int = BUCKET_ENTRIES) -> DataFrame:
+                 bucket_entries: int = BUCKET_ENTRIES, index: DataFrame | None = None) -> DataFrame:
     """All columns of ``docs`` plus keep_id, group_size, kept, text_sha256 and
     keep_rows (rows that carry the kept id and text). Columns of ``docs`` with
-    these names are replaced."""
+    these names are replaced. ``index``: of these rows, if it is there already."""
     col = F.col(text) if isinstance(text, str) else text
     new = ["keep_id", "group_size", "kept", "text_sha256", "keep_rows", "_hash"]
     whole = F.coalesce(col, F.lit(""))
     left = docs.drop(*[c for c in new if c not in (key, text)]).withColumns(
         {"_hash": F.xxhash64(whole), "text_sha256": F.sha2(whole.cast("binary"), 256)})
-    index = text_index(docs, key, text, bucket_entries).select(
-        F.col("hash").alias("_hash"), "text_sha256", "keep_id", "group_size", "keep_rows")
-    return (left.join(index, ["_hash", "text_sha256"])
+    index = text_index(docs, key, text, bucket_entries) if index is None else index
+    entries = index.select(F.col("hash").alias("_hash"), "text_sha256", "keep_id", "group_size", "keep_rows")
+    return (left.join(entries, ["_hash", "text_sha256"])
             .withColumn("kept", F.col(key).cast("long").eqNullSafe(F.col("keep_id"))).drop("_hash"))
 
 
 def kept_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each group of equal texts, with the columns of ``docs``."""
     rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"), F.struct("*").alias("_row"))
-    kept = exact_groups(rows, "_key", "_text").filter("kept")
+    index = text_index(rows, "_key", "_text")
+    kept = exact_groups(rows, "_key", "_text", index=index).filter("kept")
+    if index.filter("keep_rows > 1").isEmpty():
+        return kept.select("_row.*")
     once = kept.filter("keep_rows = 1").select("_row.*")
     repeated = kept.filter("keep_rows > 1").dropDuplicates(["_key", "text_sha256"]).select("_row.*")
     return once.unionAll(repeated)

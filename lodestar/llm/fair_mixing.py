@@ -124,3 +124,19 @@ def fair_mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: s
     return known.join(taken, "rid", "left").select(
         F.col("key").alias(key), *[F.col(f"more.{c}").alias(c) for c in carry], "size", "source_size", "target",
         F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+
+
+def mixed_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **how) -> DataFrame:
+    """The mix itself, with the columns of ``docs``: a row per copy taken. The
+    document that the budget cuts keeps its first words, with one space between
+    them, in its last copy. Rows equal in id, text and source share what the mix
+    takes of them evenly."""
+    tags = {"_a": F.xxhash64(key, text, source), "_b": F.xxhash64(F.lit(1), source, text, key)}
+    tagged = docs.withColumns(tags)
+    plan = (fair_mix(tagged, key, text, source, carry=["_a", "_b"], **how).filter("taken > 0")
+            .groupBy("_a", "_b").agg(F.floor(F.avg("taken")).alias("_taken"), F.first("size").alias("_size")))
+    copies = tagged.join(plan, ["_a", "_b"]).withColumn("_copy", F.explode(F.sequence(
+        F.lit(1).cast("long"), F.ceil(F.col("_taken") / F.col("_size")).cast("long"))))
+    rest = (F.col("_taken") - (F.col("_copy") - 1) * F.col("_size")).cast("int")
+    first_words = F.array_join(F.slice(F.regexp_extract_all(F.col(text), F.lit(f"({WORD})"), F.lit(1)), 1, F.greatest(rest, F.lit(1))), " ")
+    return copies.withColumn(text, F.when(rest < F.col("_size"), first_words).otherwise(F.col(text))).select(docs.columns)

@@ -207,3 +207,21 @@ def toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", threshold
     return score(docs, weights, bias, key, text).select(
         key, (fold(F.col(key), folds) == held).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def clean_rows(docs: DataFrame, labels: DataFrame, label: str = "toxic", threshold: float = THRESHOLD, folds: int = 4,
+               held: int = 2, key: str = "doc_id", text: str = "text", fit_rows: int = FIT_ROWS) -> DataFrame:
+    """The rows of ``docs``, with its columns, whose score is below the threshold."""
+    training = training_rows(docs, labels, label, fold(F.col("key"), folds) != held, key, text)
+    weights, bias = train(training, fit_rows=fit_rows)
+    bits = len(weights).bit_length() - 1
+    wanted = weights != 0
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in byte_slices(batch, text, PART_BYTES):
+                texts = part.column(text).fill_null("").to_pylist()
+                m = [float(weights[f].sum(dtype=np.float64)) + bias for f in features(texts, bits, wanted)]
+                yield part.filter(pa.array(sigmoid(np.array(m)) < threshold))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -27,7 +27,7 @@ ids of the component are null. Empty tables give no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from itertools import accumulate
 
@@ -66,17 +66,20 @@ def fingerprint(text: str | None, shingle: int) -> int:
     return int.from_bytes(np.packbits(counts * 2 > n).tobytes(), "big", signed=True)
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: key, fp (the 64 bits as a long)."""
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+def fingerprints(docs: DataFrame, shingle: int = 3, key: str = "doc_id", text: str = "text",
+                 carry: Sequence[str] = ()) -> DataFrame:
+    """Per row: key, ``carry``, fp (the 64 bits as a long)."""
+    rows = docs.select(F.col(key).alias("key"), *carry, F.col(text).alias("text"))
+    names = ["key", *carry]
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in byte_slices(batch, "text", PART_BYTES):
                 fp = [fingerprint(t, shingle) for t in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(fp, pa.int64())], names=["key", "fp"])
+                yield pa.RecordBatch.from_arrays([*map(part.column, names), pa.array(fp, pa.int64())], names=[*names, "fp"])
 
-    return rows.mapInArrow(hashed, f"key {rows.schema['key'].dataType.simpleString()}, fp long").withColumnRenamed("key", key)
+    kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in names)
+    return rows.mapInArrow(hashed, f"{kinds}, fp long").withColumnRenamed("key", key)
 
 
 def distances(fps: np.ndarray, v: np.uint64) -> np.ndarray:
@@ -290,25 +293,36 @@ def links(points: DataFrame, max_bits: int = 2, sample: int = SAMPLE) -> DataFra
     return dealt.mapInArrow(search, "a long, b long")
 
 
+def classes(rows: DataFrame, max_bits: int, key: str) -> DataFrame:
+    """``rows`` (written; key, fp) -> fp, root (a fingerprint that names the
+    component), component_id."""
+    points = written(rows.groupBy("fp").agg(F.min(key).alias("least")), "points")
+    joined = components(written(links(points, max_bits), "links"), "a", "b")
+    roots = written(points.join(joined, F.col("fp") == F.col("vertex"), "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root")), "roots")
+    return roots.join(roots.groupBy("root").agg(F.min("least").alias("component_id")), "root").select(
+        "fp", "root", "component_id")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, key: str = "doc_id",
                     text: str = "text") -> DataFrame:
     """Per row: key, fingerprint (16 hex digits), component_id (the smallest id
     that links of up to ``max_bits`` bits reach, its own included)."""
     rows = written(fingerprints(docs, shingle, key, text), "fingerprints")
-    points = written(rows.groupBy("fp").agg(F.min(key).alias("least")), "points")
-    joined = components(written(links(points, max_bits), "links"), "a", "b")
-    roots = points.join(joined, F.col("fp") == F.col("vertex"), "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
-    roots = written(roots, "roots")
-    named = roots.join(roots.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
-    return rows.join(named, "fp").select(
+    return rows.join(classes(rows, max_bits, key), "fp").select(
         key, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def kept_rows(docs: DataFrame, shingle: int = 3, max_bits: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The row of each component with the component's id (rows whose ids are
-    all null: one of them), with the columns of ``docs``."""
-    found = near_duplicates(docs, shingle, max_bits, key, text)
-    ids = found.filter(F.col("component_id").isNotNull()).select(F.col("component_id").alias("_keep")).distinct()
-    named = docs.join(ids, F.col(key) == F.col("_keep"), "left_semi")
-    return named.dropDuplicates([key])
+    """One row of each component, with the columns of ``docs``: of its smallest
+    id, or of some null id if it has no other; if that id has several texts
+    there, that of the smallest hash."""
+    tagged = docs.withColumns({"_a": F.xxhash64(key, text), "_b": F.xxhash64(F.lit(1), text, key)})
+    rows = written(fingerprints(tagged, shingle, key, text, ["_a", "_b"]), "fingerprints")
+    found = rows.join(classes(rows, max_bits, key), "fp").groupBy("root", key, "_a", "_b").agg(F.count("*").alias("_n"))
+    first = F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), "_a", "_b", "_n")).alias("first")
+    best = written(found.groupBy("root").agg(first).select("first._a", "first._b", "first._n"), "kept")
+    kept = tagged.join(best.select("_a", "_b"), ["_a", "_b"], "left_semi")
+    if not best.filter("_n > 1").isEmpty():  # whole rows that repeat
+        kept = kept.dropDuplicates(["_a", "_b"])
+    return kept.select(docs.columns)

@@ -1,7 +1,7 @@
 import random
 import re
 
-from lodestar.llm.fair_mixing import fair_mix
+from lodestar.llm.fair_mixing import fair_mix, mixed_rows
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -67,3 +67,17 @@ def test_carried_columns_and_repeated_rows(spark):
                                "doc_id long, text string, source string, target int")
     got = fair_mix(df.withColumnRenamed("target", "extra"), carry=["extra"]).collect()
     assert sorted((r.doc_id, r.extra, r["size"]) for r in got) == [(1, 5, 3), (1, 5, 3), (2, 6, 1)]
+
+
+def test_mixed_rows(spark):
+    rows = [(i, " ".join(f"w{i}_{j}" for j in range(i % 30)) + "\n", ["a", "b", None, "c"][i % 4]) for i in range(200)]
+    rows.append((500, "x  y " * 2000, "a"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken = {r.doc_id: (r.taken, r["size"]) for r in fair_mix(df, packet=8).collect()}
+    got = mixed_rows(df, packet=8)
+    assert got.columns == df.columns
+    words, texts = {}, dict((i, t) for i, t, _ in rows)
+    for r in got.collect():
+        words[r.doc_id] = words.get(r.doc_id, 0) + len(r.text.split())
+        assert r.text == texts[r.doc_id] or texts[r.doc_id].split()[:len(r.text.split())] == r.text.split()
+    assert words == {k: t for k, (t, _) in taken.items() if t}
