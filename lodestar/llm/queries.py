@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lodestar.llm import byte_bpe
 from lodestar.llm.common import documents, table
 from lodestar.llm.extendible_dedup import exact_groups
 from lodestar.llm.fair_mixing import fair_mix
+from lodestar.llm.fm_substring import substring_dedup
 from lodestar.llm.nb_linear_toxicity import toxicity
 from lodestar.llm.simhash_vptree import near_duplicates
 from lodestar.llm.token_counts import token_counts
@@ -40,16 +42,35 @@ def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
+def q_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
+    return substring_dedup(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", spans.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_token_counts": q_token_counts,
     "op3_fair_mixing": q_fair_mixing,
     "op4_simhash_vptree": q_simhash,
+    "op5_fm_substring": q_substring_dedup,
     "op6_exact_dedup": q_exact_dedup,
     "op8_byte_bpe": q_byte_bpe,
     "op10_nb_linear_toxicity": q_toxicity,
 }
 
 ORACLES: dict[str, str] = {
+    "op5_fm_substring": """
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        starts AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 11, 1))) AS s FROM d),
+        windows AS (SELECT doc_id, s, array_to_string(w[s:s + 12], ' ') AS seq FROM starts),
+        firsts AS (SELECT seq, min(doc_id) AS least FROM windows GROUP BY seq),
+        hits AS (SELECT doc_id, s FROM windows JOIN firsts USING (seq) WHERE doc_id > least),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 13)) AS i FROM hits),
+        words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+        kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS t
+                 FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+        SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id)""",
     "op6_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
