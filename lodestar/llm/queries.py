@@ -12,6 +12,7 @@ from lodestar.llm.extendible_dedup import exact_groups
 from lodestar.llm.fair_mixing import fair_mix
 from lodestar.llm.fm_substring import substring_dedup
 from lodestar.llm.nb_linear_toxicity import toxicity
+from lodestar.llm.posting_lists import nearest
 from lodestar.llm.simhash_vptree import near_duplicates
 from lodestar.llm.token_counts import token_counts
 
@@ -48,6 +49,10 @@ def q_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", spans.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def q_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
 QUERIES = {
     "op1_token_counts": q_token_counts,
     "op3_fair_mixing": q_fair_mixing,
@@ -55,6 +60,7 @@ QUERIES = {
     "op5_fm_substring": q_substring_dedup,
     "op6_exact_dedup": q_exact_dedup,
     "op8_byte_bpe": q_byte_bpe,
+    "op9_posting_lists": q_posting_lists,
     "op10_nb_linear_toxicity": q_toxicity,
 }
 
