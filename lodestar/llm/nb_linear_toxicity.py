@@ -39,7 +39,7 @@ SMOOTHING = 1.0
 MIN_Z = 3.0
 L2 = 3e-4
 FOLDS = 3
-PART_BYTES = 4 << 20
+PART_BYTES = 1 << 20
 THRESHOLD = 0.3
 
 
