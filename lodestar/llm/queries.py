@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import byte_bpe
+from lodestar.llm import byte_bpe, context_mixing
 from lodestar.llm.common import documents, table
 from lodestar.llm.extendible_dedup import exact_groups
 from lodestar.llm.fair_mixing import fair_mix
@@ -53,12 +53,17 @@ def q_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
 
 
+def q_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_mixing.score(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_token_counts": q_token_counts,
     "op3_fair_mixing": q_fair_mixing,
     "op4_simhash_vptree": q_simhash,
     "op5_fm_substring": q_substring_dedup,
     "op6_exact_dedup": q_exact_dedup,
+    "op7_context_mixing": q_context_mixing,
     "op8_byte_bpe": q_byte_bpe,
     "op9_posting_lists": q_posting_lists,
     "op10_nb_linear_toxicity": q_toxicity,
