@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.llm import byte_bpe, context_mixing
+from lodestar.llm.co_training import quality
 from lodestar.llm.common import documents, table
 from lodestar.llm.extendible_dedup import exact_groups
 from lodestar.llm.fair_mixing import fair_mix
@@ -57,8 +58,13 @@ def q_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_mixing.score(documents(spark, sf_dir))
 
 
+def q_co_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_token_counts": q_token_counts,
+    "op2_co_training": q_co_training,
     "op3_fair_mixing": q_fair_mixing,
     "op4_simhash_vptree": q_simhash,
     "op5_fm_substring": q_substring_dedup,
