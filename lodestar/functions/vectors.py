@@ -107,3 +107,10 @@ def dot_width(a: Column | str, b: Column | str, width: int) -> Column:
     for d in range(width):
         acc = acc + x[d] * y[d]
     return acc
+
+
+def significant(col: Column | str, digits: int) -> Column:
+    """``col`` rounded to ``digits`` significant digits, whatever its size."""
+    x = F.col(col) if isinstance(col, str) else col
+    scale = F.pow(F.lit(10.0), F.lit(digits - 1.0) - F.floor(F.log10(F.abs(x))))
+    return F.when(x == 0, x).otherwise(F.round(x * scale) / scale)

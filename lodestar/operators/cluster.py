@@ -169,7 +169,10 @@ def centers_frame(spark: SparkSession, centers: Sequence[Sequence[float]]) -> Da
 
 def initial_centers(df: DataFrame, ids: Sequence[int], id_col: str = "vec_id",
                     features: str = "features") -> list[list[float]]:
-    """Read k starting centroids (S13) by id; k is a parameter, not data size."""
+    """Read k starting centroids (S13) by id; k is a parameter, not data size.
+    An id without a row is an error, as it would shift all cluster numbers."""
     rows = df.filter(F.col(id_col).isin(list(ids))).select(id_col, features).collect()
     by_id = {r[0]: list(r[1]) for r in rows}
-    return [by_id[i] for i in ids if i in by_id]
+    if missing := [i for i in ids if i not in by_id]:
+        raise ValueError(f"no rows for the starting centroids {missing}")
+    return [by_id[i] for i in ids]

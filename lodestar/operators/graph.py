@@ -16,10 +16,15 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestar.functions.vectors import significant
 from lodestar.plans.iterate import LineageCutter
 from lodestar.plans.skew import hot_keys, salt_big, salt_small
 
 
+#: Significant digits to which scores are compared when ranked.
+RANK_DIGITS = 12
+
+
 def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -93,9 +98,11 @@ def recommend_friends(adj: DataFrame, top_n: int = 10, mode: str = "symmetric",
                       users: DataFrame | None = None) -> DataFrame:
     """M6 long form with J12: every user keeps a row (null candidate when
     there is nothing to recommend).  ``users`` lists users whose input row
-    may be empty; by default the users with at least one friend."""
+    may be empty; by default the users with at least one friend.  Users who
+    are only listed by others have no row of their own, but get one here
+    when there is something to recommend."""
     adj = _cached(adj)
-    return _users(adj, users).join(friend_candidates(adj, top_n, mode), "user_id", "left")
+    return _users(adj, users).join(friend_candidates(adj, top_n, mode), "user_id", "full")
 
 
 def recommend_friends_text(adj: DataFrame, top_n: int = 10, mode: str = "list_order",
@@ -109,7 +116,7 @@ def recommend_friends_text(adj: DataFrame, top_n: int = 10, mode: str = "list_or
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "candidate"))),
                                  lambda s: s["candidate"].cast("string")), ",").alias("recs"))
     users = _users(adj, users)
-    return (users.join(lists, "user_id", "left")
+    return (users.join(lists, "user_id", "full")
             .select("user_id", F.coalesce("recs", F.lit("")).alias("recs")))
 
 
@@ -301,9 +308,12 @@ def hits(edges: DataFrame, rounds: int = 40, checkpoint_every: int = 5) -> DataF
 def rank_extremes(scores: DataFrame, score: str = "rank", key: str = "page",
                   n: int = 5) -> DataFrame:
     """``(side, pos, key)``: the n lowest and n highest by ``score``, both
-    listed low to high (N17).  Ties follow a stable ascending sort by id,
-    so the top list prefers the larger id.  Each side is a distributed
-    top-k (``TakeOrderedAndProject``); only 2n rows are ever ranked."""
+    listed low to high (N17).  Scores equal to ``RANK_DIGITS`` significant
+    digits tie (their sums differ in the last bits from run to run); ties
+    follow a stable ascending sort by id, so the top list prefers the larger
+    id.  Each side is a distributed top-k (``TakeOrderedAndProject``); only 2n
+    rows are ever ranked."""
+    scores = scores.withColumn(score, significant(score, RANK_DIGITS))
     bottom = scores.orderBy(F.asc(score), F.asc(key)).limit(n)
     top = scores.orderBy(F.desc(score), F.desc(key)).limit(n)
     wb = Window.orderBy(F.asc(score), F.asc(key))

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,10 +58,12 @@ def cms_error(df: DataFrame, col: str, n_buckets: int = CMS_BUCKETS,
     """``(id, true_n, estimate, norm_freq, rel_error)`` for every
     distinct id: ``norm_freq = true_n / t`` and
     ``rel_error = (estimate - true_n) / true_n`` (F18)."""
-    ids = df.select(F.col(col).alias("id"))
-    sketch = cms_sketch(ids, "id", n_buckets, params, p)
-    truth = ids.groupBy("id").agg(F.count(F.lit(1)).alias("true_n"))
-    total = ids.count()
+    # one scan: the sketch and the total follow from the true counts
+    truth = (df.groupBy(F.col(col).alias("id")).agg(F.count(F.lit(1)).alias("true_n"))
+             .persist(StorageLevel.MEMORY_AND_DISK))
+    sketch = (cms_cells(truth, "id", n_buckets, params, p, keep=["true_n"])
+              .groupBy("h", "bucket").agg(F.sum("true_n").alias("n")))
+    total = truth.agg(F.sum("true_n")).first()[0] or 0
     est = cms_estimate(sketch, truth, "id", n_buckets, params, p)
     return (truth.join(est, "id")
             .select("id", "true_n", "estimate",

@@ -50,8 +50,9 @@ def first_letter_count(df: DataFrame, col: str = "value") -> DataFrame:
 def split_records(df: DataFrame, col: str = "value", strict: bool = False) -> DataFrame:
     """Token 0 is the key, tokens 2 and 3 concatenated (F8) the value.
 
-    Lines of fewer than four tokens are dropped, or raise when ``strict``
-    (N2; ANSI ``element_at`` out of range raises inside the task).
+    Lines of fewer than four tokens are left out -- ``short_records`` counts
+    them -- or raise when ``strict`` (N2; ANSI ``element_at`` out of range
+    raises inside the task).
     """
     parts = java_split(col)
     if strict:
@@ -62,6 +63,13 @@ def split_records(df: DataFrame, col: str = "value", strict: bool = False) -> Da
                     F.concat(F.get("p", 2), F.get("p", 3)).alias("value")))
 
 
+def short_records(df: DataFrame, col: str = "value", tokens: int = 4) -> DataFrame:
+    """One row ``(n_lines, n_short)``: lines, and lines with too few tokens
+    for ``split_records`` (or, with ``tokens=2``, for an edge list)."""
+    short = F.size(java_split(col)) < tokens
+    return df.agg(F.count(F.lit(1)).alias("n_lines"), F.count_if(F.coalesce(short, F.lit(True))).alias("n_short"))
+
+
 def distinct_count_per_key(df: DataFrame, key: str | Column = "key",
                            value: str | Column = "value", out_key: str | None = None) -> DataFrame:
     """M3/A3: number of distinct values per key.

@@ -44,6 +44,16 @@ def q_distinct_count_per_key(spark, sf_dir):
     return T.distinct_count_per_key(ev, "user_id", value)
 
 
+def q_record_count(spark, sf_dir):
+    """P2 + M3 over text lines: distinct records per key."""
+    records = T.split_records(S.documents_text(spark, sf_dir).toDF("value"))
+    return T.distinct_count_per_key(records)
+
+
+def q_short_records(spark, sf_dir):
+    return T.short_records(S.documents_text(spark, sf_dir).toDF("value"))
+
+
 # -- baskets ----------------------------------------------------------------
 
 def _basket_setup(spark, sf_dir):
@@ -96,6 +106,8 @@ QUERIES: dict[str, Query] = {
     "word_count": q_word_count,
     "first_letter_count": q_first_letter_count,
     "distinct_count_per_key": q_distinct_count_per_key,
+    "record_count": q_record_count,
+    "short_records": q_short_records,
     "item_support": q_item_support,
     "pair_support": q_pair_support,
     "pair_rules": q_pair_rules,
@@ -133,12 +145,11 @@ def q_pagerank_edge(spark, sf_dir):
 
 
 def _power_ranks(spark, sf_dir):
-    ranks = G.pagerank_power(_g2(spark, sf_dir), rounds=40, beta=0.8)
-    return ranks.select("page", F.round("rank", RANK_DIGITS).alias("rank"))
+    return G.pagerank_power(_g2(spark, sf_dir), rounds=40, beta=0.8)
 
 
 def q_pagerank_power(spark, sf_dir):
-    return _power_ranks(spark, sf_dir)
+    return _power_ranks(spark, sf_dir).select("page", F.round("rank", RANK_DIGITS).alias("rank"))
 
 
 def q_hits_scores(spark, sf_dir):
@@ -165,7 +176,7 @@ QUERIES.update({
 
 
 KMEANS_SEEDS = list(range(10))
-KMEANS_ROUNDS = 5
+KMEANS_ROUNDS = 21
 SVM_C = 100.0
 SVM_ROUNDS = 5
 SVM_BIAS = 0.1
@@ -189,11 +200,13 @@ def _assign(distance):
     return q
 
 
-def q_kmeans_fit_loss(spark, sf_dir):
-    pts = _points(spark, sf_dir)
-    centers = K.initial_centers(pts, KMEANS_SEEDS)
-    _, losses = K.kmeans_fit(pts, centers, KMEANS_ROUNDS, "l2")
-    return K.loss_frame(spark, losses)
+def _fit_loss(distance):
+    def q(spark, sf_dir):
+        pts = _points(spark, sf_dir)
+        centers = K.initial_centers(pts, KMEANS_SEEDS)
+        _, losses = K.kmeans_fit(pts, centers, KMEANS_ROUNDS, distance)
+        return K.loss_frame(spark, losses)
+    return q
 
 
 def q_kmeans_fit_centers(spark, sf_dir):
@@ -237,7 +250,8 @@ def q_svm_minibatch_fit(spark, sf_dir):
 QUERIES.update({
     "kmeans_assign_l2": _assign("l2"),
     "kmeans_assign_l1": _assign("l1"),
-    "kmeans_fit_loss": q_kmeans_fit_loss,
+    "kmeans_fit_loss": _fit_loss("l2"),
+    "kmeans_fit_l1_loss": _fit_loss("l1"),
     "kmeans_fit_centers": q_kmeans_fit_centers,
     "svm_cost_gradient": q_svm_cost_gradient,
     "svm_batch_fit": q_svm_batch_fit,
@@ -278,8 +292,7 @@ def q_cf_hit_rate(spark, sf_dir):
 
 
 def _mf_factors(spark, ratings):
-    mx = ratings.agg(F.max("user"), F.max("item")).first()
-    return (R.init_factors(spark, int(mx[0]), MF_K, 1), R.init_factors(spark, int(mx[1]), MF_K, 2))
+    return R.init_factors(ratings, "user", MF_K, 1), R.init_factors(ratings, "item", MF_K, 2)
 
 
 def q_mf_objective(spark, sf_dir):
@@ -339,7 +352,22 @@ def q_cms_error(spark, sf_dir):
 
 def q_cms_stream(spark, sf_dir):
     schema = S.table(spark, sf_dir, "events").schema
-    return ST.cms_stream(spark, sf_dir, "events.parquet", schema, "user_id", CMS_TEST_BUCKETS)
+    return ST.cms_stream(spark, f"{sf_dir}/events.parquet", None, schema, "user_id", CMS_TEST_BUCKETS)
+
+
+def q_cms_stream_probe(spark, sf_dir):
+    """T2 + T3: probe the drained sketch; ``seen`` is its running total."""
+    sketch = q_cms_stream(spark, sf_dir)
+    ev = S.table(spark, sf_dir, "events").select(F.col("user_id").alias("id"))
+    probes = ev.unionByName(S.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id")))
+    seen = C.cms_total(sketch).first()[0]
+    return C.cms_estimate(sketch, probes, "id", CMS_TEST_BUCKETS).withColumn("seen", F.lit(seen).cast("long"))
+
+
+def q_cms_distinct_ids(spark, sf_dir):
+    """How many distinct ids the error report has."""
+    li = S.table(spark, sf_dir, "lineitem").select("l_partkey")
+    return C.cms_error(li, "l_partkey", CMS_TEST_BUCKETS).agg(F.count("id").alias("n_ids"))
 
 
 def q_sink_roundtrip(spark, sf_dir):
@@ -363,6 +391,8 @@ QUERIES.update({
     "cms_estimate": q_cms_estimate,
     "cms_error": q_cms_error,
     "cms_stream": q_cms_stream,
+    "cms_stream_probe": q_cms_stream_probe,
+    "cms_distinct_ids": q_cms_distinct_ids,
     "sink_roundtrip": q_sink_roundtrip,
     "positional_join": q_positional_join,
 })

@@ -24,7 +24,13 @@ class LineageCutter:
     def __call__(self, df: DataFrame, round_no: int, force: bool = False) -> DataFrame:
         """Checkpoint ``df`` if ``round_no`` is due (or ``force``)."""
         if force or (round_no + 1) % self.every == 0:
-            return df.checkpoint(eager=True)
+            # an eager checkpoint runs one job to evaluate and one to write:
+            # the second reads what the first has cached
+            df.persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                return df.checkpoint(eager=True)
+            finally:
+                df.unpersist()
         return df
 
     def persist(self, df: DataFrame) -> DataFrame:

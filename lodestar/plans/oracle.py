@@ -124,6 +124,12 @@ def _pagerank_edge(rounds: int = 10, d: float = 0.85) -> str:
     return ",".join(ctes) + f"\nSELECT page, round(rank, {RANK_DIGITS}) AS rank FROM r{rounds}"
 
 
+def significant_sql(x: str, digits: int = 12) -> str:
+    """``functions.vectors.significant`` as SQL."""
+    scale = f"pow(10.0, {digits - 1} - floor(log10(abs({x}))))"
+    return f"CASE WHEN {x} = 0 THEN {x} ELSE round({x} * {scale}) / {scale} END"
+
+
 def _pagerank_power_ctes(rounds: int = 40, beta: float = 0.8) -> str:
     ctes = [f"""WITH {_graph(None)},
   nodes AS (SELECT src AS page FROM g UNION SELECT dst FROM g),
@@ -172,12 +178,13 @@ GROUP BY u.user_id""",
     "pagerank_edge": _pagerank_edge(10, 0.85),
     "pagerank_power": _pagerank_power_ctes(40, 0.8) + "\nSELECT page, rank FROM pr",
     "hits_scores": _hits(40),
-    "rank_extremes": _pagerank_power_ctes(40, 0.8) + """
+    "rank_extremes": _pagerank_power_ctes(40, 0.8) + f""",
+  px AS (SELECT page, {significant_sql('rank')} AS rank FROM r40)
 SELECT 'bottom' AS side, row_number() OVER (ORDER BY rank, page) AS pos, page
-FROM (SELECT * FROM pr ORDER BY rank, page LIMIT 5)
+FROM (SELECT * FROM px ORDER BY rank, page LIMIT 5)
 UNION ALL
 SELECT 'top' AS side, 6 - row_number() OVER (ORDER BY rank DESC, page DESC) AS pos, page
-FROM (SELECT * FROM pr ORDER BY rank DESC, page DESC LIMIT 5)""",
+FROM (SELECT * FROM px ORDER BY rank DESC, page DESC LIMIT 5)""",
 })
 
 
@@ -206,14 +213,14 @@ def _kmeans_assign(dist: str) -> str:
 SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, round(dist, 6) AS dist FROM a0"""
 
 
-def _kmeans_fit(rounds: int = 5, centers: bool = False) -> str:
+def _kmeans_fit(rounds: int, centers: bool = False, dist: str = "l2") -> str:
     ctes = [f"""WITH {_PTS},
   c0 AS (SELECT vec_id AS cluster, d, x AS c FROM pts WHERE vec_id BETWEEN 0 AND 9)"""]
     for i in range(rounds):
-        ctes.append(_assign_cte(i, "l2"))
+        ctes.append(_assign_cte(i, dist).replace(" AS (", " AS MATERIALIZED ("))
         if i < rounds - 1 or centers:
             ctes.append(f"""
-  c{i + 1} AS (SELECT a.cluster, p.d, sum(p.x) / count(*) AS c
+  c{i + 1} AS MATERIALIZED (SELECT a.cluster, p.d, sum(p.x) / count(*) AS c
              FROM a{i} a JOIN pts p USING (vec_id) GROUP BY 1, 2
              UNION ALL SELECT * FROM c{i} WHERE cluster NOT IN (SELECT cluster FROM a{i}))""")
     if centers:
@@ -301,8 +308,9 @@ SELECT -1 AS dim, round(CAST(100.0 * coalesce(sum(-y), 0) AS DOUBLE), 6) AS dw F
 ORACLES.update({
     "kmeans_assign_l2": _kmeans_assign("l2"),
     "kmeans_assign_l1": _kmeans_assign("l1"),
-    "kmeans_fit_loss": _kmeans_fit(5),
-    "kmeans_fit_centers": _kmeans_fit(5, centers=True),
+    "kmeans_fit_loss": _kmeans_fit(21),
+    "kmeans_fit_l1_loss": _kmeans_fit(21, dist="l1"),
+    "kmeans_fit_centers": _kmeans_fit(21, centers=True),
     "svm_cost_gradient": _SVM_GRADIENT,
     "svm_batch_fit": _svm_fit(5, 3e-7, minibatch=False),
     "svm_minibatch_fit": _svm_fit(5, 1e-5, minibatch=True),
@@ -315,6 +323,7 @@ ORACLES.update({
 _CF = """
   r AS (SELECT DISTINCT o_custkey AS cust, l_partkey AS item
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+  blk AS (SELECT DISTINCT item FROM r WHERE item < 1000),
   rm AS (SELECT * FROM r WHERE NOT (cust = 499 AND item < 1000)),
   ti AS (SELECT item FROM rm WHERE cust = 499)"""
 
@@ -325,8 +334,9 @@ _CF_UU = """
   w AS (SELECT ov.cust, ov.ov / sqrt((SELECT n FROM pt) * deg.p) AS w FROM ov JOIN deg USING (cust)),
   uu_sc AS (SELECT rm.item, sum(w.w) AS score FROM rm JOIN w USING (cust)
             WHERE rm.item < 1000 GROUP BY rm.item),
-  uu AS (SELECT item, score, row_number() OVER (ORDER BY round(score, 9) DESC, item) AS rank
-         FROM uu_sc)"""
+  uu_all AS (SELECT item, coalesce(score, 0.0) AS score FROM blk LEFT JOIN uu_sc USING (item)),
+  uu AS (SELECT item, score, row_number() OVER (ORDER BY """ + significant_sql("score") + """ DESC, item) AS rank
+         FROM uu_all)"""
 
 _CF_II = """
   q AS (SELECT item, count(*) AS q FROM rm GROUP BY item),
@@ -335,8 +345,9 @@ _CF_II = """
   ii_acc AS (SELECT rm.item, sum(s.s) AS acc FROM rm JOIN s USING (cust)
              WHERE rm.item < 1000 GROUP BY rm.item),
   ii_sc AS (SELECT ii_acc.item, acc / sqrt(q.q) AS score FROM ii_acc JOIN q USING (item)),
-  ii AS (SELECT item, score, row_number() OVER (ORDER BY round(score, 9) DESC, item) AS rank
-         FROM ii_sc)"""
+  ii_all AS (SELECT item, coalesce(score, 0.0) AS score FROM blk LEFT JOIN ii_sc USING (item)),
+  ii AS (SELECT item, score, row_number() OVER (ORDER BY """ + significant_sql("score") + """ DESC, item) AS rank
+         FROM ii_all)"""
 
 
 def _mf_base(k: int = 4) -> str:
@@ -345,8 +356,8 @@ def _mf_base(k: int = 4) -> str:
   ratings AS (SELECT o_custkey AS cust, l_partkey AS part, avg(l_quantity) AS rating
               FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2),
   dims AS (SELECT unnest(range(0, {k})) AS d),
-  uid AS (SELECT unnest(generate_series(1, (SELECT max(cust) FROM ratings))) AS id),
-  iid AS (SELECT unnest(generate_series(1, (SELECT max(part) FROM ratings))) AS id),
+  uid AS (SELECT DISTINCT cust AS id FROM ratings),
+  iid AS (SELECT DISTINCT part AS id FROM ratings),
   P0 AS (SELECT id, d, {scale} * {uniform01_sql('id', 'd', 1)} AS v FROM uid, dims),
   Q0 AS (SELECT id, d, {scale} * {uniform01_sql('id', 'd', 2)} AS v FROM iid, dims)"""
 
@@ -443,6 +454,17 @@ ORACLES.update({
 SELECT pcells.id, min(coalesce(sketch.n, 0)) AS estimate
 FROM pcells LEFT JOIN sketch ON sketch.h = pcells.h AND sketch.bucket = pcells.bucket
 GROUP BY pcells.id""",
+    "cms_distinct_ids": "SELECT count(DISTINCT l_partkey) AS n_ids FROM lineitem",
+    "cms_stream_probe": f"""WITH {_cms_cells('SELECT user_id AS x FROM events')},{_CMS_PROBE}
+SELECT pcells.id, min(coalesce(sketch.n, 0)) AS estimate, (SELECT count(*) FROM events) AS seen
+FROM pcells LEFT JOIN sketch ON sketch.h = pcells.h AND sketch.bucket = pcells.bucket
+GROUP BY pcells.id""",
+    "record_count": f"""
+        WITH t AS (SELECT {_SPLIT.format(c='text')} AS p FROM documents)
+        SELECT p[1] AS key, count(DISTINCT p[3] || p[4]) AS n FROM t WHERE len(p) >= 4 GROUP BY 1""",
+    "short_records": f"""
+        WITH t AS (SELECT {_SPLIT.format(c='text')} AS p FROM documents)
+        SELECT count(*) AS n_lines, count(*) FILTER (WHERE len(p) < 4) AS n_short FROM t""",
     "cms_error": f"""WITH {_cms_cells('SELECT l_partkey AS x FROM lineitem')},
   truth AS (SELECT l_partkey AS id, count(*) AS true_n FROM lineitem GROUP BY 1),
   tot AS (SELECT count(*) AS t FROM lineitem),

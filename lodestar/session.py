@@ -8,7 +8,6 @@ the SparkContext).  Only when neither is set *and* the master is local
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -21,12 +20,12 @@ def get_spark(master: str | None = None, app: str = "lodestar",
 
     AQE stays on so that small shuffle outputs are turned into broadcast
     joins at run time, partitions are coalesced and skewed join partitions
-    are split.  The UI is kept off (no server is opened).
+    are split.  The UI is kept off (no server is opened).  The master, the
+    shuffle partitions and the driver's memory stay as submitted unless asked
+    for here.
     """
-    cpus = os.environ.get("BENCH_CPUS", "8")
     builder = (
         SparkSession.builder
-        .master(master or f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -36,9 +35,13 @@ def get_spark(master: str | None = None, app: str = "lodestar",
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
-        .config("spark.driver.memory", conf.pop("driver_memory", "4g"))
     )
+    if master:
+        builder = builder.master(master)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if "driver_memory" in conf:
+        builder = builder.config("spark.driver.memory", conf.pop("driver_memory"))
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     spark = builder.getOrCreate()
@@ -51,8 +54,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting it only if unset.
 
     Order: the directory already on the SparkContext, then the
-    ``spark.checkpoint.dir`` setting, then (local masters only) a fresh
-    private directory.  A non-local master without a setting is an error:
+    ``spark.checkpoint.dir`` setting, then (``local`` and ``local[n]`` only) a
+    fresh private directory.  Any other master without a setting is an error:
     a machine-local folder is not visible to other executors.
     """
     sc = spark.sparkContext
@@ -63,7 +66,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-    elif sc.master.startswith("local"):
+    elif sc.master == "local" or sc.master.startswith("local["):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="lodestar-ckpt-"))
     else:
         raise RuntimeError(

@@ -62,7 +62,8 @@ def read_edges_tab(spark: SparkSession, path: str) -> DataFrame:
 
 def read_edges_ws(spark: SparkSession, path: str) -> DataFrame:
     """First two whitespace tokens as string page ids (F3); other
-    tokens are ignored."""
+    tokens are ignored. Lines of fewer tokens are left out;
+    ``operators.text.short_records(..., tokens=2)`` counts them."""
     toks = python_split("value")
     return (spark.read.text(path).select(toks.alias("t")).filter(F.size("t") >= 2)
             .select(F.get("t", 0).alias("src"), F.get("t", 1).alias("dst")))

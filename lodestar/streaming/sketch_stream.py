@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lodestar.functions.hashing import CMS_BUCKETS
+from lodestar.functions.text import rtrim_ws
 from lodestar.operators.sketch import cms_sketch
 from lodestar.session import scratch_path
 
@@ -38,29 +39,37 @@ def cms_stream_query(stream: DataFrame, col: str, n_buckets: int = CMS_BUCKETS,
             .trigger(availableNow=True).start())
 
 
-def cms_stream(spark: SparkSession, source_dir: str, file_glob: str, schema: StructType | None,
+def cms_stream(spark: SparkSession, source_dir: str, file_glob: str | None, schema: StructType | None,
                col: str, n_buckets: int = CMS_BUCKETS, timeout_s: float | None = None,
                fmt: str = "parquet", checkpoint: str | None = None,
                max_files_per_trigger: int | None = None) -> DataFrame:
-    """T1 + T3: drain every file matching ``file_glob`` under
-    ``source_dir`` through the streaming sketch, then return the sketch as
-    a batch DataFrame ``(h, bucket, n)`` ready for probing.
+    """T1 + T3: drain every file under ``source_dir`` (whose name matches
+    ``file_glob``, if given) through the streaming sketch, then return the
+    sketch as a batch DataFrame ``(h, bucket, n)`` ready for probing.  A table
+    is a folder of part files or one file; ``source_dir`` may be either.  A
+    stream that isn't drained within ``timeout_s`` is stopped and raises.
 
     ``fmt="text"`` reads one integer id per line (S14): the line is
     right-trimmed and cast, and ``col`` names the resulting column.
     Passing the ``checkpoint`` of an earlier run resumes it: only files
     that arrived since are read, and the counts add to the saved state.
     """
-    reader = spark.readStream.option("pathGlobFilter", file_glob)
+    reader = spark.readStream.option("pathGlobFilter", file_glob) if file_glob else spark.readStream
+    # the stream reader takes a plain path for a folder; a pattern that matches
+    # nothing else may also be a file
+    source_dir = source_dir.rstrip("/")
+    path = source_dir if file_glob else f"{source_dir[:-1]}[{source_dir[-1]}]"
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if fmt == "text":
-        stream = reader.text(source_dir).select(
-            F.regexp_replace("value", r"\s+$", "").cast("long").alias(col))
+        stream = reader.text(path).select(
+            rtrim_ws("value").cast("long").alias(col))
     else:
-        stream = reader.schema(schema).format(fmt).load(source_dir).select(col)
+        stream = reader.schema(schema).format(fmt).load(path).select(col)
     q = cms_stream_query(stream, col, n_buckets, checkpoint=checkpoint)
-    q.awaitTermination(timeout_s)
+    if q.awaitTermination(timeout_s) is False:
+        q.stop()
+        raise TimeoutError(f"the stream was not drained within {timeout_s} s")
     if q.exception() is not None:
         raise RuntimeError(f"streaming sketch failed: {q.exception()}")
     return spark.table(q.name)
