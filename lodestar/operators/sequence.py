@@ -33,7 +33,9 @@ def with_global_index(df: DataFrame, order: Sequence[str], out: str = "idx",
     """Add a 0-based position in the total order ``order`` (a unique key).
 
     Distributed ``zipWithIndex``: local row numbers plus a per-partition
-    offset (running count over at most ``n_parts`` summary rows).
+    offset (running count over at most ``n_parts`` summary rows).  The rows
+    move once, into their ranges; a sorted range numbers its rows by the
+    position that ``monotonically_increasing_id`` holds in its low 33 bits.
 
     Range partitioning samples its bounds with a seed tied to the RDD, so
     two separately planned passes may cut the data differently.  The ranged,
@@ -41,8 +43,9 @@ def with_global_index(df: DataFrame, order: Sequence[str], out: str = "idx",
     and the rows are read from that cache (a lost cache partition is
     recomputed through the same shuffle dependency, hence the same bounds).
     """
-    w = Window.partitionBy("_pid").orderBy(*order)
-    local = (_ranged(df, order, n_parts).withColumn("_lrn", F.row_number().over(w) - 1)
+    position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    local = (df.repartitionByRange(_n_parts(df, n_parts), *order).sortWithinPartitions(*order)
+             .withColumns({"_pid": F.spark_partition_id(), "_lrn": position})
              .persist(StorageLevel.MEMORY_AND_DISK))
     sizes = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = sizes.select(

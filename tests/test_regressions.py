@@ -188,3 +188,13 @@ def test_no_machine_local_folder_on_a_cluster(master):
     fake.sparkContext.getConf = lambda: Conf()
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.checkpoint_dir(fake)
+
+
+def test_global_index_moves_rows_once(spark):
+    from lodestar.operators.sequence import with_global_index
+
+    df = spark.range(5000).select(((F.col("id") * 7919) % 5003).alias("k"))
+    out = with_global_index(df, ["k"], n_parts=6)
+    got = out.orderBy("k").collect()
+    assert [r.idx for r in got] == list(range(5000)) and [r.k for r in got] == sorted(r.k for r in got)
+    assert "hashpartitioning" not in out._jdf.queryExecution().sparkPlan().toString()
