@@ -32,29 +32,31 @@ def _partitions(df: DataFrame) -> int:
 # -- friend recommendation (M6) --------------------------------------------
 
 def _two_hop(adj: DataFrame, mode: str) -> DataFrame:
-    """``(user_id, candidate)`` rows, one per shared neighbour.
+    """``(user_id, candidate)`` rows, one per shared neighbour; in
+    ``symmetric`` mode only those with ``user_id < candidate`` (the caller
+    mirrors their counts).
 
     ``symmetric``: both directions; ``list_order``: the reference's
     one-directional emission, friend i -> friend j only for j after i in
     the list (column ``pos`` when present, else id order -- with id-sorted
     lists only larger ids are offered, N3).
 
-    A hub of degree d yields d^2 rows.  Hubs (more than half an average
-    partition of list entries) are split explicitly: one side of the join
-    is salted by a hash of the user, the other repeats the hub's rows once
-    per salt (salts proportional to the hub's size), so the d^2 rows are
-    produced by many tasks instead of one.
+    A hub of degree d yields about d^2 rows.  Hubs that make more than half an
+    average partition of the output are split explicitly: one side of the
+    join is salted by a hash of the user, the other repeats the hub's rows
+    once per salt (salts proportional to the hub's output), so the d^2 rows
+    are produced by many tasks instead of one.
     """
     order = "pos" if "pos" in adj.columns else "dst"
     parts = _partitions(adj)
-    hot = hot_keys(adj, "src", parts)
+    hot = hot_keys(adj, "src", parts, power=2)
     a = adj.select(F.col("src").alias("mid"), F.col("dst").alias("user_id"),
                    F.col(order).alias("_oa"))
     a = a.withColumn("_salt", salt_big("mid", hot, "user_id"))
     b = adj.select(F.col("src").alias("mid"), F.col("dst").alias("candidate"),
                    F.col(order).alias("_ob"))
     b = b.withColumn("_salt", F.explode(salt_small("mid", hot)))
-    cond = (F.col("user_id") != F.col("candidate")) if mode == "symmetric" else (
+    cond = (F.col("user_id") < F.col("candidate")) if mode == "symmetric" else (
         F.col("_oa") < F.col("_ob"))
     return a.join(b, ["mid", "_salt"]).filter(cond).select("user_id", "candidate")
 
@@ -74,6 +76,10 @@ def friend_candidates(adj: DataFrame, top_n: int = 10, mode: str = "symmetric")
     adj = _cached(adj)
     counts = (_two_hop(adj, mode).groupBy("user_id", "candidate")
               .agg(F.count(F.lit(1)).alias("n")))
+    if mode == "symmetric":  # a shared neighbour is shared both ways
+        counts = counts.select(F.inline(F.array(
+            F.struct("user_id", "candidate", "n"),
+            F.struct(F.col("candidate").alias("user_id"), F.col("user_id").alias("candidate"), "n"))))
     direct = adj.select(F.col("src").alias("user_id"), F.col("dst").alias("candidate"))
     counts = counts.join(direct, ["user_id", "candidate"], "left_anti")
     w = Window.partitionBy("user_id").orderBy(F.desc("n"), F.asc("candidate"))

@@ -40,14 +40,16 @@ class HotKeys:
         return F.element_at(table, F.col(key))
 
 
-def hot_keys(df: DataFrame, key: str, parts: int | None = None) -> HotKeys:
-    """Keys whose row count exceeds ``total / (2 * parts)``, with salt counts."""
+def hot_keys(df: DataFrame, key: str, parts: int | None = None, power: int = 1) -> HotKeys:
+    """Keys that make more than ``total / (2 * parts)`` of the output, with
+    salt counts.  A key of n rows makes ``n ** power`` of it: 1 for a join
+    with unique keys, 2 for a self-join."""
     parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    total = df.count()
-    piece = max(1, total // parts)
-    limit = max(1, total // (2 * parts))
-    hot = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-           .filter(F.col("_n") > limit).collect())
+    made = df.groupBy(key).agg(F.pow(F.count(F.lit(1)).cast("double"), F.lit(float(power))).alias("_n"))
+    total = made.agg(F.sum("_n")).first()[0] or 0.0
+    piece = max(1.0, total / parts)
+    limit = max(1.0, total / (2 * parts))
+    hot = made.filter(F.col("_n") > limit).collect()  # 2 * parts keys at most
     key_type = df.schema[key].dataType.simpleString()
     return HotKeys([r[key] for r in hot],
                    [min(parts, max(2, math.ceil(r["_n"] / piece))) for r in hot], key_type)

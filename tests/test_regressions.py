@@ -198,3 +198,17 @@ def test_global_index_moves_rows_once(spark):
     got = out.orderBy("k").collect()
     assert [r.idx for r in got] == list(range(5000)) and [r.k for r in got] == sorted(r.k for r in got)
     assert "hashpartitioning" not in out._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_hubs_are_split_by_their_output(spark):
+    """A hub makes the square of its rows: 3 hubs of 60 among 400 nodes of 2
+    are under a third of the input but nearly all of the output."""
+    from lodestar.plans.skew import hot_keys
+
+    rows = [(h, 1000 + i) for h in range(3) for i in range(60)] + [(10 + n, 2000 + n + j) for n in range(400) for j in range(2)]
+    df = spark.createDataFrame(rows, "src long, dst long")
+    by_input, by_output = hot_keys(df, "src", 4), hot_keys(df, "src", 4, power=2)
+    assert not by_input and sorted(by_output.keys) == [0, 1, 2] and min(by_output.buckets) >= 2
+    got = G.friend_candidates(df, top_n=100, mode="symmetric")
+    mutual = {(r.user_id, r.candidate): r.n for r in got.collect()}
+    assert mutual[1000, 1001] == mutual[1001, 1000] == 3 and all(mutual[b, a] == n for (a, b), n in mutual.items() if (b, a) in mutual)
