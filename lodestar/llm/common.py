@@ -58,11 +58,14 @@ def flat(column: pa.ChunkedArray | pa.Array) -> pa.Array:
 
 def text_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(offsets int64, bytes uint8) of a string or binary array; nulls are empty."""
-    binary = pa.types.is_binary(texts.type) or pa.types.is_large_binary(texts.type)
-    texts = texts.cast(pa.large_binary()).fill_null(b"") if binary else texts.cast(pa.large_string()).fill_null("")
-    texts = pa.concat_arrays([texts])
-    n, bufs = len(texts), texts.buffers()
-    offsets = np.frombuffer(bufs[1], np.int64, n + 1, texts.offset * 8)
+    if texts.null_count:
+        texts = texts.fill_null(b"" if pa.types.is_binary(texts.type) or pa.types.is_large_binary(texts.type) else "")
+    wide = pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type)
+    n, bufs = len(texts), texts.buffers()  # read in place: batches can be large
+    if not n:
+        return np.zeros(1, np.int64), np.zeros(0, np.uint8)
+    kind = np.dtype(np.int64 if wide else np.int32)
+    offsets = np.frombuffer(bufs[1], kind, n + 1, texts.offset * kind.itemsize).astype(np.int64)
     data = np.frombuffer(bufs[2], np.uint8) if bufs[2] is not None else np.zeros(0, np.uint8)
     return offsets - offsets[0], data[offsets[0]:offsets[-1]]
 

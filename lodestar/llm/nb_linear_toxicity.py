@@ -5,12 +5,13 @@ Features: whether a hashed character n-gram (orders ``ORDERS``, A-Z and other
 letters lower-cased as Python does) occurs in the whole text. Their document
 counts by class come from all labelled training rows, summed per task before
 the shuffle; the log-count ratio of the smoothed shares scales each feature,
-and features whose ratio is less than ``MIN_Z`` standard errors from zero are
-left out. The linear weights are a logistic regression on scaled features,
+and only the ``KEPT`` features whose ratios are the most standard errors, at
+least ``MIN_Z``, from zero stay: the model has the same size on any corpus. The linear weights are a logistic regression on scaled features,
 fitted in one task on a sample of about ``fit_rows`` training rows (those of
 the smallest id hash; 2 * fit_rows at most): the one bounded part. Its margins
 are calibrated on folds of that sample whose own counts are taken out of the
-ratios. Scoring reads every text with a model of 2**bits weights, whatever the
+ratios. A bitmap of 2**FILTER_BITS bits, of the labelled ids' hashes, keeps most
+unlabelled texts out of the join with the labels. Scoring reads every text with a model of 2**bits weights, whatever the
 corpus.
 
 Null and empty texts have no features: their score is the calibrated bias. A
@@ -29,17 +30,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import byte_slices, fold, mix64
+from lodestar.llm.common import byte_slices, fold, mix64, shuffle_partitions
 from lodestar.llm.linear import Sparse, calibrate, fit_logistic, sigmoid
 
 ORDERS = (4, 5, 6)
 BITS = 20
-FIT_ROWS = 16_384
+FIT_ROWS = 8192
 SMOOTHING = 1.0
 MIN_Z = 3.0
+KEPT = 8192
 L2 = 3e-4
 FOLDS = 3
-PART_BYTES = 1 << 20
+PART_BYTES = 1 << 18
+FILTER_BITS = 26
+BLOCK = 1 << 12
 THRESHOLD = 0.3
 
 
@@ -77,35 +81,48 @@ def ratios(pos: np.ndarray, neg: np.ndarray, n_pos: float, n_neg: float) -> tupl
     return r, np.abs(r) / np.sqrt(1 / p + 1 / q)
 
 
+def strongest(z: np.ndarray, least: float, most: int) -> np.ndarray:
+    """Numbers of the features with the ``most`` largest z of ``least`` or more."""
+    found = np.flatnonzero(z >= least)
+    return np.sort(found[np.argsort(-z[found], kind="stable")[:most]])
+
+
 def class_counts(training: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Documents per feature in class 1 and class 0, over all training rows."""
+    """Documents per feature in class 1 and class 0, over all training rows.
+    A task sends its sums in blocks, high bytes apart (they are nearly all zero)."""
     width = 1 << bits
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((2, width), np.int64)
+        sums = np.zeros((2, width), np.int32)
         for batch in batches:
             for part in byte_slices(batch, "text", PART_BYTES):
                 labels = part.column("label").to_pylist()
                 for y, f in zip(labels, features(part.column("text").to_pylist(), bits), strict=True):
                     sums[y, f] += 1
-        some = np.flatnonzero(sums.any(0))
-        for at in range(0, len(some), 1 << 16):
-            own = some[at:at + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(sums[1, own]), pa.array(sums[0, own])],
-                                             names=["feature", "pos", "neg"])
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in range(0, width, BLOCK):
+            own = sums[:, block:block + BLOCK]
+            if own.any():
+                planes = np.ascontiguousarray(own).view(np.uint8).reshape(-1, 4).T.tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([block // BLOCK], pa.int32()), pa.array([planes], pa.binary())],
+                                                 names=["block", "sums"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            packed = np.stack([batch.column(c).to_numpy() for c in ("feature", "pos", "neg")]).tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([packed], pa.binary())], names=["packed"])
-
-    summed = (training.mapInArrow(count, "feature long, pos long, neg long")
-              .groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")))
-    pos, neg = np.zeros(width), np.zeros(width)
-    for r in summed.mapInArrow(pack, "packed binary").collect():  # 24 bytes a feature at most
-        feature, p, n = np.frombuffer(r.packed, np.int64).reshape(3, -1)
-        pos[feature], neg[feature] = p, n
-    return pos, neg
+            for block, planes in zip(batch.column("block").to_pylist(), batch.column("sums").to_pylist(), strict=True):
+                own = np.frombuffer(planes, np.uint8).reshape(4, -1).T
+                own = np.ascontiguousarray(own).view(np.int32).reshape(2, -1)
+                sums[block] = sums.get(block, 0) + own.astype(np.int64)
+        for block, own in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([own.tobytes()], pa.binary())], names=["block", "sums"])
+
+    parts = min(shuffle_partitions(training.sparkSession), width // BLOCK)
+    summed = (training.mapInArrow(count, "block int, sums binary").repartitionById(parts, F.col("block"))
+              .mapInArrow(add, "block int, sums binary"))
+    out = np.zeros((2, width))
+    for r in summed.toLocalIterator():  # 16 bytes a feature in all
+        out[:, r.block * BLOCK:(r.block + 1) * BLOCK] = np.frombuffer(r.sums, np.int64).reshape(2, -1)
+    return out[1], out[0]
 
 
 def fit(rows: list[np.ndarray], y: np.ndarray, pos: np.ndarray, neg: np.ndarray, n_pos: int, n_neg: int,
@@ -116,7 +133,7 @@ def fit(rows: list[np.ndarray], y: np.ndarray, pos: np.ndarray, neg: np.ndarray,
 
     def learn(own: np.ndarray, counts: tuple) -> tuple[np.ndarray, float]:
         r, z = ratios(*counts)
-        keep = np.flatnonzero(z >= MIN_Z)
+        keep = strongest(z, MIN_Z, KEPT)
         new = np.full(width, -1)
         new[keep] = np.arange(len(keep))
         short = [f[f >= 0] for f in (new[rows[i]] for i in own)]
@@ -147,19 +164,22 @@ def train(training: DataFrame, bits: int = BITS, fit_rows: int = FIT_ROWS) -> tu
         return np.zeros(1 << bits), float(np.log(((ones or 0) + 0.05) / (n - (ones or 0) + 0.95)))
     pos, neg = class_counts(training, bits)
     # what a fold may still find significant once its own counts are out
-    wanted = ratios(pos, neg, ones, n - ones)[1] >= MIN_Z / 2
+    chosen = strongest(ratios(pos, neg, ones, n - ones)[1], MIN_Z / 2, 2 * KEPT)
+    wanted = np.zeros(1 << bits, bool)
+    wanted[chosen] = True
+    pos, neg = pos[chosen], neg[chosen]
 
     def fit_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, labels, rows = [], [], []
+        new = np.cumsum(wanted, dtype=np.int32) - 1
         for batch in batches:
             for part in byte_slices(batch, "text", PART_BYTES):
                 keys += part.column("order").to_pylist()
                 labels += part.column("label").to_pylist()
-                rows += features(part.column("text").to_pylist(), bits, wanted)
+                rows += [new[f] for f in features(part.column("text").to_pylist(), bits, wanted)]
         by = sorted(range(len(keys)), key=lambda i: (keys[i], labels[i], len(rows[i])))
         if by:
-            w, b = fit([rows[i] for i in by], np.array(labels, np.float64)[by],
-                       pos * wanted, neg * wanted, ones, n - ones)
+            w, b = fit([rows[i] for i in by], np.array(labels, np.float64)[by], pos, neg, ones, n - ones)
             yield pa.RecordBatch.from_arrays([pa.array([np.append(w, b).astype(np.float32).tobytes()], pa.binary())], names=["model"])
 
     buckets = 1 << 30
@@ -170,7 +190,9 @@ def train(training: DataFrame, bits: int = BITS, fit_rows: int = FIT_ROWS) -> tu
     if not model:
         return np.zeros(1 << bits), float(np.log((ones + 0.05) / (n - ones + 0.95)))
     packed = np.frombuffer(model[0].model, np.float32)
-    return packed[:-1].copy(), float(packed[-1])
+    weights = np.zeros(1 << bits, np.float32)
+    weights[chosen] = packed[:-1]
+    return weights, float(packed[-1])
 
 
 def score(docs: DataFrame, weights: np.ndarray, bias: float, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -195,7 +217,32 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, chosen: Column
     (over the column ``key``) holds."""
     known = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label")).filter(
         F.col("label").isin(0, 1) & chosen)
-    return docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(known, "key")
+    place = F.pmod(F.xxhash64(F.col("key").cast("long")), F.lit(1 << FILTER_BITS))
+    marks = (known.select(F.shiftright(place, 6).alias("word"), 
+                          F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(64)).cast("int")).alias("bit"))
+             .groupBy("word").agg(F.bit_or("bit").alias("bits")))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = np.stack([batch.column(c).to_numpy() for c in ("word", "bits")])
+            yield pa.RecordBatch.from_arrays([pa.array([both.tobytes()], pa.binary())], names=["packed"])
+
+    bitmap = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    for r in marks.mapInArrow(pack, "packed binary").collect():  # 16 bytes a word of the bitmap at most
+        word, bits = np.frombuffer(r.packed, np.int64).reshape(2, -1)
+        bitmap[word] = bits
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)  # 2**(FILTER_BITS - 3) bytes
+
+    def maybe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column("place").to_numpy()
+            yield batch.filter(pa.array((shared.value[at >> 6] >> (at & 63) & 1).astype(bool))).drop_columns(["place"])
+
+    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).filter(
+        chosen & F.col("key").isNotNull())
+    kind = rows.schema["key"].dataType.simpleString()
+    some = rows.withColumn("place", place).mapInArrow(maybe, f"key {kind}, text string")
+    return some.join(known, "key")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", threshold: float = THRESHOLD, folds: int = 4,
