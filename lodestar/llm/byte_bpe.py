@@ -36,24 +36,32 @@ from lodestar.llm.common import byte_slices
 
 CHUNK_CHARS = 1 << 16
 OVERLAP_CHARS = 1 << 12
-PART_BYTES = 4 << 20
+PART_BYTES = 1 << 20
 #: Pieces remembered between parts of a task, and lockstep's longest piece.
-MEMORY = 200_000
+MEMORY = 100_000
 LOCKSTEP = 32
 NO_RANK = np.int32(2**31 - 1)
 
 
+def read_ranks(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as f:
+        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+
+
+def token_bytes(path: str) -> pa.Array:
+    """Token bytes by id (= rank)."""
+    ranks = read_ranks(path)
+    tokens = [b""] * (max(ranks.values()) + 1)
+    for token, i in ranks.items():
+        tokens[i] = token
+    return pa.array(tokens, pa.large_binary())
+
+
 class Vocabulary:
-    """Token bytes by id (= rank) and the rank of every pair that merges."""
+    """Rank of every token and of every pair that merges."""
 
     def __init__(self, path: str):
-        with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.ranks = ranks
-        tokens = [b""] * (max(ranks.values()) + 1)
-        for token, i in ranks.items():
-            tokens[i] = token
-        self.tokens = pa.array(tokens, pa.large_binary())
+        self.ranks = ranks = read_ranks(path)
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         pairs = {}
         for token, i in ranks.items():
@@ -262,7 +270,7 @@ def decode(coded: DataFrame, ranks: str, ids: str = "ids", out: str = "decoded",
     kinds = ", ".join(f"`{c}` {coded.schema[c].dataType.simpleString()}" for c in rest)
 
     def raw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Vocabulary(ranks).tokens
+        tokens = token_bytes(ranks)
         for batch in batches:
             for part in byte_slices(batch, ids, part_bytes):
                 packed = part.column(ids).fill_null(b"").cast(pa.large_binary())
