@@ -5,8 +5,8 @@ XXH64 with seed 42 of each; a bit is set if it is set in over half of the
 hashes. Too few words make one shingle, none the fingerprint zero.
 
 Links: copies collapse first, so the search is over distinct fingerprints. A
-vantage-point tree is fitted on a bounded sample (``SAMPLE`` fingerprints, those
-of the smallest hash): a node holds a fingerprint v and a radius r, near points
+vantage-point tree is fitted on a bounded sample (about ``SAMPLE`` fingerprints,
+those of the smallest hash): a node holds a fingerprint v and a radius r, near points
 (distance up to r) go left, the others right. Every fingerprint resides in one
 leaf. A pair within ``max_bits`` that a node parts lies close to its radius,
 by the triangle inequality: so residents of the left in the last ``max_bits``
@@ -247,8 +247,10 @@ def links(points: DataFrame, max_bits: int = 2, sample: int = SAMPLE) -> DataFra
     "at most max_bits bits differ"."""
     spark = points.sparkSession
     tasks = shuffle_partitions(spark)
-    drawn = [r.fp for r in points.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(sample).collect()]
-    nodes, loads = fit_tree(np.array(drawn, np.int64).view(np.uint64), 2 * tasks, max_bits)
+    share = int(min(1.0, sample / max(1, points.count())) * (1 << 40))
+    place = F.shiftrightunsigned(F.xxhash64("fp"), 24)  # distinct fingerprints, so about ``sample`` of them
+    drawn = [r.fp for r in points.select("fp").filter(place < share).collect()]
+    nodes, loads = fit_tree(np.sort(np.array(drawn, np.int64).view(np.uint64)), 2 * tasks, max_bits)
     task_of = deal(loads, tasks)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
