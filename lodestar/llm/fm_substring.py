@@ -12,7 +12,8 @@ an anchor's position. A segment goes to its anchor's shard. An anchor in more
 than ``HOT_DOCS`` documents would fill a shard with its contexts, so its
 windows are routed one by one, by the hash of all their words.
 
-Shard. The distinct segments of a shard, block by block, become a compressed
+Shard. Routes are hashed into buckets, one per shuffle partition, and a bucket
+that is large into shards. The distinct segments of a shard become a compressed
 FM-index: the Burrows-Wheeler transform of their word numbers, sorted to the
 depth of a window, in a wavelet tree of packed bits with block counts. All
 segments are streamed against it by backward search. The matching statistic of
@@ -44,11 +45,14 @@ from pyspark.sql import functions as F
 from lodestar.llm.common import byte_slices, is_space, mix64, powers, shuffle_partitions, text_buffers, word_hashes, word_spans
 
 WINDOW = 13
-GRAM = 6
+GRAM = 5
 HOT_DOCS = 4096
-#: Groups of documents per shuffle partition, and words of an index block.
+#: Groups of documents, and buckets of routes, per shuffle partition: a group
+#: sends one letter a bucket, so their product sets the number of letters.
 GROUPS = 4
-BLOCK_WORDS = 1 << 20
+BUCKETS = 1
+#: Bytes of segments, copies counted, for which a bucket builds one index.
+SHARD_BYTES = 8 << 20
 PART_BYTES = 4 << 20
 LAST = np.int64(2**63 - 1)  # stands for a null id
 BASES = (0xD6E8FEB86659FD93, 0xA5CB9243F1ED4F35)
@@ -265,14 +269,31 @@ def parts_of(table: pa.Table) -> Iterator[pa.RecordBatch]:
         yield from byte_slices(batch, "text", PART_BYTES)
 
 
-SEGMENT = "route long, grp int, segment binary, lo long, hi long, single boolean, name1 long, name2 long"
+SEGMENT = "bucket int, grp int, n int, size int, body binary"
 ANSWER = "grp int, name1 long, name2 long, offset int, n int, least long, single boolean"
 
 
-def segments_of(docs: pa.Table, repeated: pa.Table, window: int, gram: int) -> pa.Table:
-    """A group's distinct segments, with the least and largest id that has them."""
-    kinds = {"route": pa.int64(), "grp": pa.int32(), "segment": pa.binary(), "lo": pa.int64(), "hi": pa.int64(),
-             "single": pa.bool_(), "name1": pa.int64(), "name2": pa.int64()}
+def packed(segments: list[bytes], lo: list[int], hi: list[int], single: list[bool], spread: list[int]) -> tuple[int, bytes]:
+    """A letter's body: ids, marks, a byte of the route's hash, and segments,
+    compressed (they share most of their words); and its size before."""
+    raw = b"".join([np.array(lo, np.int64).tobytes(), np.array(hi, np.int64).tobytes(), np.array(single, np.uint8).tobytes(),
+                    np.array(spread, np.uint8).tobytes(), b"\n".join(segments)])
+    return len(raw), pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpacked(n: int, size: int, body: bytes, shard: int, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    """What a letter has for one of the bucket's shards."""
+    raw = pa.decompress(body, decompressed_size=size, codec="zstd", asbytes=True)
+    lo, hi = np.frombuffer(raw, np.int64, 2 * n).reshape(2, -1)
+    single, spread = np.frombuffer(raw, np.uint8, 2 * n, 16 * n).reshape(2, -1)
+    own = np.flatnonzero(spread % shards == shard)
+    segments = raw[18 * n:].split(b"\n")
+    return lo[own], hi[own], single[own] > 0, [segments[i] for i in own]
+
+
+def segments_of(docs: pa.Table, repeated: pa.Table, window: int, gram: int, buckets: int) -> pa.Table:
+    """A group's letters, one a bucket of routes: its distinct segments, with
+    the least and the largest id that has them."""
     found: dict[tuple, list] = {}
     wanted, by = np.unique(repeated.column("anchor").to_numpy().view(np.uint64), return_index=True)
     hot_anchor = repeated.column("n").to_numpy()[by] > HOT_DOCS
@@ -290,32 +311,48 @@ def segments_of(docs: pa.Table, repeated: pa.Table, window: int, gram: int) -> p
         singles = np.flatnonzero(hot[w.run_of])
         a = np.concatenate([w.start[w.run[runs]], w.start[singles]])
         b = np.concatenate([w.start[last[runs]], w.start[singles]]) + window
-        name1, name2 = (x.view(np.int64) for x in sequence_names(w.hashes, a, b))
-        route = np.concatenate([w.anchor[w.run[runs]].view(np.int64), name1[len(runs):]])
+        route = np.concatenate([w.anchor[w.run[runs]], sequence_names(w.hashes, a[len(runs):], b[len(runs):])[0]])
+        place = mix64(route)
+        bucket, spread = (place % np.uint64(buckets)).astype(np.int64), (place >> np.uint64(56)).tolist()
         key = np.concatenate([keys[w.doc[w.run[runs]]], keys[w.doc[singles]]])
-        for i, (x, y, k) in enumerate(zip(where[a].tolist(), where[b].tolist(), key.tolist(), strict=True)):
-            one = i >= len(runs)
-            entry = found.get((body[x:y], one))
+        for i, (x, y, k, to) in enumerate(zip(where[a].tolist(), where[b].tolist(), key.tolist(), bucket.tolist(), strict=True)):
+            name = (to, i >= len(runs), body[x:y])
+            entry = found.get(name)
             if entry is None:
-                found[body[x:y], one] = [route[i], k, k, name1[i], name2[i]]
+                found[name] = [k, k, spread[i]]
             else:
-                entry[1], entry[2] = min(entry[1], k), max(entry[2], k)
+                entry[0], entry[1] = min(entry[0], k), max(entry[1], k)
+    letters: dict[int, list] = {}
+    for (to, one, segment), (lo, hi, spread) in found.items():
+        letters.setdefault(to, []).append((segment, lo, hi, one, spread))
     group = docs.column("grp")[0].as_py() if len(docs) else 0
-    cols = [[e[0] for e in found.values()], [group] * len(found), [s for s, _ in found], [e[1] for e in found.values()],
-            [e[2] for e in found.values()], [one for _, one in found], [e[3] for e in found.values()], [e[4] for e in found.values()]]
-    return pa.table([pa.array(c, k) for c, k in zip(cols, kinds.values(), strict=True)], names=list(kinds))
-
-
-def answers(block: pa.Table, window: int) -> pa.RecordBatch:
-    """Per group and segment of it: the intervals of windows whose least id is
-    below an id of the group."""
-    # a window routed alone is the same text as a segment of one window, but
-    # both have an anchor of one class, so they never share a shard's block
-    coded = block.column("segment").combine_chunks().cast(pa.large_binary()).dictionary_encode()
+    bodies = [packed(*map(list, zip(*x, strict=True))) for x in letters.values()]
+    cols = [(list(letters), pa.int32()), ([group] * len(letters), pa.int32()), ([len(x) for x in letters.values()], pa.int32()),
+            ([n for n, _ in bodies], pa.int32()), ([x for _, x in bodies], pa.binary())]
+    return pa.table([pa.array(c, k) for c, k in cols], names=[c.split()[0] for c in SEGMENT.split(", ")])
+
+
+def answers(letters: list[tuple], window: int, shard: int, shards: int) -> pa.RecordBatch:
+    """A bucket's letters -> per group and segment of it, of one shard: the intervals of
+    windows whose least id is below an id of the group. (A window that is routed
+    alone and a segment of one window never have the same text: an anchor is
+    hot for all or for none.)"""
+    parts = [unpacked(n, size, body, shard, shards) for _, n, size, body in letters]
+    grp = np.repeat(np.array([g for g, *_ in letters], np.int32), [len(p[3]) for p in parts])
+    lows, highs, single = (np.concatenate([p[i] for p in parts]) for i in range(3))
+    if not len(grp):
+        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_()]
+        return pa.RecordBatch.from_arrays([pa.array([], k) for k in kinds], names=[c.split()[0] for c in ANSWER.split(", ")])
+    coded = pa.array([x for p in parts for x in p[3]], pa.large_binary()).dictionary_encode()
     code = coded.indices.to_numpy().astype(np.int64)
     lo = np.full(len(coded.dictionary), LAST)
-    np.minimum.at(lo, code, block.column("lo").to_numpy())
+    np.minimum.at(lo, code, lows)
     least, upto = least_ids(coded.dictionary, lo, window)
+    offsets, flat = text_buffers(coded.dictionary)
+    ends = np.flatnonzero(flat == 32)
+    hashes = word_hashes(flat, np.concatenate([[0], ends[:-1] + 1]), ends)
+    cut = np.searchsorted(ends, offsets)
+    name1, name2 = sequence_names(hashes, cut[:-1], cut[1:])
     # runs of windows with one least id
     segment = np.repeat(np.arange(len(lo)), np.diff(upto))
     new = np.ones(len(least), bool)
@@ -327,33 +364,35 @@ def answers(block: pa.Table, window: int) -> pa.RecordBatch:
     per_row = np.diff(first)[code]
     row = np.repeat(np.arange(len(code)), per_row)
     run = first[code][row] + np.arange(len(row)) - np.repeat(np.cumsum(per_row) - per_row, per_row)
-    useful = least[start[run]] < block.column("hi").to_numpy()[row]
+    useful = least[start[run]] < highs[row]
     row, run = row[useful], run[useful]
-    take = lambda c: block.column(c).combine_chunks().take(pa.array(row))
     return pa.RecordBatch.from_arrays(
-        [take("grp"), take("name1"), take("name2"), pa.array((start[run] - upto[of[run]]).astype(np.int32)),
-         pa.array(size[run].astype(np.int32)), pa.array(least[start[run]]), take("single")],
-        names=[c.split()[0] for c in ANSWER.split(", ")])
+        [pa.array(grp[row]), pa.array(name1[code[row]].view(np.int64)), pa.array(name2[code[row]].view(np.int64)),
+         pa.array((start[run] - upto[of[run]]).astype(np.int32)), pa.array(size[run].astype(np.int32)),
+         pa.array(least[start[run]]), pa.array(single[row])], names=[c.split()[0] for c in ANSWER.split(", ")])
+
+
+def search_buckets(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    """Letters in order of the bucket -> answers, one index a shard."""
 
+    def close(letters: list[tuple]) -> Iterator[pa.RecordBatch]:
+        shards = min(256, 1 + sum(size for _, _, size, _ in letters) // SHARD_BYTES)
+        for shard in range(shards):
+            out = answers(letters, window, shard, shards)
+            if len(out):
+                yield out
 
-def search_shard(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """A shard's rows in order of the route -> answers, block by block; a block
-    ends between two routes once it has ``BLOCK_WORDS`` words."""
-    held: list[pa.RecordBatch] = []
-    words = 0
+    held: list[tuple] = []
+    at = None
     for batch in batches:
-        for part in byte_slices(batch, "segment", PART_BYTES):
-            route = part.column("route").to_numpy()
-            if words >= BLOCK_WORDS:
-                last = held[-1].column("route")[-1].as_py()
-                cut = int(np.searchsorted(route != last, True)) if route[0] == last else 0
-                if cut < len(route):
-                    yield answers(pa.Table.from_batches([*held, part.slice(0, cut)]), window)
-                    held, words, part = [], 0, part.slice(cut)
-            held.append(part)
-            words += int((text_buffers(part.column("segment"))[1] == 32).sum())
+        for bucket, *letter in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if bucket != at and held:
+                yield from close(held)
+                held = []
+            at = bucket
+            held.append(tuple(letter))
     if held:
-        yield answers(pa.Table.from_batches(held), window)
+        yield from close(held)
 
 
 def window_keys(name1: np.ndarray, name2: np.ndarray, offset: np.ndarray, single: np.ndarray | bool) -> np.ndarray:
@@ -425,8 +464,8 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, key
     repeated = seen.join(often, "anchor").select("grp", "anchor", "n")
     grouped = rows.groupBy("grp")
     segments = grouped.cogroup(repeated.groupBy("grp")).applyInArrow(
-        lambda d, r: segments_of(d, r, window, gram), SEGMENT)
-    answered = (segments.repartitionById(n, F.pmod("route", F.lit(n)).cast("int")).sortWithinPartitions("route")
-                .mapInArrow(lambda it: search_shard(it, window), ANSWER))
+        lambda d, r: segments_of(d, r, window, gram, BUCKETS * n), SEGMENT)
+    answered = (segments.repartitionById(n, F.col("bucket") % n).sortWithinPartitions("bucket")
+                .mapInArrow(lambda it: search_buckets(it, window), ANSWER))
     return (rows.groupBy("grp").cogroup(answered.groupBy("grp"))
             .applyInArrow(lambda d, m: cut_group(d, m, window, gram), RESULT).withColumnRenamed("key", key))

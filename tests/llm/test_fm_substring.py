@@ -40,10 +40,11 @@ def corpus(seed, n=150):
     return rows + rows[20:24]
 
 
-@pytest.mark.parametrize(("hot", "block"), [(4096, 1 << 20), (3, 50), (0, 1)])
-def test_against_brute_force(spark, monkeypatch, hot, block):
+@pytest.mark.parametrize(("hot", "buckets"), [(4096, 1), (3, 5), (0, 20)])
+def test_against_brute_force(spark, monkeypatch, hot, buckets):
     monkeypatch.setattr(S, "HOT_DOCS", hot)  # in the driver; the functions are sent by value below
-    monkeypatch.setattr(S, "BLOCK_WORDS", block)
+    monkeypatch.setattr(S, "BUCKETS", buckets)
+    monkeypatch.setattr(S, "SHARD_BYTES", 2000)  # several shards a bucket
     from pyspark import cloudpickle
 
     cloudpickle.register_pickle_by_value(S)
