@@ -23,6 +23,7 @@ repeated results; an empty table gives none. Only the named columns are read.
 from __future__ import annotations
 
 import base64
+import functools
 import heapq
 from collections.abc import Iterator
 
@@ -32,7 +33,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import byte_slices
+from lodestar.llm.common import byte_slices, frugal
 
 CHUNK_CHARS = 1 << 16
 OVERLAP_CHARS = 1 << 12
@@ -48,6 +49,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
+@functools.lru_cache(1)
 def token_bytes(path: str) -> pa.Array:
     """Token bytes by id (= rank)."""
     ranks = read_ranks(path)
@@ -69,9 +71,9 @@ class Vocabulary:
                 a, b = ranks.get(token[:cut]), ranks.get(token[cut:])
                 if a is not None and b is not None:
                     pairs[a << 32 | b] = i
-        self.pairs = pairs
-        self.keys = np.array(sorted(pairs), np.int64)
-        self.values = np.array([pairs[k] for k in self.keys.tolist()], np.int32)
+        keys, values = np.fromiter(pairs, np.int64, len(pairs)), np.fromiter(pairs.values(), np.int32, len(pairs))
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], values[order]
 
     def pair_ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Rank of each merged pair; NO_RANK where it doesn't merge or b < 0."""
@@ -79,18 +81,24 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where((self.keys[at] == key) & (b >= 0), self.values[at], NO_RANK)
 
+    def pair_rank(self, a: int, b: int) -> int | None:
+        key = a << 32 | b
+        at = int(np.searchsorted(self.keys, key))
+        return int(self.values[at]) if at < len(self.keys) and self.keys[at] == key else None
+
     def merge_long(self, piece: bytes) -> np.ndarray:
         """One long piece by a heap of (rank, position)."""
         n = len(piece)
         ids = self.byte_ids[np.frombuffer(piece, np.uint8)].tolist()
         nxt, prv, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
-        heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1)
-                if (r := self.pairs.get(ids[i] << 32 | ids[i + 1])) is not None]
+        start = np.array(ids)
+        first = self.pair_ranks(start[:-1], start[1:]).tolist()
+        heap = [(r, i, ids[i], ids[i + 1]) for i, r in enumerate(first) if r != NO_RANK]
         heapq.heapify(heap)
 
         def offer(i: int) -> None:
             j = nxt[i]
-            if j < n and (r := self.pairs.get(ids[i] << 32 | ids[j])) is not None:
+            if j < n and (r := self.pair_rank(ids[i], ids[j])) is not None:
                 heapq.heappush(heap, (r, i, ids[i], ids[j]))
 
         while heap:
@@ -160,11 +168,17 @@ class Vocabulary:
         return out
 
 
+@functools.lru_cache(1)
+def vocabulary_of(path: str) -> Vocabulary:
+    """One a Python worker, for the tasks that it runs."""
+    return Vocabulary(path)
+
+
 class Encoder:
     """Encodes lists of pieces, remembering those met before."""
 
     def __init__(self, path: str):
-        self.vocabulary = Vocabulary(path)
+        self.vocabulary = vocabulary_of(path)
         self.memory: dict[str, bytes] = {}
 
     def packed(self, pieces: list[str], ends: list[int]) -> pa.Array:
@@ -235,7 +249,7 @@ def encode(docs: DataFrame, ranks: str, pattern: str, key: str = "doc_id", text:
                 yield pa.RecordBatch.from_arrays(
                     [part.column("row"), part.column("i"), encoder.packed(pieces, ends)], names=["row", "i", "ids"])
 
-    short = rows.filter(F.length("text") <= chunk).mapInArrow(whole, f"key {kind}, ids binary")
+    short = rows.filter(F.length("text") <= chunk).mapInArrow(frugal(whole), f"key {kind}, ids binary")
     long = rows.filter(F.length("text") > chunk).withColumn("row", F.monotonically_increasing_id())
     chunks = (long.withColumn("i", F.explode(F.sequence(F.lit(0), F.floor((F.length("text") - 1) / chunk).cast("int"))))
               .withColumn("text", F.substring("text", F.col("i") * chunk + 1, F.lit(chunk + overlap))))
@@ -251,14 +265,14 @@ def encode(docs: DataFrame, ranks: str, pattern: str, key: str = "doc_id", text:
                               "broken": F.max((F.col("begin").isNull()).cast("int")).over(Window.partitionBy("row"))})
                 .drop("tail"))
     good = stitched.filter("broken = 0")
-    joined = (good.select("row", "i", "text", "starts", "begin", "stop").mapInArrow(pieces_of, "row long, i int, ids binary")
+    joined = (good.select("row", "i", "text", "starts", "begin", "stop").mapInArrow(frugal(pieces_of), "row long, i int, ids binary")
               .groupBy("row").agg(F.array_sort(F.collect_list(F.struct("i", "ids"))).alias("parts"))
               .select("row", F.aggregate("parts.ids", F.lit(b""), lambda a, b: F.concat(a, b)).alias("ids"))
               .join(good.filter("i = 0").select("row", "key"), "row").select("key", "ids"))
     rest = (stitched.filter("broken = 1").groupBy("row", "key")
             .agg(F.array_sort(F.collect_list(F.struct("i", F.substring("text", 1, chunk).alias("text")))).alias("parts"))
             .select("key", F.array_join("parts.text", "").alias("text"))
-            .mapInArrow(whole, f"key {kind}, ids binary"))
+            .mapInArrow(frugal(whole), f"key {kind}, ids binary"))
     return short.unionAll(joined).unionAll(rest).withColumnRenamed("key", key)
 
 
@@ -287,7 +301,7 @@ def decode(coded: DataFrame, ranks: str, ids: str = "ids", out: str = "decoded",
                      pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(part), [None, pa.py_buffer(cuts), data or pa.py_buffer(b"")]
                                                       ).cast(pa.binary())], names=[*rest, out])
 
-    return coded.mapInArrow(raw, f"{kinds}, `{out}` binary" if rest else f"`{out}` binary")
+    return coded.mapInArrow(frugal(raw), f"{kinds}, `{out}` binary" if rest else f"`{out}` binary")
 
 
 def round_trip(docs: DataFrame, ranks: str, pattern: str, key: str = "doc_id", text: str = "text",

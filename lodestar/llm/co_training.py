@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import byte_slices, fold, is_space, mix64, text_buffers, word_hashes, word_spans
+from lodestar.llm.common import byte_slices, fold, frugal, is_space, mix64, text_buffers, word_hashes, word_spans
 from lodestar.llm.linear import Sparse, calibrate, fit_logistic, sigmoid
 
 METADATA = ("lang", "source", "n_chars")
@@ -211,7 +211,7 @@ def quality(docs: DataFrame, labels: DataFrame, label: str = "quality", metadata
         some = sampled(known, label_rows, n_known)
         train = rows.join(some, "key")
         pool = sampled(rows.join(known, "key", "left_anti"), pool_rows, rows.count()).withColumn("label", F.lit(-1))
-        got = train.unionByName(pool).repartition(1).mapInArrow(fit, "model binary").collect()  # one vector of fixed length
+        got = train.unionByName(pool).repartition(1).mapInArrow(frugal(fit), "model binary").collect()  # one vector of fixed length
         model = np.frombuffer(got[0].model) if got else None
     if model is None:
         share = (ones + 0.5) / (n_known + 1)
@@ -232,6 +232,6 @@ def quality(docs: DataFrame, labels: DataFrame, label: str = "quality", metadata
                     names=["key", "text_score", "page_score", "score"])
 
     kind = rows.schema["key"].dataType.simpleString()
-    scored = rows.mapInArrow(score, f"key {kind}, text_score double, page_score double, score double")
+    scored = rows.mapInArrow(frugal(score), f"key {kind}, text_score double, page_score double, score double")
     return scored.select(F.col("key").alias(key), (fold(F.col("key"), folds) == held).alias("held_out"),
                          "text_score", "page_score", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -50,10 +52,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def flat(column: pa.ChunkedArray | pa.Array) -> pa.Array:
-    """One array with offset 0 (concat copies a slice so its buffers start at 0)."""
-    chunks = column.chunks if isinstance(column, pa.ChunkedArray) else [column]
-    return pa.concat_arrays(chunks) if chunks else pa.array([], column.type)
+@functools.cache
+def _trim() -> Callable[[int], int]:
+    try:
+        return ctypes.CDLL("libc.so.6").malloc_trim
+    except (OSError, AttributeError):
+        return lambda _: 0
+
+
+def frugal(f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``f`` for mapInArrow; its freed memory goes back to the system at the
+    end of each task, as Python workers stay for the tasks of later stages."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from f(batches)
+        pa.default_memory_pool().release_unused()
+        _trim()(0)
+
+    return run
 
 
 def text_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

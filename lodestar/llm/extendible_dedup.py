@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import byte_slices, shuffle_partitions, written
+from lodestar.llm.common import byte_slices, frugal, shuffle_partitions, written
 
 #: Entries a bucket holds before it splits.
 BUCKET_ENTRIES = 1024
@@ -159,11 +159,11 @@ def text_index(docs: DataFrame, key: str = "doc_id", text: str | Column = "text"
     col = F.col(text) if isinstance(text, str) else text
     rows = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(col, F.lit("")).alias("text"))
     folded = (rows.withColumn("hash", F.xxhash64("text"))
-              .mapInArrow(fold_copies, "hash long, text string, key long, n long, top long"))
+              .mapInArrow(frugal(fold_copies), "hash long, text string, key long, n long, top long"))
     high = F.shiftrightunsigned("hash", 40)  # 24 bits: equal ranges of the unsigned hash
     owned = (folded.withColumn("owner", F.shiftright(high * F.lit(n), 24).cast("int"))
              .repartitionById(n, "owner").sortWithinPartitions("hash"))
-    return written(owned.mapInArrow(own_range(bucket_entries), INDEX), "text-index")
+    return written(owned.mapInArrow(frugal(own_range(bucket_entries)), INDEX), "text-index")
 
 
 def exact_groups(docs: DataFrame, key: str = "doc_id", text: str | Column = "text",

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import byte_slices, fold, mix64, shuffle_partitions
+from lodestar.llm.common import byte_slices, fold, frugal, mix64, shuffle_partitions
 from lodestar.llm.linear import Sparse, calibrate, fit_logistic, sigmoid
 
 ORDERS = (4, 5, 6)
@@ -117,8 +117,8 @@ def class_counts(training: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([own.tobytes()], pa.binary())], names=["block", "sums"])
 
     parts = min(shuffle_partitions(training.sparkSession), width // BLOCK)
-    summed = (training.mapInArrow(count, "block int, sums binary").repartitionById(parts, F.col("block"))
-              .mapInArrow(add, "block int, sums binary"))
+    summed = (training.mapInArrow(frugal(count), "block int, sums binary").repartitionById(parts, F.col("block"))
+              .mapInArrow(frugal(add), "block int, sums binary"))
     out = np.zeros((2, width))
     for r in summed.toLocalIterator():  # 16 bytes a feature in all
         out[:, r.block * BLOCK:(r.block + 1) * BLOCK] = np.frombuffer(r.sums, np.int64).reshape(2, -1)
@@ -186,7 +186,7 @@ def train(training: DataFrame, bits: int = BITS, fit_rows: int = FIT_ROWS) -> tu
     order = F.pmod(F.xxhash64(F.lit(17), "key"), F.lit(buckets))
     sample = (training.withColumn("order", order).filter(F.col("order") < int(buckets * min(1.0, fit_rows / n)))
               .limit(2 * fit_rows).select("order", "label", "text").repartition(1))
-    model = sample.mapInArrow(fit_task, "model binary").collect()
+    model = sample.mapInArrow(frugal(fit_task), "model binary").collect()
     if not model:
         return np.zeros(1 << bits), float(np.log((ones + 0.05) / (n - ones + 0.95)))
     packed = np.frombuffer(model[0].model, np.float32)
@@ -208,7 +208,7 @@ def score(docs: DataFrame, weights: np.ndarray, bias: float, key: str = "doc_id"
                      for f in features(part.column("text").to_pylist(), bits, wanted)]
                 yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(sigmoid(np.array(m)))], names=["key", "score"])
 
-    return rows.mapInArrow(scored, f"key {rows.schema['key'].dataType.simpleString()}, score double").withColumnRenamed("key", key)
+    return rows.mapInArrow(frugal(scored), f"key {rows.schema['key'].dataType.simpleString()}, score double").withColumnRenamed("key", key)
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, chosen: Column, key: str = "doc_id",
@@ -241,7 +241,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, chosen: Column
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).filter(
         chosen & F.col("key").isNotNull())
     kind = rows.schema["key"].dataType.simpleString()
-    some = rows.withColumn("place", place).mapInArrow(maybe, f"key {kind}, text string")
+    some = rows.withColumn("place", place).mapInArrow(frugal(maybe), f"key {kind}, text string")
     return some.join(known, "key")
 
 
@@ -271,4 +271,4 @@ def clean_rows(docs: DataFrame, labels: DataFrame, label: str = "toxic", thresho
                 m = [float(weights[f].sum(dtype=np.float64)) + bias for f in features(texts, bits, wanted)]
                 yield part.filter(pa.array(sigmoid(np.array(m)) < threshold))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(frugal(keep), docs.schema)

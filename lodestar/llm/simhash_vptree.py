@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import byte_slices, shuffle_partitions, written
+from lodestar.llm.common import byte_slices, frugal, shuffle_partitions, written
 from lodestar.llm.components import components
 
 SEED = 42
@@ -79,7 +79,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, key: str = "doc_id", text: s
                 yield pa.RecordBatch.from_arrays([*map(part.column, names), pa.array(fp, pa.int64())], names=[*names, "fp"])
 
     kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in names)
-    return rows.mapInArrow(hashed, f"{kinds}, fp long").withColumnRenamed("key", key)
+    return rows.mapInArrow(frugal(hashed), f"{kinds}, fp long").withColumnRenamed("key", key)
 
 
 def distances(fps: np.ndarray, v: np.uint64) -> np.ndarray:
@@ -290,9 +290,9 @@ def links(points: DataFrame, max_bits: int = 2, sample: int = SAMPLE) -> DataFra
         if held and (out := shard_links(*map(np.concatenate, zip(*held, strict=True)))):
             yield out
 
-    dealt = (points.select("fp").mapInArrow(route, "task int, shard int, fp long, stays boolean")
+    dealt = (points.select("fp").mapInArrow(frugal(route), "task int, shard int, fp long, stays boolean")
              .repartitionById(tasks, "task").sortWithinPartitions("shard", "stays", "fp"))
-    return dealt.mapInArrow(search, "a long, b long")
+    return dealt.mapInArrow(frugal(search), "a long, b long")
 
 
 def classes(rows: DataFrame, max_bits: int, key: str) -> DataFrame:

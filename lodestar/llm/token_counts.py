@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import byte_slices, is_space, text_buffers
+from lodestar.llm.common import byte_slices, frugal, is_space, text_buffers
 
 PART_BYTES = 16 << 20
 CALL_BYTES = 1 << 20
@@ -121,5 +121,5 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 512, key: str = "
                     names=["key", "n_bytes", "n_tokens", "over_limit"])
 
     kind = rows.schema["key"].dataType.simpleString()
-    return (rows.mapInArrow(count, f"key {kind}, n_bytes long, n_tokens long, over_limit boolean")
+    return (rows.mapInArrow(frugal(count), f"key {kind}, n_bytes long, n_tokens long, over_limit boolean")
             .withColumnRenamed("key", key))
