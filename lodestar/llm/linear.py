@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 
@@ -45,6 +45,10 @@ def minimise(f: Callable, x: np.ndarray, rounds: int = 60, memory: int = 8) -> n
     return x
 
 
+#: Entries of a sparse matrix that are multiplied at a time.
+ENTRIES = 1 << 21
+
+
 class Sparse:
     """Rows of (feature index, value) in one flat layout."""
 
@@ -53,14 +57,30 @@ class Sparse:
         self.idx = np.concatenate(rows) if rows else np.zeros(0, np.int64)
         self.val = values
 
+    def blocks(self) -> Iterator[tuple[int, int]]:
+        """Ranges of rows with about ``ENTRIES`` entries."""
+        a, n = 0, len(self.ptr) - 1
+        while a < n:
+            b = max(a + 1, int(np.searchsorted(self.ptr, self.ptr[a] + ENTRIES, "right")) - 1)
+            yield a, b
+            a = b
+
     def dot(self, w: np.ndarray) -> np.ndarray:
-        x = w[self.idx] if self.val is None else w[self.idx] * self.val
-        sums = np.concatenate([[0.0], np.cumsum(x, dtype=np.float64)])
-        return sums[self.ptr[1:]] - sums[self.ptr[:-1]]
+        out = np.zeros(len(self.ptr) - 1)
+        for a, b in self.blocks():
+            i, j = self.ptr[a], self.ptr[b]
+            x = w[self.idx[i:j]] if self.val is None else w[self.idx[i:j]] * self.val[i:j]
+            sums = np.concatenate([[0.0], np.cumsum(x, dtype=np.float64)])
+            out[a:b] = sums[self.ptr[a + 1:b + 1] - i] - sums[self.ptr[a:b] - i]
+        return out
 
     def back(self, g: np.ndarray, width: int) -> np.ndarray:
-        each = np.repeat(g, np.diff(self.ptr))
-        return np.bincount(self.idx, each if self.val is None else each * self.val, width)
+        out = np.zeros(width)
+        for a, b in self.blocks():
+            i, j = self.ptr[a], self.ptr[b]
+            each = np.repeat(g[a:b], np.diff(self.ptr[a:b + 1]))
+            out += np.bincount(self.idx[i:j], each if self.val is None else each * self.val[i:j], width)
+        return out
 
 
 def fit_logistic(rows: Sparse, y: np.ndarray, width: int, l2: float, scale: np.ndarray | None = None,

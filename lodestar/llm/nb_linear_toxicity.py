@@ -5,8 +5,8 @@ Features: whether a hashed character n-gram (orders ``ORDERS``, A-Z and other
 letters lower-cased as Python does) occurs in the whole text. Their document
 counts by class come from all labelled training rows, summed per task before
 the shuffle; the log-count ratio of the smoothed shares scales each feature,
-and only the ``KEPT`` features whose ratios are the most standard errors, at
-least ``MIN_Z``, from zero stay: the model has the same size on any corpus. The linear weights are a logistic regression on scaled features,
+and features whose ratio is less than ``MIN_Z`` standard errors from zero are
+left out. The linear weights are a logistic regression on scaled features,
 fitted in one task on a sample of about ``fit_rows`` training rows (those of
 the smallest id hash; 2 * fit_rows at most): the one bounded part. Its margins
 are calibrated on folds of that sample whose own counts are taken out of the
@@ -35,10 +35,9 @@ from lodestar.llm.linear import Sparse, calibrate, fit_logistic, sigmoid
 
 ORDERS = (4, 5, 6)
 BITS = 20
-FIT_ROWS = 8192
+FIT_ROWS = 16_384
 SMOOTHING = 1.0
 MIN_Z = 3.0
-KEPT = 8192
 L2 = 3e-4
 FOLDS = 3
 PART_BYTES = 1 << 18
@@ -81,12 +80,6 @@ def ratios(pos: np.ndarray, neg: np.ndarray, n_pos: float, n_neg: float) -> tupl
     return r, np.abs(r) / np.sqrt(1 / p + 1 / q)
 
 
-def strongest(z: np.ndarray, least: float, most: int) -> np.ndarray:
-    """Numbers of the features with the ``most`` largest z of ``least`` or more."""
-    found = np.flatnonzero(z >= least)
-    return np.sort(found[np.argsort(-z[found], kind="stable")[:most]])
-
-
 def class_counts(training: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Documents per feature in class 1 and class 0, over all training rows.
     A task sends its sums in blocks, high bytes apart (they are nearly all zero)."""
@@ -133,8 +126,8 @@ def fit(rows: list[np.ndarray], y: np.ndarray, pos: np.ndarray, neg: np.ndarray,
 
     def learn(own: np.ndarray, counts: tuple) -> tuple[np.ndarray, float]:
         r, z = ratios(*counts)
-        keep = strongest(z, MIN_Z, KEPT)
-        new = np.full(width, -1)
+        keep = np.flatnonzero(z >= MIN_Z)
+        new = np.full(width, -1, np.int32)
         new[keep] = np.arange(len(keep))
         short = [f[f >= 0] for f in (new[rows[i]] for i in own)]
         w = np.zeros(width)
@@ -164,7 +157,7 @@ def train(training: DataFrame, bits: int = BITS, fit_rows: int = FIT_ROWS) -> tu
         return np.zeros(1 << bits), float(np.log(((ones or 0) + 0.05) / (n - (ones or 0) + 0.95)))
     pos, neg = class_counts(training, bits)
     # what a fold may still find significant once its own counts are out
-    chosen = strongest(ratios(pos, neg, ones, n - ones)[1], MIN_Z / 2, 2 * KEPT)
+    chosen = np.flatnonzero(ratios(pos, neg, ones, n - ones)[1] >= MIN_Z / 2)
     wanted = np.zeros(1 << bits, bool)
     wanted[chosen] = True
     pos, neg = pos[chosen], neg[chosen]

@@ -71,3 +71,19 @@ def test_without_both_classes(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert [r.predicted for r in T.toxicity(d, none).collect()] == [0, 0]
     assert T.toxicity(d.filter("false"), none).count() == 0
+
+
+def test_every_significant_feature_has_a_weight(spark):
+    """A thousand toxic words, each in a few documents: no cap leaves any out."""
+    rng = random.Random(3)
+    words = ["".join(rng.choice("bcdfghjklmnpqrstvwxyz") for _ in range(9)) for _ in range(1000)]
+    toxic = words * 12
+    rng.shuffle(toxic)
+    rows = [(i, " ".join(toxic[30 * i:30 * i + 30]), 1) for i in range(400)]
+    rows += [(i, " ".join(rng.choice(["aea", "eoo", "uia", "oue"]) for _ in range(20)), 0) for i in range(400, 2800)]
+    training = spark.createDataFrame(rows, "key long, text string, label int").persist()
+    z = T.ratios(*T.class_counts(training, T.BITS), 400, 2400)[1]
+    weights, _ = T.train(training)
+    assert (weights != 0).sum() == (z >= T.MIN_Z).sum() > 16_384
+    held = T.features([f" {w} " for w in words], T.BITS)
+    assert min(weights[f].sum() for f in held) > 0
