@@ -102,9 +102,11 @@ def fit_logistic(rows: Sparse, y: np.ndarray, width: int, l2: float, scale: np.n
     return x[:-1] * scale, float(x[-1])
 
 
-def calibrate(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+def calibrate(margins: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> tuple[float, float]:
     """(a, b) of sigmoid(a * margin + b), with smoothed targets (Platt)."""
     pos, neg = y.sum(), len(y) - y.sum()
+    weight = np.ones(len(y)) if weight is None else weight
+    n = weight.sum()
     if not pos or not neg:
         return 1.0, 0.0
     target = np.where(y > 0, (pos + 1) / (pos + 2), 1 / (neg + 2))
@@ -112,7 +114,9 @@ def calibrate(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     def loss(x: np.ndarray) -> tuple[float, np.ndarray]:
         m = x[0] * margins + x[1]
         err = sigmoid(m) - target
-        return float((np.logaddexp(0.0, m) - target * m).mean()), np.array([(err * margins).mean(), err.mean()])
+        err = weight * err
+        return (float((weight * (np.logaddexp(0.0, m) - target * m)).sum() / n),
+                np.array([(err * margins).sum() / n, err.sum() / n]))
 
     a, b = minimise(loss, np.array([1.0, 0.0]), 100)
     return (float(a), float(b)) if a > 0 else (1.0, 0.0)

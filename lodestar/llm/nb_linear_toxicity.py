@@ -7,10 +7,13 @@ counts by class come from all labelled training rows, summed per task before
 the shuffle; the log-count ratio of the smoothed shares scales each feature,
 and features whose ratio is less than ``MIN_Z`` standard errors from zero are
 left out. The linear weights are a logistic regression on scaled features,
-fitted in one task on a sample of about ``fit_rows`` training rows (those of
-the smallest id hash; 2 * fit_rows at most): the one bounded part. Its margins
-are calibrated on folds of that sample whose own counts are taken out of the
-ratios. A bitmap of 2**FILTER_BITS bits, of the labelled ids' hashes, keeps most
+fitted in one task on a sample of about ``fit_rows`` training rows of each class
+(those of the smallest hash of id and text; equal rows are drawn as one, with
+their number as weight, at most their share): the one bounded part. Rows are
+weighted by the size of their class. Margins are calibrated on folds of that
+sample whose own counts are taken out of the ratios; if a fold leaves no row of
+a class (fewer than two in all), the ratios themselves are the weights.
+A bitmap of 2**FILTER_BITS bits, of the labelled ids' hashes, keeps most
 unlabelled texts out of the join with the labels. Scoring reads every text with a model of 2**bits weights, whatever the
 corpus.
 
@@ -119,9 +122,10 @@ def class_counts(training: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray
 
 
 def fit(rows: list[np.ndarray], y: np.ndarray, pos: np.ndarray, neg: np.ndarray, n_pos: int, n_neg: int,
-        ) -> tuple[np.ndarray, float]:
+        copies: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
     """Weights per feature and bias, calibrated. The counts are of all training
-    rows, the rows a sample of them."""
+    rows, the rows a sample of them, in which a row stands for ``copies`` equal
+    ones and counts by ``weight``."""
     width = len(pos)
 
     def learn(own: np.ndarray, counts: tuple) -> tuple[np.ndarray, float]:
@@ -131,21 +135,28 @@ def fit(rows: list[np.ndarray], y: np.ndarray, pos: np.ndarray, neg: np.ndarray,
         new[keep] = np.arange(len(keep))
         short = [f[f >= 0] for f in (new[rows[i]] for i in own)]
         w = np.zeros(width)
-        w[keep], b = fit_logistic(Sparse(short), y[own], len(keep), L2, r[keep])
+        w[keep], b = fit_logistic(Sparse(short), y[own], len(keep), L2, r[keep], weight[own])
         return w, b
 
-    order = np.arange(len(y)) % FOLDS
+    order = np.zeros(len(y), np.int64)  # each class is dealt over all folds
+    for label in (0, 1):
+        order[y == label] = np.arange((y == label).sum()) % FOLDS
     margins = np.zeros(len(y))
+    if min(y.sum(), len(y) - y.sum()) < 2:  # a fold would lack a class
+        r, z = ratios(pos, neg, n_pos, n_neg)
+        w = np.where(z >= MIN_Z, r, 0.0)
+        margins = Sparse(rows).dot(w)
+        most = max(1.0, np.abs(margins).max(initial=0.0))
+        a, c = calibrate(margins / most, y, weight)
+        return a / most * w, c
     for k in range(FOLDS):
         out, own = order == k, np.flatnonzero(order != k)
-        if not 0 < y[own].sum() < len(own):
-            return np.zeros(width), float(np.log(n_pos / n_neg))
         held = Sparse([rows[i] for i in np.flatnonzero(out)])
-        ones = y[out].sum()
-        w, b = learn(own, (pos - held.back(y[out], width), neg - held.back(1 - y[out], width),
-                           n_pos - ones, n_neg - (out.sum() - ones)))
+        n, ones = copies[out], y[out] * copies[out]
+        w, b = learn(own, (pos - held.back(ones, width), neg - held.back(n - ones, width),
+                           n_pos - ones.sum(), n_neg - (n - ones).sum()))
         margins[out] = held.dot(w) + b
-    a, c = calibrate(margins, y)
+    a, c = calibrate(margins, y, weight)
     w, b = learn(np.arange(len(y)), (pos, neg, n_pos, n_neg))
     return a * w, a * b + c
 
@@ -163,22 +174,29 @@ def train(training: DataFrame, bits: int = BITS, fit_rows: int = FIT_ROWS) -> tu
     pos, neg = pos[chosen], neg[chosen]
 
     def fit_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, labels, rows = [], [], []
+        keys, labels, copies, rows = [], [], [], []
         new = np.cumsum(wanted, dtype=np.int32) - 1
         for batch in batches:
             for part in byte_slices(batch, "text", PART_BYTES):
                 keys += part.column("order").to_pylist()
                 labels += part.column("label").to_pylist()
+                copies += part.column("copies").to_pylist()
                 rows += [new[f] for f in features(part.column("text").to_pylist(), bits, wanted)]
         by = sorted(range(len(keys)), key=lambda i: (keys[i], labels[i], len(rows[i])))
         if by:
-            w, b = fit([rows[i] for i in by], np.array(labels, np.float64)[by], pos, neg, ones, n - ones)
+            y, n_same = np.array(labels, np.float64)[by], np.array(copies, np.float64)[by]
+            weight = np.maximum(1.0, n_same * np.where(y > 0, shares[1], shares[0]))
+            for label, size in ((0, n - ones), (1, ones)):
+                weight[y == label] *= size / n / max(1.0, weight[y == label].sum())
+            w, b = fit([rows[i] for i in by], y, pos, neg, ones, n - ones, n_same, weight * len(y))
             yield pa.RecordBatch.from_arrays([pa.array([np.append(w, b).astype(np.float32).tobytes()], pa.binary())], names=["model"])
 
     buckets = 1 << 30
-    order = F.pmod(F.xxhash64(F.lit(17), "key"), F.lit(buckets))
-    sample = (training.withColumn("order", order).filter(F.col("order") < int(buckets * min(1.0, fit_rows / n)))
-              .limit(2 * fit_rows).select("order", "label", "text").repartition(1))
+    shares = [min(1.0, fit_rows / size) for size in (n - ones, ones)]
+    order = F.xxhash64(F.lit(17), "key", "text")
+    bound = F.when(F.col("label") == 1, F.lit(int(buckets * shares[1]))).otherwise(F.lit(int(buckets * shares[0])))
+    sample = (training.withColumn("order", order).filter(F.pmod("order", F.lit(buckets)) < bound)
+              .groupBy("order", "label").agg(F.count("*").alias("copies"), F.first("text").alias("text")).repartition(1))
     model = sample.mapInArrow(frugal(fit_task), "model binary").collect()
     if not model:
         return np.zeros(1 << bits), float(np.log((ones + 0.05) / (n - ones + 0.95)))

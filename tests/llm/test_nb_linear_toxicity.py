@@ -87,3 +87,30 @@ def test_every_significant_feature_has_a_weight(spark):
     assert (weights != 0).sum() == (z >= T.MIN_Z).sum() > 16_384
     held = T.features([f" {w} " for w in words], T.BITS)
     assert min(weights[f].sum() for f in held) > 0
+
+
+def rare(spark, positives):
+    """5000 clean rows and few toxic ones, all of which say one word."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choice(["aea", "eoo", "uia", "oue"]) for _ in range(20)), 0) for i in range(5000)]
+    rows += [(6000 + i, f"aea zorkish eoo {i}", 1) for i in range(positives)]
+    return spark.createDataFrame(rows, "key long, text string, label int")
+
+
+def test_rare_labels_are_in_the_fit(spark):
+    texts = spark.createDataFrame([(1, "uia zorkish oue"), (2, "uia aea oue eoo")], "doc_id long, text string")
+    for positives, least in ((4, T.THRESHOLD), (1, 0.1)):  # one alone: the ratios are the weights
+        model = T.train(rare(spark, positives), fit_rows=50)
+        by = {r.doc_id: r.score for r in T.score(texts, *model).collect()}
+        assert by[1] > least > 2 * by[2], (positives, by)
+
+
+def test_a_hot_id_does_not_fill_the_sample(spark):
+    """A third of the rows have one id, with one text or many."""
+    docs, labels = make(1500, 6)
+    for hot in ([(7, "aea eoo", 0)] * 700, [(7, f"aea eoo {i}", 0) for i in range(700)]):
+        rows = [(i, t, y) for (i, t, _), (_, y) in zip(docs, labels, strict=True)] + hot
+        training = spark.createDataFrame(rows, "key long, text string, label int")
+        model = T.train(training, fit_rows=300)
+        got = T.score(spark.createDataFrame(docs, "doc_id long, text string, s string"), *model).collect()
+        assert np.mean([(r.score >= T.THRESHOLD) == dict(labels)[r.doc_id] for r in got]) > .95
