@@ -86,9 +86,9 @@ def text_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offsets - offsets[0], data[offsets[0]:offsets[-1]]
 
 
-def byte_slices(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.RecordBatch]:
+def byte_slices(batch: pa.RecordBatch, column: str, limit: int, rows: int = 1 << 15) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that each part has about ``limit`` bytes of text (a
-    longer single text is a part of its own)."""
+    longer single text is a part of its own) and at most ``rows`` rows."""
     n = batch.num_rows
     if not n:
         return
@@ -96,7 +96,7 @@ def byte_slices(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.R
     start = 0
     while start < n:
         stop = int(np.searchsorted(offsets, offsets[start] + limit, "right")) - 1
-        stop = min(max(stop, start + 1), n)
+        stop = min(max(stop, start + 1), start + rows, n)
         yield batch.slice(start, stop - start)
         start = stop
 
