@@ -12,10 +12,11 @@ is full and no token is padding but those after the last one; with
 ``powers``, the tokens left at the end are sequences of descending powers of
 two, and there is no padding at all.
 
-Encoding asks the tokenizer for each distinct word of a task once: its rules
-drop white space, so a text's ids are those of its words in turn. For a
-tokenizer that may join over white space whole texts are encoded. Words are
-sent in one string, with a token between them that no word of the call holds.
+Encoding asks the tokenizer for each distinct piece of a task once. Its rules
+drop white space, so a text's ids are those of its words in turn; a word of
+plain Latin letters, digits and ASCII marks is cut further into the pieces
+that the rules cut it into, each a single call of the tokenizer's model. Other
+words are encoded whole, and for a tokenizer with other rules whole texts.
 
 Null and empty texts are the closing id alone. Long texts are encoded in
 pieces of about ``PART_BYTES`` that end before a word; one unbroken run of
@@ -29,7 +30,10 @@ from __future__ import annotations
 
 import json
 import os
-from collections.abc import Callable, Iterator
+import re
+from array import array
+from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -47,120 +51,154 @@ LEVELS = 11
 SPREAD = 4.0
 HASHED = 1 << 12
 PART_BYTES = 8 << 20
-CALL_WORDS = 1 << 11
-#: Words remembered between parts of a task (a bound on memory, not on work).
+#: Pieces remembered between parts of a task (a bound on memory, not on work).
 MEMORY = 400_000
 #: Places sampled per range.
 SAMPLED = 64
 
+#: The rules under which words are encoded on their own: the tokenizer file's
+#: pattern and normalizers. Fixed values, of the public vocabulary file.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+#: A normal piece that the pattern matches as a whole (U+00DF to U+00FF but for
+#: the division sign are letters; an apostrophe may begin a match of its own,
+#: and "<" an added token).
+SIMPLE = re.compile(r"[a-z\u00DF-\u00F6\u00F8-\u00FF]+|[0-9]|[!-&(-/:;=-@\[-`{-~]+")
+SPACE, LETTER, DIGIT, MARK, OTHER = range(5)
+
+
+def byte_classes() -> np.ndarray:
+    kind = np.full(256, OTHER, np.uint8)
+    kind[33:127] = MARK
+    kind[48:58] = DIGIT
+    kind[[*range(65, 91), *range(97, 123)]] = LETTER
+    kind[[ord("'"), ord("<")]] = OTHER
+    kind[[32, *range(9, 14)]] = SPACE
+    return kind
+
+
+CLASSES = byte_classes()
+
 
 def drops_space(spec: dict) -> bool:
-    """Whether a tokenizer file's rules encode words between ASCII white space
-    on their own."""
-    pre = spec.get("pre_tokenizer") or {}
-    first = (pre.get("pretokenizers") or [{}])[0]
-    pattern = first.get("pattern", {}).get("Regex", "")
-    normal = spec.get("normalizer") or {}
-    steps = [n["type"] for n in normal.get("normalizers", [normal] if normal else [])]
-    spaces = [n.get("pattern") == {"Regex": r"\s+"} and n.get("content") == " "
-              for n in normal.get("normalizers", []) if n["type"] == "Replace"]
-    return (first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert") is True
-            and r"[^\s\p{L}\p{N}]+" in pattern and r"\p{L}]+" in pattern and " " not in pattern
-            and set(steps) <= {"NFC", "Lowercase", "Replace"} and all(spaces)
-            and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or any(map(str.isspace, t["content"]))
-                        for t in spec.get("added_tokens", [])))
+    """Whether a tokenizer file has those rules."""
+    steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    return (len(steps) == 2 and steps[0].get("pattern") == {"Regex": PATTERN} and steps[0].get("behavior") == "Removed"
+            and steps[0].get("invert") is True and steps[1].get("type") == "ByteLevel"
+            and not steps[1].get("add_prefix_space") and steps[1].get("use_regex") is False
+            and (spec.get("normalizer") or {}).get("normalizers") == NORMALIZERS
+            and all(t["content"][0] == "<" and not (t["lstrip"] or t["rstrip"] or t["single_word"])
+                    for t in spec.get("added_tokens", [])))
 
 
 class Encoder:
-    """Token ids of texts by a tokenizer file, each word asked for once."""
+    """Token ids of texts by a tokenizer file, each piece asked for once."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         with open(path, encoding="utf-8") as f:
             self.by_word = drops_space(json.load(f))
-        self.separator, self.separator_id = "", -1
-        for c in "§¤‡†~^":  # one that is a word of one token
-            ids = self.plain(c)
-            if len(ids) == 1:
-                self.separator, self.separator_id = c, ids[0]
-                break
-        self.known: dict[bytes, np.ndarray] = {}
+        self.level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.known: dict[bytes, bytes] = {}
 
     def plain(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def ask(self, words: list[bytes]) -> list[np.ndarray]:
-        """Ids of each word."""
-        texts = [w.decode("utf-8", "replace") for w in words]
-        mark, ids = self.separator, []
-        clear = [i for i, t in enumerate(texts) if mark and mark not in t]
-        out: list[np.ndarray | None] = [None] * len(words)
-        for at in range(0, len(clear), CALL_WORDS):
-            own = clear[at:at + CALL_WORDS]
-            ids = np.array(self.plain(f" {mark} ".join([texts[i] for i in own])), np.uint32)
-            cuts = np.flatnonzero(ids == self.separator_id)
-            if len(cuts) != len(own) - 1:  # a word holds the separator's token in another guise
-                continue
-            for i, a, b in zip(own, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)], strict=True):
-                out[i] = ids[a:b]
-        return [np.array(self.plain(t), np.uint32) if o is None else o for o, t in zip(out, texts, strict=True)]
+    def ask(self, piece: bytes) -> bytes:
+        """Ids of a piece, packed as unsigned 32-bit numbers."""
+        text = piece.decode("utf-8", "replace")
+        if not self.by_word or SIMPLE.fullmatch(text) is None:
+            return array("I", self.plain(text)).tobytes()
+        if not text.isascii():
+            text = self.level.pre_tokenize_str(text)[0][0]  # the model's letters for the bytes
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(text)]).tobytes()
+
+    def pieces(self, offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(bytes without white space, starts of the pieces in them, index of
+        each text's first piece and of the end)."""
+        kind = CLASSES[data]
+        lead = np.flatnonzero(data[:-1] == 0xC3)
+        second = data[lead + 1]
+        lead = lead[(second != 0x97) & (second != 0xB7)]  # the signs of multiplication and division are no letters
+        kind[lead] = kind[lead + 1] = LETTER
+        inside = kind != SPACE
+        opens = np.empty(len(data), bool)  # words, then pieces
+        opens[:1] = True
+        opens[1:] = ~inside[:-1]
+        at = offsets[:-1][offsets[:-1] < len(data)]
+        opens[at] = True
+        opens &= inside
+        first = np.flatnonzero(opens)
+        word = np.cumsum(opens) - 1
+        hard = np.zeros(len(first), bool)
+        hard[word[kind == OTHER]] = True
+        easy = inside & ~hard[word] if len(first) else inside
+        low = data.copy()
+        low[easy & (data >= 65) & (data <= 90)] += 32
+        capital = lead[easy[lead] & (data[lead + 1] <= 0x9E)] + 1
+        low[capital] += 32
+        turn = easy & (kind == DIGIT)
+        turn[1:] |= easy[1:] & (kind[1:] != kind[:-1])
+        opens |= turn
+        kept = np.concatenate([[0], np.cumsum(inside)])
+        starts = kept[np.flatnonzero(opens)]
+        return low[inside], starts, np.searchsorted(starts, kept[offsets])
 
     def part(self, offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of consecutive texts, one after another, and each text's end."""
-        starts = np.unique(offsets)
         if self.by_word and len(data):
-            space = is_space(data)
-            new = ~space
-            new[1:] &= space[:-1]
-            starts = np.union1d(offsets, np.flatnonzero(new))
-        pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts) - 1,
-                                                  [None, pa.py_buffer(starts), pa.py_buffer(data)])
-        coded = pieces.dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        new_words = [w for w in words if w not in self.known]
-        found = dict(zip(new_words, self.ask(new_words), strict=True))
-        each = [found[w] if w in found else self.known[w] for w in words]
-        if len(self.known) + len(new_words) > MEMORY:
+            data, starts, texts = self.pieces(offsets, data)
+        else:
+            starts = np.unique(offsets)[:-1]
+            texts = np.searchsorted(starts, offsets)
+        cells = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [
+            None, pa.py_buffer(np.append(starts, len(data)).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
+        coded = cells.dictionary_encode()
+        each, fresh = [], {}
+        for piece in coded.dictionary.to_pylist():
+            ids = self.known.get(piece)
+            if ids is None:
+                ids = fresh[piece] = self.ask(piece)
+            each.append(ids)
+        if len(self.known) + len(fresh) > MEMORY:
             self.known.clear()
-        self.known.update((w, found[w]) for w in new_words[:MEMORY] if len(w) <= 64)
-        sizes = np.fromiter(map(len, each), np.int64, len(each))
-        flat, first = (np.concatenate(each) if each else np.zeros(0, np.uint32)), np.cumsum(sizes) - sizes
+        self.known.update((w, ids) for w, ids in islice(fresh.items(), MEMORY) if len(w) <= 64)
+        sizes = np.fromiter(map(len, each), np.int64, len(each)) >> 2
+        flat, first = np.frombuffer(b"".join(each), np.uint32), np.cumsum(sizes) - sizes
         code = coded.indices.to_numpy()
-        ends = np.cumsum(sizes[code])
-        ids = flat[np.repeat(first[code] - (ends - sizes[code]), sizes[code]) + np.arange(ends[-1] if len(ends) else 0)]
-        upto = np.concatenate([[0], ends])[np.searchsorted(starts, offsets[1:])]
-        return ids, upto
+        ends = np.concatenate([[0], np.cumsum(sizes[code])])
+        ids = flat[np.repeat(first[code] - ends[:-1], sizes[code]) + np.arange(ends[-1])]
+        return ids, ends[texts[1:]]
 
     def texts(self, offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """As ``part``; a long text in pieces that end before a word."""
+        """As ``part``; a long text in parts that end before white space."""
         if len(offsets) != 2 or not self.by_word or len(data) <= 2 * PART_BYTES:
             return self.part(offsets, data)
         out, at = [], 0
         while at < len(data):
-            stop = at + PART_BYTES
+            stop = min(at + PART_BYTES, len(data))
             while stop < len(data):
-                near = data[stop:stop + PART_BYTES]
-                space = np.flatnonzero(is_space(near))
+                space = np.flatnonzero(is_space(data[stop:stop + PART_BYTES]))
                 if len(space):
                     stop += int(space[0])
                     break
-                stop += len(near)
-            stop = min(stop, len(data))
+                stop = min(stop + PART_BYTES, len(data))
             out.append(self.part(np.array([0, stop - at]), data[at:stop])[0])
             at = stop
         ids = np.concatenate(out)
         return ids, np.array([len(ids)])
 
 
-def directions(seed: int) -> np.ndarray:
-    """A fixed pseudo-random vector in [-1, 1] for each hashed token."""
-    x = mix64(np.arange(HASHED * DIMENSIONS, dtype=np.uint64) + np.uint64(seed) * np.uint64(0x9E3779B97F4A7C15))
-    return (x.astype(np.float64) / 2.0**63 - 1.0).reshape(HASHED, DIMENSIONS)
+def directions(seed: int, vocabulary: int) -> np.ndarray:
+    """For each token, the fixed pseudo-random vector in [-1, 1] of its hash."""
+    x = mix64(np.arange(HASHED * DIMENSIONS, dtype=np.uint64) + np.uint64(seed << 32))
+    vectors = (x.astype(np.float64) / 2.0**63 - 1.0).reshape(HASHED, DIMENSIONS)
+    return vectors[(mix64(np.arange(vocabulary, dtype=np.uint64)) & np.uint64(HASHED - 1)).astype(np.int64)]
 
 
 def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -190,11 +228,10 @@ def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
 
 def curve_keys(ids: np.ndarray, ends: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Hilbert key of each document, from its ids (documents end at ``ends``)."""
-    hashed = (mix64(ids.astype(np.uint64)) & np.uint64(HASHED - 1)).astype(np.int64)
     counts = np.diff(ends, prepend=0)
     x = np.zeros((len(ends), DIMENSIONS))
     for d in range(DIMENSIONS):
-        sums = np.concatenate([[0.0], np.cumsum(table[hashed, d])])
+        sums = np.concatenate([[0.0], np.cumsum(table[ids, d])])
         x[:, d] = (sums[ends] - sums[ends - counts]) / np.maximum(counts, 1)
     side = 1 << LEVELS
     cells = np.clip(np.floor((x * SPREAD + 1.0) * (side / 2)), 0, side - 1).astype(np.int64)
@@ -207,7 +244,8 @@ def encoded(docs: DataFrame, tokenizer: str, key: str, text: str, closing: int,
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, table = Encoder(tokenizer), directions(seed)
+        encoder = Encoder(tokenizer)
+        table = directions(seed, encoder.tokenizer.get_vocab_size())
         for batch in batches:
             for part in byte_slices(batch, "text", PART_BYTES, 1 << 13):
                 ids, ends = encoder.texts(*text_buffers(part.column("text")))
