@@ -14,7 +14,13 @@ def spark():
     from lodestar.session import checkpoint_dir
 
     s = (SparkSession.builder.master("local[*]")
+         .config("spark.driver.memory", "4g")
          .config("spark.sql.shuffle.partitions", "8")
+         # plans of the unrolled rounds are large: keep few of those that ran
+         .config("spark.sql.ui.retainedExecutions", "20")
+         .config("spark.ui.retainedJobs", "50")
+         .config("spark.ui.retainedStages", "50")
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.session.timeZone", "UTC")
@@ -24,6 +30,14 @@ def spark():
     yield s
 
 
+@pytest.fixture(autouse=True)
+def _no_leftovers(request):
+    """Frames that a test left in the cache don't stay for the next one."""
+    yield
+    if "spark" in request.fixturenames:
+        request.getfixturevalue("spark").catalog.clearCache()
+
+
 def rows(df, *cols):
     """Sorted list of tuples of the given columns."""
     cols = cols or tuple(df.columns)
