@@ -83,7 +83,74 @@ class Sparse:
         return out
 
 
-def fit_logistic(rows: Sparse, y: np.ndarray, width: int, l2: float, scale: np.ndarray | None = None,
+class Blocks:
+    """Rows of features of value 1, kept in blocks of about ``ENTRIES`` entries
+    as they come: no entry is held twice, however many models read them."""
+
+    def __init__(self) -> None:
+        self.blocks: list[tuple[np.ndarray, np.ndarray]] = []  # sizes of the rows, features
+        self.open: list[np.ndarray] = []
+        self.entries = 0
+
+    def add(self, row: np.ndarray) -> None:
+        self.open.append(row.astype(np.int32))
+        self.entries += len(row)
+        if self.entries >= ENTRIES:
+            self.close()
+
+    def close(self) -> None:
+        if self.open:
+            sizes = np.fromiter(map(len, self.open), np.int64, len(self.open))
+            self.blocks.append((sizes, np.concatenate(self.open)))
+            self.open, self.entries = [], 0
+
+    def __len__(self) -> int:
+        return sum(len(sizes) for sizes, _ in self.blocks) + len(self.open)
+
+    def dot(self, w: np.ndarray) -> np.ndarray:
+        out = []
+        for sizes, idx in self.blocks:
+            sums = np.add.reduceat(np.append(w[idx], 0.0), np.cumsum(sizes) - sizes)
+            out.append(np.where(sizes > 0, sums, 0.0))  # reduceat gives an empty row the entry after it
+        return np.concatenate(out) if out else np.zeros(0)
+
+    def back(self, g: np.ndarray, width: int) -> np.ndarray:
+        out, at = np.zeros(width), 0
+        for sizes, idx in self.blocks:
+            out += np.bincount(idx, np.repeat(g[at:at + len(sizes)], sizes), width)
+            at += len(sizes)
+        return out
+
+
+    def only(self, new: np.ndarray) -> Blocks:
+        """The rows with feature ``new[i]`` for i, without those where it is negative."""
+        out = Blocks()
+        for sizes, idx in self.blocks:
+            moved = new[idx]
+            kept = np.concatenate([[0], np.cumsum(moved >= 0)])
+            ends = np.cumsum(sizes)
+            out.blocks.append((kept[ends] - kept[ends - sizes], moved[moved >= 0]))
+        return out
+
+
+class Stack:
+    """Several ``Blocks``, one above the other."""
+
+    def __init__(self, parts: list[Blocks]):
+        self.parts = parts
+        self.cuts = np.cumsum([0, *map(len, parts)])
+
+    def dot(self, w: np.ndarray) -> np.ndarray:
+        return np.concatenate([p.dot(w) for p in self.parts])
+
+    def back(self, g: np.ndarray, width: int) -> np.ndarray:
+        out = np.zeros(width)
+        for p, a, b in zip(self.parts, self.cuts, self.cuts[1:], strict=False):
+            out += p.back(g[a:b], width)
+        return out
+
+
+def fit_logistic(rows: Sparse | Blocks | Stack, y: np.ndarray, width: int, l2: float, scale: np.ndarray | None = None,
                  weight: np.ndarray | None = None) -> tuple[np.ndarray, float]:
     """Weights (of the unscaled features) and bias. ``scale`` multiplies the
     features; the penalty is on the weights of the scaled ones."""

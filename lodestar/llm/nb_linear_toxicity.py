@@ -17,7 +17,8 @@ A bitmap of 2**FILTER_BITS bits, of the labelled ids' hashes, keeps most
 unlabelled texts out of the join with the labels. Scoring reads every text with a model of 2**bits weights, whatever the
 corpus.
 
-Null and empty texts have no features: their score is the calibrated bias. A
+Null and empty texts have no features: their score is the calibrated bias. Long
+texts are read in overlapping pieces of ``PIECE`` characters, whole. A
 label that is null is no label; a document with several label rows counts once
 for each; ids that are null have no label. Without training rows of both
 classes every score is the smoothed share of label 1. Empty tables give no
@@ -33,8 +34,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import byte_slices, fold, frugal, mix64, shuffle_partitions
-from lodestar.llm.linear import Sparse, calibrate, fit_logistic, sigmoid
+from lodestar.llm.common import byte_slices, fold, frugal, mix64, shuffle_partitions, written
+from lodestar.llm.linear import Blocks, Stack, calibrate, fit_logistic, sigmoid
 
 ORDERS = (4, 5, 6)
 BITS = 20
@@ -44,15 +45,14 @@ MIN_Z = 3.0
 L2 = 3e-4
 FOLDS = 3
 PART_BYTES = 1 << 18
+PIECE = 1 << 16
 FILTER_BITS = 26
 BLOCK = 1 << 12
 THRESHOLD = 0.3
 
 
-def features(texts: list[str], bits: int, wanted: np.ndarray | None = None) -> list[np.ndarray]:
-    """Per text the sorted distinct buckets of its n-grams (only those that
-    ``wanted`` marks); the ends of a text count as a space."""
-    texts = [f" {t.lower()} " for t in texts]
+def buckets_of(texts: list[str], bits: int, wanted: np.ndarray | None) -> np.ndarray:
+    """Sorted distinct (text << bits | bucket) of the n-grams of some pieces."""
     points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     ends = np.cumsum([len(t) for t in texts])
     points[(points == 9) | (points == 10) | (points == 13)] = 32
@@ -69,9 +69,25 @@ def features(texts: list[str], bits: int, wanted: np.ndarray | None = None) -> l
             found.append(text[order - 1:][good] << bits | bucket[good])
     keys = np.concatenate(found) if found else np.zeros(0, np.int64)
     keys.sort()
-    keys = keys[np.flatnonzero(np.diff(keys, prepend=-1))] if len(keys) else keys
+    return keys[np.flatnonzero(np.diff(keys, prepend=-1))] if len(keys) else keys
+
+
+def features(texts: list[str], bits: int, wanted: np.ndarray | None = None) -> list[np.ndarray]:
+    """Per text the sorted distinct buckets of its n-grams (only those that
+    ``wanted`` marks); the ends of a text count as a space. A text of over
+    ``PIECE`` characters is read in pieces that overlap by an n-gram."""
+    texts = [f" {t.lower()} " for t in texts]
+    short = [t if len(t) <= PIECE else "" for t in texts]
+    keys = buckets_of(short, bits, wanted)
     cuts = np.searchsorted(keys, np.arange(len(texts) + 1) << bits)
-    return [keys[a:b] & ((1 << bits) - 1) for a, b in zip(cuts, cuts[1:], strict=False)]
+    out = [keys[a:b] & ((1 << bits) - 1) for a, b in zip(cuts, cuts[1:], strict=False)]
+    for i, t in enumerate(texts):
+        if len(t) > PIECE:
+            marks = np.zeros(1 << bits, bool)
+            for at in range(0, len(t), PIECE):
+                marks[buckets_of([t[max(0, at - max(ORDERS) + 1):at + PIECE]], bits, wanted)] = True
+            out[i] = np.flatnonzero(marks)
+    return out
 
 
 def ratios(pos: np.ndarray, neg: np.ndarray, n_pos: float, n_neg: float) -> tuple[np.ndarray, np.ndarray]:
@@ -121,43 +137,61 @@ def class_counts(training: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray
     return out[1], out[0]
 
 
-def fit(rows: list[np.ndarray], y: np.ndarray, pos: np.ndarray, neg: np.ndarray, n_pos: int, n_neg: int,
-        copies: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
+class Sample:
+    """The fit's rows, dealt to folds as they come, each class over all folds."""
+
+    def __init__(self) -> None:
+        self.folds = [Blocks() for _ in range(FOLDS)]
+        self.y, self.copies, self.weight = ([[] for _ in range(FOLDS)] for _ in range(3))
+        self.seen = [0, 0]
+
+    def add(self, row: np.ndarray, label: int, copies: int, weight: float) -> None:
+        k = self.seen[label] % FOLDS
+        self.seen[label] += 1
+        self.folds[k].add(row)
+        for held, value in ((self.y, label), (self.copies, copies), (self.weight, weight)):
+            held[k].append(value)
+
+    def close(self) -> None:
+        for blocks in self.folds:
+            blocks.close()
+
+    def joined(self, values: list[list], folds: list[int]) -> np.ndarray:
+        return np.concatenate([np.array(values[k], np.float64) for k in folds])
+
+
+def fit(sample: Sample, pos: np.ndarray, neg: np.ndarray, n_pos: int, n_neg: int) -> tuple[np.ndarray, float]:
     """Weights per feature and bias, calibrated. The counts are of all training
     rows, the rows a sample of them, in which a row stands for ``copies`` equal
     ones and counts by ``weight``."""
-    width = len(pos)
+    width, all_folds = len(pos), list(range(FOLDS))
 
-    def learn(own: np.ndarray, counts: tuple) -> tuple[np.ndarray, float]:
+    def learn(folds: list[int], counts: tuple) -> tuple[np.ndarray, float]:
         r, z = ratios(*counts)
         keep = np.flatnonzero(z >= MIN_Z)
         new = np.full(width, -1, np.int32)
         new[keep] = np.arange(len(keep))
-        short = [f[f >= 0] for f in (new[rows[i]] for i in own)]
         w = np.zeros(width)
-        w[keep], b = fit_logistic(Sparse(short), y[own], len(keep), L2, r[keep], weight[own])
+        w[keep], b = fit_logistic(Stack([sample.folds[k].only(new) for k in folds]), sample.joined(sample.y, folds), len(keep),
+                                  L2, r[keep], sample.joined(sample.weight, folds))
         return w, b
 
-    order = np.zeros(len(y), np.int64)  # each class is dealt over all folds
-    for label in (0, 1):
-        order[y == label] = np.arange((y == label).sum()) % FOLDS
-    margins = np.zeros(len(y))
+    y, weight = sample.joined(sample.y, all_folds), sample.joined(sample.weight, all_folds)
     if min(y.sum(), len(y) - y.sum()) < 2:  # a fold would lack a class
         r, z = ratios(pos, neg, n_pos, n_neg)
         w = np.where(z >= MIN_Z, r, 0.0)
-        margins = Sparse(rows).dot(w)
+        margins = Stack(sample.folds).dot(w)
         most = max(1.0, np.abs(margins).max(initial=0.0))
         a, c = calibrate(margins / most, y, weight)
         return a / most * w, c
-    for k in range(FOLDS):
-        out, own = order == k, np.flatnonzero(order != k)
-        held = Sparse([rows[i] for i in np.flatnonzero(out)])
-        n, ones = copies[out], y[out] * copies[out]
-        w, b = learn(own, (pos - held.back(ones, width), neg - held.back(n - ones, width),
-                           n_pos - ones.sum(), n_neg - (n - ones).sum()))
-        margins[out] = held.dot(w) + b
-    a, c = calibrate(margins, y, weight)
-    w, b = learn(np.arange(len(y)), (pos, neg, n_pos, n_neg))
+    margins = []
+    for k, held in enumerate(sample.folds):
+        n, ones = sample.joined(sample.copies, [k]), sample.joined(sample.copies, [k]) * sample.joined(sample.y, [k])
+        w, b = learn([j for j in all_folds if j != k], (
+            pos - held.back(ones, width), neg - held.back(n - ones, width), n_pos - ones.sum(), n_neg - (n - ones).sum()))
+        margins.append(held.dot(w) + b)
+    a, c = calibrate(np.concatenate(margins), y, weight)
+    w, b = learn(all_folds, (pos, neg, n_pos, n_neg))
     return a * w, a * b + c
 
 
@@ -174,21 +208,21 @@ def train(training: DataFrame, bits: int = BITS, fit_rows: int = FIT_ROWS) -> tu
     pos, neg = pos[chosen], neg[chosen]
 
     def fit_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, labels, copies, rows = [], [], [], []
+        sample = Sample()
         new = np.cumsum(wanted, dtype=np.int32) - 1
         for batch in batches:
             for part in byte_slices(batch, "text", PART_BYTES):
-                keys += part.column("order").to_pylist()
-                labels += part.column("label").to_pylist()
-                copies += part.column("copies").to_pylist()
-                rows += [new[f] for f in features(part.column("text").to_pylist(), bits, wanted)]
-        by = sorted(range(len(keys)), key=lambda i: (keys[i], labels[i], len(rows[i])))
-        if by:
-            y, n_same = np.array(labels, np.float64)[by], np.array(copies, np.float64)[by]
-            weight = np.maximum(1.0, n_same * np.where(y > 0, shares[1], shares[0]))
-            for label, size in ((0, n - ones), (1, ones)):
-                weight[y == label] *= size / n / max(1.0, weight[y == label].sum())
-            w, b = fit([rows[i] for i in by], y, pos, neg, ones, n - ones, n_same, weight * len(y))
+                rows = features(part.column("text").to_pylist(), bits, wanted)
+                for row, label, copies in zip(rows, part.column("label").to_pylist(), part.column("copies").to_pylist(), strict=True):
+                    sample.add(new[row], label, copies, max(1.0, copies * shares[label]))
+        sample.close()
+        if sum(sample.seen):
+            size = [max(1.0, sum(w for k in range(FOLDS) for w, y in zip(sample.weight[k], sample.y[k], strict=True) if y == label))
+                    for label in (0, 1)]
+            part_of = [(n - ones) / n, ones / n]
+            for k in range(FOLDS):
+                sample.weight[k] = [w * part_of[y] / size[y] * sum(sample.seen) for w, y in zip(sample.weight[k], sample.y[k], strict=True)]
+            w, b = fit(sample, pos, neg, ones, n - ones)
             yield pa.RecordBatch.from_arrays([pa.array([np.append(w, b).astype(np.float32).tobytes()], pa.binary())], names=["model"])
 
     buckets = 1 << 30
@@ -196,7 +230,8 @@ def train(training: DataFrame, bits: int = BITS, fit_rows: int = FIT_ROWS) -> tu
     order = F.xxhash64(F.lit(17), "key", "text")
     bound = F.when(F.col("label") == 1, F.lit(int(buckets * shares[1]))).otherwise(F.lit(int(buckets * shares[0])))
     sample = (training.withColumn("order", order).filter(F.pmod("order", F.lit(buckets)) < bound)
-              .groupBy("order", "label").agg(F.count("*").alias("copies"), F.first("text").alias("text")).repartition(1))
+              .groupBy("order", "label").agg(F.count("*").alias("copies"), F.first("text").alias("text"))
+              .repartition(1).sortWithinPartitions("order", "label"))
     model = sample.mapInArrow(frugal(fit_task), "model binary").collect()
     if not model:
         return np.zeros(1 << bits), float(np.log((ones + 0.05) / (n - ones + 0.95)))
@@ -215,7 +250,7 @@ def score(docs: DataFrame, weights: np.ndarray, bias: float, key: str = "doc_id"
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in byte_slices(batch, "text", PART_BYTES):
-                m = [float(weights[f].sum(dtype=np.float64)) + bias 
+                m = [float(weights[f].sum(dtype=np.float64)) + bias
                      for f in features(part.column("text").to_pylist(), bits, wanted)]
                 yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(sigmoid(np.array(m)))], names=["key", "score"])
 
@@ -260,7 +295,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", threshold
              held: int = 2, key: str = "doc_id", text: str = "text", fit_rows: int = FIT_ROWS) -> DataFrame:
     """key, held_out, score, predicted of every row. Labels of the held-out
     fold (crc32 of the id modulo ``folds`` is ``held``) are never read."""
-    training = training_rows(docs, labels, label, fold(F.col("key"), folds) != held, key, text)
+    training = written(training_rows(docs, labels, label, fold(F.col("key"), folds) != held, key, text), "toxicity-training")
     weights, bias = train(training, fit_rows=fit_rows)
     return score(docs, weights, bias, key, text).select(
         key, (fold(F.col(key), folds) == held).alias("held_out"), "score",
@@ -270,7 +305,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", threshold
 def clean_rows(docs: DataFrame, labels: DataFrame, label: str = "toxic", threshold: float = THRESHOLD, folds: int = 4,
                held: int = 2, key: str = "doc_id", text: str = "text", fit_rows: int = FIT_ROWS) -> DataFrame:
     """The rows of ``docs``, with its columns, whose score is below the threshold."""
-    training = training_rows(docs, labels, label, fold(F.col("key"), folds) != held, key, text)
+    training = written(training_rows(docs, labels, label, fold(F.col("key"), folds) != held, key, text), "toxicity-training")
     weights, bias = train(training, fit_rows=fit_rows)
     bits = len(weights).bit_length() - 1
     wanted = weights != 0

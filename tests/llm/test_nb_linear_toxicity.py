@@ -114,3 +114,56 @@ def test_a_hot_id_does_not_fill_the_sample(spark):
         model = T.train(training, fit_rows=300)
         got = T.score(spark.createDataFrame(docs, "doc_id long, text string, s string"), *model).collect()
         assert np.mean([(r.score >= T.THRESHOLD) == dict(labels)[r.doc_id] for r in got]) > .95
+
+
+def test_long_texts_go_piece_by_piece(monkeypatch):
+    rng = random.Random(9)
+    text = "".join(rng.choice("abcdeé ÀX") for _ in range(5000))
+    whole = T.features([text, "x"], 20)
+    for size in (1, 64, 4999):
+        monkeypatch.setattr(T, "PIECE", size)
+        again = T.features([text, "x"], 20)
+        assert (again[0] == whole[0]).all() and (again[1] == whole[1]).all()
+
+
+def test_score_against_brute_force(spark):
+    """The model's margin is the sum of its weights over a text's n-grams, each once."""
+    docs, labels = make(400, 3)
+    d, lab = spark.createDataFrame(docs, "doc_id long, text string, s string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    training = T.training_rows(d, lab, "toxic", T.fold(T.F.col("key"), 4) != 2)
+    weights, bias = T.train(training)
+    known = {}
+    for t in {t for _, t, _ in docs}:
+        low = f" {t.lower()} "
+        grams = sorted({low[i:i + n] for n in T.ORDERS for i in range(len(low) - n + 1)})
+        total = bias
+        for g in grams:
+            if g not in known:
+                # a polynomial in the code points, the last one first
+                h = sum(ord(c) * pow(0x9E3779B97F4A7C15, j + 1, 1 << 64) for j, c in enumerate(reversed(g))) + len(g)
+                known[g] = int(T.mix64(np.array([h % (1 << 64)], np.uint64))[0]) >> 64 - T.BITS
+        total += sum(float(weights[b]) for b in {known[g] for g in grams})
+        known[t] = 1 / (1 + np.exp(-total))
+    got = T.toxicity(d, lab).collect()
+    assert all(abs(r.score - known[dict((k, t) for k, t, _ in docs)[r.doc_id]]) < 1e-6 for r in got)
+
+
+def test_fit_against_plain_descent():
+    """The blocks of a fit give the model that dense gradient descent finds."""
+    rng = np.random.default_rng(2)
+    dense = rng.random((300, 12)) < .3
+    y = (rng.random(300) < sigmoid(dense @ np.linspace(-2, 2, 12))).astype(float)
+    stack = []
+    for part in (slice(0, 100), slice(100, 300)):
+        b = T.Blocks()
+        for row in dense[part]:
+            b.add(np.flatnonzero(row))
+        b.close()
+        stack.append(b)
+    scale, weight = np.linspace(.5, 1.5, 12), 1 + rng.random(300)
+    w, b = fit_logistic(T.Stack(stack), y, 12, 1e-2, scale, weight)
+    v, c = np.zeros(12), 0.0
+    for _ in range(20000):
+        err = weight * (sigmoid(dense @ (v * scale) + c) - y) / weight.sum()
+        v, c = v - 0.5 * ((err @ dense) * scale + 1e-2 * v), c - 0.5 * err.sum()
+    assert np.abs(v * scale - w).max() < 1e-2 and abs(b - c) < 1e-2
