@@ -29,6 +29,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from lodestar.llm.common import WORD, shuffle_partitions, written
 from lodestar.operators.sequence import with_global_index
@@ -129,14 +130,25 @@ def fair_mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: s
 def mixed_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **how) -> DataFrame:
     """The mix itself, with the columns of ``docs``: a row per copy taken. The
     document that the budget cuts keeps its first words, with one space between
-    them, in its last copy. Rows equal in id, text and source share what the mix
-    takes of them evenly."""
-    tags = {"_a": F.xxhash64(key, text, source), "_b": F.xxhash64(F.lit(1), source, text, key)}
-    tagged = docs.withColumns(tags)
-    plan = (fair_mix(tagged, key, text, source, carry=["_a", "_b"], **how).filter("taken > 0")
-            .groupBy("_a", "_b").agg(F.floor(F.avg("taken")).alias("_taken"), F.first("size").alias("_size")))
-    copies = tagged.join(plan, ["_a", "_b"]).withColumn("_copy", F.explode(F.sequence(
-        F.lit(1).cast("long"), F.ceil(F.col("_taken") / F.col("_size")).cast("long"))))
-    rest = (F.col("_taken") - (F.col("_copy") - 1) * F.col("_size")).cast("int")
-    first_words = F.array_join(F.slice(F.regexp_extract_all(F.col(text), F.lit(f"({WORD})"), F.lit(1)), 1, F.greatest(rest, F.lit(1))), " ")
-    return copies.withColumn(text, F.when(rest < F.col("_size"), first_words).otherwise(F.col(text))).select(docs.columns)
+    them, in its last copy. Rows equal in every column are one with a number,
+    and each share of it is given out; extra columns may have any name."""
+    plain = [f.name for f in docs.schema if not _has_map(f.dataType)]
+    tagged = docs.select(F.xxhash64(*plain).alias("_a"), F.xxhash64(F.lit(1), *reversed(plain)).alias("_b"), F.col(key).alias("_key"),
+                         F.col(text).alias("_text"), F.col(source).alias("_source"), F.struct("*").alias("_row"))
+    shares = written(fair_mix(tagged, "_key", "_text", "_source", carry=["_a", "_b"], **how)
+                     .groupBy("_a", "_b", "size", "taken").agg(F.count("*").alias("times")), "mix-shares")
+    many = written(shares.groupBy("_a", "_b").agg(F.sum("times").alias("rows")).filter("rows > 1").select("_a", "_b"), "mix-many")
+    taken = shares.filter("taken > 0").withColumn("last", F.ceil(F.col("taken") / F.col("size")).cast("long"))
+    out = tagged.join(taken.join(many, ["_a", "_b"], "left_anti"), ["_a", "_b"])
+    if not many.isEmpty():
+        one_each = tagged.join(many, ["_a", "_b"], "left_semi").dropDuplicates(["_a", "_b"])
+        out = out.unionByName(one_each.join(taken, ["_a", "_b"]).withColumn("times", F.explode(F.sequence(F.lit(1).cast("long"), "times"))))
+    copies = out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "last")))
+    rest = (F.col("taken") - (F.col("copy") - 1) * F.col("size")).cast("int")
+    first_words = F.array_join(F.slice(F.regexp_extract_all(F.col("_text"), F.lit(f"({WORD})"), F.lit(1)), 1, F.greatest(rest, F.lit(1))), " ")
+    cut = F.when(rest < F.col("size"), first_words).otherwise(F.col("_text"))
+    return copies.select(*[cut.alias(c) if c == text else F.col("_row").getField(c).alias(c) for c in docs.columns])
+
+
+def _has_map(kind: DataType) -> bool:
+    return "map<" in kind.simpleString() or kind.simpleString() == "variant"

@@ -21,12 +21,15 @@ component, and the forests are merged by star contraction.
 
 Every pair within ``max_bits`` is found whatever the sample was: it only sets
 the balance. Null and empty texts share fingerprint zero and link as others
-do. Ids may repeat or be null; a null id is never a component's id unless all
-ids of the component are null. Empty tables give no rows.
+do. Long texts are hashed in pieces of words, whole. Ids may repeat or be null; a
+null id is never a component's id unless all ids of the component are null.
+Empty tables give no rows. ``near_duplicates`` reads id and text alone;
+``kept_rows`` carries the row in a struct: other columns may have any name.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from itertools import accumulate
@@ -46,23 +49,37 @@ SAMPLE = 65_536
 #: Resident-visitor comparisons that a block makes without a further split.
 BLOCK_PAIRS = 1 << 21
 PART_BYTES = 8 << 20
+PIECE = 1 << 20
+SPACE = re.compile(rb"[ \t-\r]")
+
+
+def pieces(data: bytes) -> Iterator[list[bytes]]:
+    """The words of a text in turn, those of about ``PIECE`` bytes at a time."""
+    at = 0
+    while at < len(data):
+        gap = SPACE.search(data, at + PIECE)
+        stop = gap.start() if gap else len(data)
+        yield data[at:stop].split()  # bytes: ASCII rules only
+        at = stop
 
 
 def fingerprint(text: str | None, shingle: int) -> int:
-    found = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: ASCII rules only
-    if not found:
-        return 0
-    joined = b" ".join(found)
-    if len(found) <= shingle:
-        hashes = xxhash.xxh64_digest(joined, SEED)
-    else:
-        ends = [e - 1 for e in accumulate(len(w) + 1 for w in found)]
-        starts = [0] + [e + 1 for e in ends]
-        digest = xxhash.xxh64_digest
-        hashes = b"".join([digest(joined[s:e], SEED) for s, e in zip(starts, ends[shingle - 1:], strict=False)])
-    bits = np.unpackbits(np.frombuffer(hashes, np.uint8).reshape(-1, 8), axis=1)
-    n = len(bits)
-    counts = bits.sum(0, dtype=np.int64)
+    digest, counts, n = xxhash.xxh64_digest, np.zeros(64, np.int64), 0
+    found: list[bytes] = []
+    for words in pieces((text or "").encode("utf-8", "surrogatepass").lower()):
+        found += words
+        if len(found) >= shingle:
+            joined = b" ".join(found)
+            ends = [e - 1 for e in accumulate(len(w) + 1 for w in found)]
+            starts = [0] + [e + 1 for e in ends]
+            hashes = b"".join([digest(joined[s:e], SEED) for s, e in zip(starts, ends[shingle - 1:], strict=False)])
+            bits = np.unpackbits(np.frombuffer(hashes, np.uint8).reshape(-1, 8), axis=1)
+            counts += bits.sum(0, dtype=np.int64)
+            n += len(bits)
+            found = found[len(found) - shingle + 1:]  # shingles that reach into the next piece
+    if not n and found:
+        counts += np.unpackbits(np.frombuffer(digest(b" ".join(found), SEED), np.uint8))
+        n = 1
     return int.from_bytes(np.packbits(counts * 2 > n).tobytes(), "big", signed=True)
 
 
@@ -319,12 +336,13 @@ def kept_rows(docs: DataFrame, shingle: int = 3, max_bits: int = 2, key: str = "
     """One row of each component, with the columns of ``docs``: of its smallest
     id, or of some null id if it has no other; if that id has several texts
     there, that of the smallest hash."""
-    tagged = docs.withColumns({"_a": F.xxhash64(key, text), "_b": F.xxhash64(F.lit(1), text, key)})
-    rows = written(fingerprints(tagged, shingle, key, text, ["_a", "_b"]), "fingerprints")
-    found = rows.join(classes(rows, max_bits, key), "fp").groupBy("root", key, "_a", "_b").agg(F.count("*").alias("_n"))
-    first = F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), "_a", "_b", "_n")).alias("first")
+    tagged = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"), F.struct("*").alias("_row")).withColumns(
+        {"_a": F.xxhash64("_key", "_text"), "_b": F.xxhash64(F.lit(1), "_text", "_key")})
+    rows = written(fingerprints(tagged, shingle, "_key", "_text", ["_a", "_b"]), "fingerprints")
+    found = rows.join(classes(rows, max_bits, "_key"), "fp").groupBy("root", "_key", "_a", "_b").agg(F.count("*").alias("_n"))
+    first = F.min(F.struct(F.col("_key").isNull().alias("none"), F.col("_key").alias("key"), "_a", "_b", "_n")).alias("first")
     best = written(found.groupBy("root").agg(first).select("first._a", "first._b", "first._n"), "kept")
     kept = tagged.join(best.select("_a", "_b"), ["_a", "_b"], "left_semi")
     if not best.filter("_n > 1").isEmpty():  # whole rows that repeat
         kept = kept.dropDuplicates(["_a", "_b"])
-    return kept.select(docs.columns)
+    return kept.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])

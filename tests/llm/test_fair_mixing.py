@@ -81,3 +81,17 @@ def test_mixed_rows(spark):
         words[r.doc_id] = words.get(r.doc_id, 0) + len(r.text.split())
         assert r.text == texts[r.doc_id] or texts[r.doc_id].split()[:len(r.text.split())] == r.text.split()
     assert words == {k: t for k, (t, _) in taken.items() if t}
+
+
+def test_mixed_rows_lose_no_word_and_no_column(spark):
+    """Repeated rows share all that is taken; columns may be named like helpers."""
+    rows = [(7, "a b c d e", "s", i % 2, 10, "x", "y") for i in range(9)] + [(8, "p q r", "t", 0, 11, None, "z")] * 3 + [(None, "n o", None, 5, 6, "u", "v")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, _a int, _size int, _copy string, copy string")
+    for packet in (2, 256):
+        taken = sum(r.taken for r in fair_mix(df, packet=packet).collect())
+        got = mixed_rows(df, packet=packet)
+        assert got.columns == df.columns
+        got = got.collect()
+        assert sum(len(r.text.split()) for r in got) == taken
+        assert {tuple(r)[2:] for r in got} <= {r[2:] for r in rows}
+        assert {r._a for r in got if r.doc_id == 7} == {0, 1}

@@ -88,3 +88,21 @@ def test_components_of_a_long_chain(spark):
     df = spark.createDataFrame(edges, "x long, y long")
     got = {r.vertex: r.root for r in components(df, "x", "y").collect()}
     assert got == {**{i: 0 for i in range(201)}, 1000: -3, 1001: -3, -3: -3}
+
+
+def test_long_texts_go_piece_by_piece(monkeypatch):
+    rng = random.Random(8)
+    text = " \n".join("".join(rng.choice("abÄ") for _ in range(rng.randint(1, 9))) for _ in range(3000))
+    whole = S.fingerprint(text, 3)
+    assert whole & (2**64 - 1) == simhash(text)
+    for size in (1, 7, 1000):
+        monkeypatch.setattr(S, "PIECE", size)
+        assert S.fingerprint(text, 3) == whole
+        assert S.fingerprint("One", 3) & (2**64 - 1) == simhash("One")
+
+
+def test_kept_rows_carry_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "a b c d", 5, "p"), (2, "a b c d", 6, "q"), (3, "e f g h", 7, None)],
+                               "doc_id long, text string, _a int, fp string")
+    got = S.kept_rows(df)
+    assert got.columns == df.columns and sorted(map(tuple, got.collect())) == [(1, "a b c d", 5, "p"), (3, "e f g h", 7, None)]
