@@ -178,7 +178,11 @@ QUERIES.update({
 KMEANS_SEEDS = list(range(10))
 KMEANS_ROUNDS = 21
 SVM_C = 100.0
-SVM_ROUNDS = 5
+#: (learning rate, stop at percent change, most rounds): rates for unit vectors, under which the
+#: stop rule takes tens to hundreds of rounds
+SVM_BATCH = (3e-5, 0.25, 2000)
+SVM_MINIBATCH = (1.3e-4, 0.01, 6000)
+SVM_BATCH_SIZE = 20
 SVM_BIAS = 0.1
 
 
@@ -235,16 +239,30 @@ def q_svm_cost_gradient(spark, sf_dir):
         "dim", F.round("dw", 6).alias("dw"))
 
 
+def _svm_batch(spark, sf_dir):
+    lr, stop, most = SVM_BATCH
+    return L.svm_batch_fit(_svm_rows(spark, sf_dir), _dim(spark, sf_dir), SVM_C, lr, stop, most)
+
+
+def _svm_minibatch(spark, sf_dir):
+    lr, stop, most = SVM_MINIBATCH
+    return L.svm_minibatch_fit(_svm_rows(spark, sf_dir), _dim(spark, sf_dir), SVM_C, lr, SVM_BATCH_SIZE, stop, most)
+
+
 def q_svm_batch_fit(spark, sf_dir):
-    _, _, hist = L.svm_batch_fit(_svm_rows(spark, sf_dir), _dim(spark, sf_dir), SVM_C,
-                                 lr=3e-7, stop=0.25, max_rounds=SVM_ROUNDS)
-    return L.history_frame(spark, hist, "pct_change")
+    return L.history_frame(spark, _svm_batch(spark, sf_dir)[2], "pct_change")
+
+
+def q_svm_batch_model(spark, sf_dir):
+    return L.model_frame(spark, *_svm_batch(spark, sf_dir)[:2])
 
 
 def q_svm_minibatch_fit(spark, sf_dir):
-    _, _, hist = L.svm_minibatch_fit(_svm_rows(spark, sf_dir), _dim(spark, sf_dir), SVM_C,
-                                     lr=1e-5, batch_size=20, stop=0.01, max_rounds=SVM_ROUNDS)
-    return L.history_frame(spark, hist, "smoothed")
+    return L.history_frame(spark, _svm_minibatch(spark, sf_dir)[2], "smoothed")
+
+
+def q_svm_minibatch_model(spark, sf_dir):
+    return L.model_frame(spark, *_svm_minibatch(spark, sf_dir)[:2])
 
 
 QUERIES.update({
@@ -255,7 +273,9 @@ QUERIES.update({
     "kmeans_fit_centers": q_kmeans_fit_centers,
     "svm_cost_gradient": q_svm_cost_gradient,
     "svm_batch_fit": q_svm_batch_fit,
+    "svm_batch_model": q_svm_batch_model,
     "svm_minibatch_fit": q_svm_minibatch_fit,
+    "svm_minibatch_model": q_svm_minibatch_model,
 })
 
 

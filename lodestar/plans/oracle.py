@@ -235,62 +235,43 @@ _SVM_ROWS = """
   yrows AS (SELECT vec_id, CASE WHEN label < 5 THEN 1 ELSE -1 END AS y FROM embeddings)"""
 
 
-def _svm_round(k: int, batch_filter: str | None, lr: float) -> str:
-    """CTEs for round k given W{k} (d, w) and B{k} (b): cost C{k} and the
-    next model W{k+1}, B{k+1}."""
-    viol = "m.m < 1" + (f" AND {batch_filter}" if batch_filter else "")
-    return f"""
-  M{k} AS (SELECT p.vec_id, r.y, r.batch, r.y * (sum(p.x * w.w) + (SELECT b FROM B{k})) AS m
-           FROM pts p JOIN W{k} w USING (d) JOIN yrows r USING (vec_id) GROUP BY 1, 2, 3),
-  C{k} AS (SELECT 0.5 * (SELECT sum(w * w) FROM W{k}) + 100.0 * sum(greatest(0.0, 1.0 - m)) AS cost
-           FROM M{k}),
-  G{k} AS (SELECT w.d, w.w + 100.0 * coalesce(sum(CASE WHEN {viol} THEN -m.y * p.x END), 0.0) AS dw
-           FROM W{k} w JOIN pts p ON p.d = w.d JOIN M{k} m ON m.vec_id = p.vec_id
-           GROUP BY w.d, w.w),
-  DB{k} AS (SELECT 100.0 * coalesce(sum(CASE WHEN {viol} THEN -m.y END), 0) AS db FROM M{k} m),
-  W{k + 1} AS (SELECT d, w - {lr!r} * dw AS w FROM W{k} JOIN G{k} USING (d)),
-  B{k + 1} AS (SELECT (SELECT b FROM B{k}) - {lr!r} * (SELECT db FROM DB{k}) AS b)"""
-
-
-def _svm_fit(rounds: int, lr: float, minibatch: bool) -> str:
-    ctes = [f"WITH {_PTS},{_SVM_ROWS}"]
-    if minibatch:
-        ctes.append("""
-  perm AS (SELECT vec_id, (row_number() OVER (ORDER BY (vec_id * 48271) % 2147483647, vec_id) - 1)
-                          // 20 AS batch FROM embeddings),
-  nb AS (SELECT CAST(ceil(count(*) / 20) AS BIGINT) AS n FROM embeddings),
-  yb AS (SELECT vec_id, y, batch FROM yrows0 JOIN perm USING (vec_id))""")
-        ctes[0] = ctes[0].replace("yrows AS", "yrows0 AS", 1)
-        ctes[-1] = ctes[-1].replace("yb AS", "yrows AS", 1)
-    else:
-        ctes[0] = ctes[0].replace("ELSE -1 END AS y FROM", "ELSE -1 END AS y, 0 AS batch FROM", 1)
-    ctes.append("""
-  W0 AS (SELECT DISTINCT d, 0.0::DOUBLE AS w FROM pts),
-  B0 AS (SELECT 0.0::DOUBLE AS b)""")
-    for k in range(rounds):
-        bf = f"m.batch = {k} % (SELECT n FROM nb)" if minibatch else None
-        ctes.append(_svm_round(k, bf, lr))
-    hist = "\n    UNION ALL ".join(f"SELECT {k} AS iteration, cost FROM C{k}" for k in range(rounds))
-    ctes.append(f"""
-  hist AS ({hist}),
-  h2 AS (SELECT iteration, cost,
-                abs(lag(cost) OVER (ORDER BY iteration) - cost) * 100.0
-                  / lag(cost) OVER (ORDER BY iteration) AS pct FROM hist)""")
-    if not minibatch:
-        return ",".join(ctes) + f"""
-SELECT iteration, round(cost, 6) AS cost, round(pct, 10) AS pct_change FROM h2
-WHERE iteration <= coalesce((SELECT min(iteration) FROM h2 WHERE pct <= 0.25), {rounds - 1})"""
-    sm = ["  S1 AS (SELECT 0.5 * 0.0 + 0.5 * (SELECT pct FROM h2 WHERE iteration = 1) AS s)"]
-    for k in range(2, rounds):
-        sm.append(f"  S{k} AS (SELECT 0.5 * (SELECT s FROM S{k - 1}) + 0.5 * "
-                  f"(SELECT pct FROM h2 WHERE iteration = {k}) AS s)")
-    sel = "\n    UNION ALL ".join([f"SELECT 0 AS iteration, CAST(NULL AS DOUBLE) AS s"] +
-                                  [f"SELECT {k}, s FROM S{k}" for k in range(1, rounds)])
-    return ",".join(ctes) + ",\n" + ",\n".join(sm) + f""",
-  sm AS ({sel})
-SELECT h2.iteration, round(h2.cost, 6) AS cost, round(sm.s, 10) AS smoothed
-FROM h2 JOIN sm USING (iteration)
-WHERE h2.iteration <= coalesce((SELECT min(iteration) FROM sm WHERE s <= 0.01), {rounds - 1})"""
+SVM_DIM = 64
+
+
+def _svm_fit(out: str, lr: float, stop: float, most: int, batch_size: int | None = None) -> str:
+    """The rounds as a recursion: a row has the model after round k, and the
+    cost and change of that round. ``out``: history or model."""
+    viol = "(m < 1" + (f" AND batch = k % n_batches)" if batch_size else ")")
+    place = (f"(row_number() OVER (ORDER BY (vec_id * 48271) % 2147483647, vec_id) - 1) // {batch_size}" if batch_size else "0")
+    batches = f"CAST(ceil(count(*) / {batch_size}) AS BIGINT)" if batch_size else "max(1)"
+    grad = ", ".join(f"coalesce(sum(CASE WHEN {viol} THEN -y * x[{d}] END), 0.0)" for d in range(1, SVM_DIM + 1))
+    zeros = ", ".join(["CAST(0.0 AS DOUBLE)"] * SVM_DIM)
+    step = ", ".join(f"w[{d}] - {lr!r} * (w[{d}] + 100.0 * g[{d}])" for d in range(1, SVM_DIM + 1))
+    pct = "abs(prev - cost) * 100.0 / prev"
+    change = f"0.5 * coalesce(before, 0.0) + 0.5 * {pct}" if batch_size else pct
+    name = "smoothed" if batch_size else "pct_change"
+    history = f"""
+SELECT CAST(k AS INTEGER) AS iteration, round(cost, 3) AS cost, round(change, 6) AS {name} FROM fit WHERE k >= 0"""
+    model = """,
+  final AS (SELECT w, b FROM fit ORDER BY k DESC LIMIT 1)
+SELECT CAST(unnest(range(len(w))) AS INTEGER) AS dim, round(unnest(w), 6) AS value FROM final
+UNION ALL SELECT -1, round(b, 6) FROM final"""
+    return f"""WITH RECURSIVE rows AS (
+    SELECT CAST(embedding AS DOUBLE[]) AS x, CAST(CASE WHEN label < 5 THEN 1 ELSE -1 END AS DOUBLE) AS y,
+           {place} AS batch FROM embeddings),
+  size AS (SELECT {batches} AS n_batches FROM embeddings),
+  fit AS (
+    SELECT CAST(-1 AS BIGINT) AS k, [{zeros}] AS w, CAST(0.0 AS DOUBLE) AS b,
+           CAST(NULL AS DOUBLE) AS cost, CAST(NULL AS DOUBLE) AS change
+    UNION ALL
+    SELECT k, [{step}], b - {lr!r} * (100.0 * gb),
+           cost, CASE WHEN k > 0 THEN {change} END
+    FROM (SELECT k, w, b, prev, before, 0.5 * list_dot_product(w, w) + 100.0 * sum(greatest(0.0, 1.0 - m)) AS cost,
+                 [{grad}] AS g, coalesce(sum(CASE WHEN {viol} THEN -y END), 0.0) AS gb
+          FROM (SELECT f.k + 1 AS k, f.w, f.b, f.cost AS prev, f.change AS before, n_batches, r.x, r.y, r.batch,
+                       r.y * (list_dot_product(r.x, f.w) + f.b) AS m
+                FROM fit f, size, rows r WHERE f.k + 1 < {most} AND coalesce(f.change > {stop}, true))
+          GROUP BY k, w, b, prev, before))""" + (history if out == "history" else model)
 
 
 _SVM_GRADIENT = f"""WITH {_PTS},{_SVM_ROWS},
@@ -312,8 +293,10 @@ ORACLES.update({
     "kmeans_fit_l1_loss": _kmeans_fit(21, dist="l1"),
     "kmeans_fit_centers": _kmeans_fit(21, centers=True),
     "svm_cost_gradient": _SVM_GRADIENT,
-    "svm_batch_fit": _svm_fit(5, 3e-7, minibatch=False),
-    "svm_minibatch_fit": _svm_fit(5, 1e-5, minibatch=True),
+    "svm_batch_fit": _svm_fit("history", 3e-5, 0.25, 2000),
+    "svm_batch_model": _svm_fit("model", 3e-5, 0.25, 2000),
+    "svm_minibatch_fit": _svm_fit("history", 1.3e-4, 0.01, 6000, 20),
+    "svm_minibatch_model": _svm_fit("model", 1.3e-4, 0.01, 6000, 20),
 })
 
 
