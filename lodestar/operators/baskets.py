@@ -14,7 +14,8 @@ Plan shape, one level per shuffle:
 
 Because items are pruned to frequent ones before any pair is formed, a
 basket holding m frequent items yields m(m-1)/2 pair rows, bounded by the
-size of the frequent-item set, not by the basket length.
+size of the frequent-item set, not by the basket length. The pairs of a basket of
+more than ``BLOCK_ITEMS`` such items are made in cells, each by a task of its own.
 """
 
 from __future__ import annotations
@@ -51,11 +52,42 @@ def _frequent_occurrences(items: DataFrame, freq_items: DataFrame) -> DataFrame:
     return items.join(keys, "item", "left_semi")
 
 
-def _basket_pairs(occ: DataFrame, basket_cols: Sequence[str]) -> DataFrame:
-    """``(*basket, item_a, item_b)`` for ``item_a < item_b`` in a basket."""
-    x = occ.select(*basket_cols, F.col("item").alias("item_a"))
-    y = occ.select(*basket_cols, F.col("item").alias("item_b"))
-    return x.join(y, list(basket_cols)).filter(F.col("item_a") < F.col("item_b"))
+#: Items of a basket whose pairs one task makes; larger ones are cut into blocks.
+BLOCK_ITEMS = 2048
+
+
+def _plain_pairs(occ: DataFrame, keys: Sequence[str]) -> DataFrame:
+    x = occ.select(*keys, F.col("item").alias("item_a"))
+    y = occ.select(*keys, F.col("item").alias("item_b"))
+    return x.join(y, list(keys)).filter(F.col("item_a") < F.col("item_b"))
+
+
+def _basket_pairs(occ: DataFrame, basket_cols: Sequence[str], block: int | None = None) -> DataFrame:
+    """``(*basket, item_a, item_b)`` for ``item_a < item_b`` in a basket.
+
+    A basket of m items has m(m-1)/2 pairs. If m is over ``block``, its items are
+    hashed into g = ceil(m / block) blocks and its pairs come from g(g+1)/2 cells
+    (i <= j), each a join key of its own: an item has a row in the g cells of its
+    block, and a cell makes the pairs between its two blocks (those within a
+    block in cell (i, i) alone). So no task makes more than about 2 * block**2 / 2
+    pairs of one basket, and each pair is made once.
+    """
+    cols, block = list(basket_cols), block or BLOCK_ITEMS
+    hot = (occ.groupBy(*cols).agg(F.count(F.lit(1)).alias("_m")).filter(F.col("_m") > block)
+           .select(*cols, F.ceil(F.col("_m") / block).cast("int").alias("_g"))).persist()
+    if hot.isEmpty():
+        hot.unpersist()
+        return _plain_pairs(occ, cols)
+    cold = _plain_pairs(occ.join(hot.select(*cols), cols, "left_anti"), cols)
+    cells = (occ.join(hot, cols).withColumn("_b", F.pmod(F.xxhash64("item"), F.col("_g")).cast("int"))
+             .withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_g") - 1)))
+             .withColumns({"_i": F.least("_b", "_o"), "_j": F.greatest("_b", "_o")}))
+    keys = [*cols, "_i", "_j"]
+    x = cells.select(*keys, F.col("item").alias("item_a"), F.col("_b").alias("_ba"))
+    y = cells.select(*keys, F.col("item").alias("item_b"), F.col("_b").alias("_bb"))
+    pairs = x.join(y, keys).filter((F.col("item_a") < F.col("item_b"))
+                                   & ((F.col("_ba") != F.col("_bb")) | (F.col("_i") == F.col("_j"))))
+    return cold.unionByName(pairs.select(*cols, "item_a", "item_b"))
 
 
 def pair_support(items: DataFrame, basket_cols: Sequence[str], min_support: int,

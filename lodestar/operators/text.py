@@ -82,3 +82,36 @@ def distinct_count_per_key(df: DataFrame, key: str | Column = "key",
     name = out_key or (key if isinstance(key, str) else "key")
     return (df.select(k.alias(name), v.alias("_v"))
             .groupBy(name).agg(F.count_distinct("_v").alias("n")))
+
+
+#: Precision of the distinct sketches: 2**HLL_LG registers a key, a relative
+#: standard error of about 1.04 / sqrt(2**HLL_LG); counts up to some hundreds are exact.
+HLL_LG = 12
+
+
+def distinct_sketch(df: DataFrame, key: str | Column = "key", value: str | Column = "value") -> DataFrame:
+    """A3/A23, mergeable: ``(key, sketch)`` of the distinct values per key. A
+    sketch has a bounded size, so that a part's sketches can be written once and
+    merged with those of later parts; partial aggregation keeps one per task."""
+    k = F.col(key) if isinstance(key, str) else key
+    v = F.col(value) if isinstance(value, str) else value
+    return (df.select(k.alias("key"), v.cast("string").alias("_v"))
+            .groupBy("key").agg(F.hll_sketch_agg("_v", F.lit(HLL_LG)).alias("sketch")))
+
+
+def merge_sketches(*parts: DataFrame) -> DataFrame:
+    """The sketches of all parts together, ``(key, sketch)``."""
+    both = parts[0]
+    for p in parts[1:]:
+        both = both.unionByName(p)
+    return both.groupBy("key").agg(F.hll_union_agg("sketch").alias("sketch"))
+
+
+def sketch_estimate(sketches: DataFrame) -> DataFrame:
+    """``(key, n)``: the estimated number of distinct values."""
+    return sketches.select("key", F.hll_sketch_estimate("sketch").alias("n"))
+
+
+def sketch_error(sigmas: float = 3.0) -> float:
+    """The relative error that an estimate stays within, ``sigmas`` standard errors."""
+    return sigmas * 1.04 / (1 << HLL_LG) ** 0.5

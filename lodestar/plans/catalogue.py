@@ -18,6 +18,7 @@ from lodestar.operators import graph as G
 from lodestar.operators import joins as J
 from lodestar.operators import linear as L
 from lodestar.operators import recommend as R
+from lodestar.operators import sgd as SGD
 from lodestar.operators import sketch as C
 from lodestar.operators import text as T
 from lodestar.session import scratch_path
@@ -44,6 +45,22 @@ def q_distinct_count_per_key(spark, sf_dir):
     return T.distinct_count_per_key(ev, "user_id", value)
 
 
+def q_approx_distinct_per_key(spark, sf_dir):
+    """Sketches of two parts of the events, written, then merged: the exact count
+    per key and whether the estimate is within three standard errors of it."""
+    ev = S.table(spark, sf_dir, "events")
+    parts = []
+    for part in (0, 1):
+        path = scratch_path(spark, "distinct-sketch")
+        some = ev.filter(F.pmod("event_id", F.lit(2)) == part)
+        T.distinct_sketch(some, F.col("event_type"), F.col("user_id")).write.parquet(path)
+        parts.append(spark.read.parquet(path))
+    estimate = T.sketch_estimate(T.merge_sketches(*parts)).withColumnRenamed("n", "estimate")
+    exact = T.distinct_count_per_key(ev.withColumnRenamed("event_type", "key"), "key", "user_id")
+    return exact.join(estimate, "key", "left").select(
+        "key", "n", (F.abs(F.col("estimate") - F.col("n")) <= T.sketch_error() * F.col("n") + 1).alias("within"))
+
+
 def q_record_count(spark, sf_dir):
     """P2 + M3 over text lines: distinct records per key."""
     records = T.split_records(S.documents_text(spark, sf_dir).toDF("value"))
@@ -106,6 +123,7 @@ QUERIES: dict[str, Query] = {
     "word_count": q_word_count,
     "first_letter_count": q_first_letter_count,
     "distinct_count_per_key": q_distinct_count_per_key,
+    "approx_distinct_per_key": q_approx_distinct_per_key,
     "record_count": q_record_count,
     "short_records": q_short_records,
     "item_support": q_item_support,
@@ -124,7 +142,7 @@ RANK_DIGITS = 10
 
 
 def _g1_friends(spark, sf_dir):
-    return S.undirected(S.succession_graph(spark, sf_dir, "purchase"))
+    return S.undirected(S.succession_graph(spark, sf_dir))
 
 
 def _g2(spark, sf_dir):
@@ -330,10 +348,29 @@ def q_mf_gd_fit(spark, sf_dir):
         "iteration", F.round("objective", MF_DIGITS).alias("objective"))
 
 
+SGD_EPOCHS = 41
+SGD_K = 20
+#: Quantities reach 50; the rate is set for ratings of up to 5.
+SGD_SCALE = 10.0
+
+
+def q_mf_sgd_fit(spark, sf_dir):
+    """Per-rating updates, 41 epochs of k = 20: the objective of each epoch."""
+    ratings = S.quantity_ratings(spark, sf_dir).withColumn("rating", F.col("rating") / SGD_SCALE)
+    _, _, hist = SGD.mf_sgd_fit(ratings, SGD_K, MF_REG, 0.01, SGD_EPOCHS)
+    return spark.createDataFrame(hist, "iteration int, objective double").select(
+        "iteration", F.round("objective", MF_DIGITS).alias("objective"))
+
+
 def q_mf_als_fit(spark, sf_dir):
-    model = R.mf_als_fit(S.quantity_ratings(spark, sf_dir), rank=20, reg=0.2)
-    return model.itemFactors.select(F.col("id").cast("long").alias("item"),
-                                    F.size("features").alias("n_factors"))
+    """What the model is worth: its root mean squared error is under 0.8 of the
+    ratings' standard deviation, which their mean alone would have."""
+    ratings = S.quantity_ratings(spark, sf_dir).persist()
+    model = R.mf_als_fit(ratings, rank=20, reg=0.2)
+    scored = model.transform(ratings.select(F.col("user").cast("int"), F.col("item").cast("int"), "rating"))
+    err = F.col("rating") - F.col("prediction")
+    return scored.agg(F.count("prediction").alias("n"), F.count_distinct("user").alias("n_users"), F.count_distinct("item").alias("n_items"),
+                      (F.sqrt(F.avg(err * err)) < 0.8 * F.stddev_pop("rating")).alias("fits"))
 
 
 QUERIES.update({
@@ -342,6 +379,7 @@ QUERIES.update({
     "cf_hit_rate": q_cf_hit_rate,
     "mf_objective": q_mf_objective,
     "mf_gd_fit": q_mf_gd_fit,
+    "mf_sgd_fit": q_mf_sgd_fit,
     "mf_als_fit": q_mf_als_fit,
 })
 
@@ -349,7 +387,7 @@ QUERIES.update({
 # -- sketches, streaming, sinks, positional join ----------------------------
 
 
-CMS_TEST_BUCKETS = 200
+CMS_TEST_BUCKETS = 10_000
 
 
 def q_cms_sketch(spark, sf_dir):

@@ -89,7 +89,7 @@ ORACLES: dict[str, str] = {
 RANK_DIGITS = 10
 
 
-def _graph(event_type: str | None) -> str:
+def _graph(event_type: str | None = None) -> str:
     where = f"WHERE event_type = '{event_type}'" if event_type else ""
     return f"""
   ev AS (SELECT user_id, lead(user_id) OVER (ORDER BY ts, event_id) AS nxt
@@ -99,7 +99,7 @@ def _graph(event_type: str | None) -> str:
 
 
 def _friends(cond: str) -> str:
-    return f"""WITH {_graph('purchase')},
+    return f"""WITH {_graph()},
   adj AS (SELECT src, dst FROM g UNION SELECT dst, src FROM g),
   users AS (SELECT DISTINCT src AS user_id FROM adj),
   cand AS (SELECT a.dst AS user_id, b.dst AS candidate, count(*) AS n
@@ -399,8 +399,8 @@ FROM uh FULL JOIN ih ON uh.k = ih.k""",
                     "round(sse + reg, 3) AS objective FROM (" + _mf_obj(0, 0.2) + ")",
     "mf_gd_fit": _mf_gd(3, 0.2, 1e-4, 4),
     "mf_als_fit": """
-SELECT DISTINCT l_partkey AS item, 20 AS n_factors
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+SELECT count(*) AS n, count(DISTINCT cust) AS n_users, count(DISTINCT part) AS n_items, true AS fits
+FROM (SELECT DISTINCT o_custkey AS cust, l_partkey AS part FROM lineitem JOIN orders ON l_orderkey = o_orderkey)""",
 })
 
 
@@ -408,7 +408,7 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
 
 
 
-def _cms_cells(x: str, n_buckets: int = 200) -> str:
+def _cms_cells(x: str, n_buckets: int = 10_000) -> str:
     params = ", ".join(f"({h}, {a}, {b})" for h, (a, b) in enumerate(CMS_PARAMS))
     p = CMS_PRIME
     return f"""
@@ -427,7 +427,7 @@ _CMS_PROBE = """
                                      UNION ALL SELECT c_custkey FROM customer)),
   pcells AS (SELECT probe.id, hp.h,
                     CAST((((hp.a * (((probe.id % 123457) + 123457) % 123457) + hp.b) % 123457)
-                          + 123457) % 123457 % 200 AS INTEGER) AS bucket
+                          + 123457) % 123457 % 10000 AS INTEGER) AS bucket
              FROM probe, hp)"""
 
 ORACLES.update({
@@ -437,6 +437,8 @@ ORACLES.update({
 SELECT pcells.id, min(coalesce(sketch.n, 0)) AS estimate
 FROM pcells LEFT JOIN sketch ON sketch.h = pcells.h AND sketch.bucket = pcells.bucket
 GROUP BY pcells.id""",
+    "approx_distinct_per_key": """
+        SELECT event_type AS key, count(DISTINCT user_id) AS n, true AS within FROM events GROUP BY event_type""",
     "cms_distinct_ids": "SELECT count(DISTINCT l_partkey) AS n_ids FROM lineitem",
     "cms_stream_probe": f"""WITH {_cms_cells('SELECT user_id AS x FROM events')},{_CMS_PROBE}
 SELECT pcells.id, min(coalesce(sketch.n, 0)) AS estimate, (SELECT count(*) FROM events) AS seen

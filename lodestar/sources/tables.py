@@ -42,7 +42,7 @@ def succession_graph(spark: SparkSession, sf_dir: str, event_type: str | None =
 
     Events are ordered by ``(ts, event_id)``; each user points to the user
     of the next event (optionally only events of one type).  Self pairs are
-    dropped and edges de-duplicated (U1).  G1 = purchases, G2 = all types.
+    dropped and edges de-duplicated (U1).
     """
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
     if event_type is not None:

@@ -3,16 +3,17 @@
 One pass over the stream: each event becomes its five cells (stateless),
 and ``groupBy(h, bucket).count()`` keeps the sketch as streaming state.
 The state holds at most ``len(params) * n_buckets`` keys, so no watermark
-is needed (the stream carries no event time) and ``complete`` output mode
-re-emits a bounded table.  The streaming checkpoint lives under the shared
-``spark.checkpoint.dir`` so a restarted query resumes from its offsets and
-state.
+is needed (the stream carries no event time).  The streaming checkpoint
+lives under the shared ``spark.checkpoint.dir`` so a restarted query resumes
+from its offsets and state.
+
+The query itself emits nothing: once drained, its state is read from the
+checkpoint by the state data source, a batch scan over the state store's
+partitions.  No cell passes through the driver, and no sink is needed.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -23,22 +24,20 @@ from lodestar.operators.sketch import cms_sketch
 from lodestar.session import scratch_path
 
 
-def cms_stream_query(stream: DataFrame, col: str, n_buckets: int = CMS_BUCKETS,
-                     name: str | None = None, checkpoint: str | None = None):
-    """Start the streaming sketch into a bounded in-memory table ``name``.
-
-    Returns the started ``StreamingQuery``; callers pick the trigger by
-    ``availableNow`` (drain and stop) in :func:`cms_stream`.
-    """
-    spark = stream.sparkSession
-    name = name or f"cms_{uuid.uuid4().hex}"
-    checkpoint = checkpoint or scratch_path(spark, "cms-stream")
-    sketch = cms_sketch(stream, col, n_buckets)
-    return (sketch.writeStream.outputMode("complete").format("memory").queryName(name)
+def cms_stream_query(stream: DataFrame, col: str, checkpoint: str, n_buckets: int = CMS_BUCKETS):
+    """Start the streaming sketch: it drains what is there (``availableNow``) and
+    keeps the cells' counts as state below ``checkpoint``."""
+    return (cms_sketch(stream, col, n_buckets).writeStream.outputMode("update").format("noop")
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
+def drained_sketch(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The sketch ``(h, bucket, n)`` that a drained query left in its state."""
+    state = spark.read.format("statestore").load(checkpoint)
+    return state.select("key.h", "key.bucket", F.col("value.count").alias("n"))
+
+
 def cms_stream(spark: SparkSession, source_dir: str, file_glob: str | None, schema: StructType | None,
                col: str, n_buckets: int = CMS_BUCKETS, timeout_s: float | None = None,
                fmt: str = "parquet", checkpoint: str | None = None,
@@ -66,10 +65,11 @@ def cms_stream(spark: SparkSession, source_dir: str, file_glob: str | None, sche
             rtrim_ws("value").cast("long").alias(col))
     else:
         stream = reader.schema(schema).format(fmt).load(path).select(col)
-    q = cms_stream_query(stream, col, n_buckets, checkpoint=checkpoint)
+    checkpoint = checkpoint or scratch_path(spark, "cms-stream")
+    q = cms_stream_query(stream, col, checkpoint, n_buckets)
     if q.awaitTermination(timeout_s) is False:
         q.stop()
         raise TimeoutError(f"the stream was not drained within {timeout_s} s")
     if q.exception() is not None:
         raise RuntimeError(f"streaming sketch failed: {q.exception()}")
-    return spark.table(q.name)
+    return drained_sketch(spark, checkpoint)
