@@ -94,9 +94,8 @@ def test_against_brute_force(spark):
             line.append(w.upper() if rng.random() < 0.1 else w)
         rows.append((None if i % 50 == 0 else i % 1400, rng.choice([" ", "-", "ł", "1", "\n"]).join(line)))
     rows += [(1, None), (2, ""), (3, "1234 €"), (4, "lang" * 30_000), (5, "zz" * 40 + " " + "zz" * 40 + "y")]
-    for noise in (199, 3):
-        want = brute(rows, noise=noise)
-        assert len(want) > 100 and run(spark, rows, noise=noise) == want
+    want = brute(rows, noise=3)
+    assert len(want) > 100 and run(spark, rows, noise=3) == want
     # intervals halved again and again give the same pairs
     assert run(spark, rows, limit=3) == brute(rows)
     assert run(spark, []) == [] and run(spark, [(1, "short")] * 9) == []
