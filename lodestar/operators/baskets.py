@@ -15,7 +15,8 @@ Plan shape, one level per shuffle:
 Because items are pruned to frequent ones before any pair is formed, a
 basket holding m frequent items yields m(m-1)/2 pair rows, bounded by the
 size of the frequent-item set, not by the basket length. The pairs of a basket of
-more than ``BLOCK_ITEMS`` such items are made in cells, each by a task of its own.
+more than ``BLOCK_ITEMS`` such items are made in cells, each by a task of its own. Where the frequent items allow more pairs than ``PAIR_BUCKETS``, a
+first pass counts hashed pairs and its bitmap drops pairs before they are counted.
 """
 
 from __future__ import annotations
@@ -90,12 +91,51 @@ def _basket_pairs(occ: DataFrame, basket_cols: Sequence[str], block: int | None
     return cold.unionByName(pairs.select(*cols, "item_a", "item_b"))
 
 
+#: Buckets of hashed pairs (a power of two, at least 64). The bitmap has one bit a bucket.
+PAIR_BUCKETS = 1 << 22
+
+
+def pair_bitmap(pairs: DataFrame, min_support: int, buckets: int) -> DataFrame:
+    """``(word, bits)``: bit ``h % 64`` of word ``h / 64`` is set if the pairs that hash
+    to bucket h number at least ``min_support``. A frequent pair's bucket always does.
+    A task sends at most ``buckets`` counts; the bitmap has at most ``buckets / 64`` rows."""
+    full = (pairs.groupBy(_pair_bucket(buckets).alias("_h")).agg(F.count(F.lit(1)).alias("_n"))
+            .filter(F.col("_n") >= min_support))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("_h", F.lit(64)).cast("int"))
+    return full.groupBy(F.shiftright("_h", 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
+
+
+def _pair_bucket(buckets: int):
+    return F.pmod(F.xxhash64("item_a", "item_b"), F.lit(buckets))
+
+
+def _in_bitmap(pairs: DataFrame, bitmap: DataFrame, buckets: int) -> DataFrame:
+    h = pairs.withColumn("_h", _pair_bucket(buckets))
+    bitmap = F.broadcast(bitmap.withColumnRenamed("bits", "_bits").withColumnRenamed("word", "_word"))
+    hit = F.call_function("getbit", F.col("_bits"), F.pmod("_h", F.lit(64)).cast("int")) == 1
+    return (h.join(bitmap, F.shiftright("_h", 6) == F.col("_word")).filter(hit)
+            .drop("_h", "_word", "_bits"))
+
+
 def pair_support(items: DataFrame, basket_cols: Sequence[str], min_support: int,
-                 freq_items: DataFrame | None = None) -> DataFrame:
-    """A5: ``(item_a, item_b, n)`` for frequent pairs, ``item_a < item_b``."""
+                 freq_items: DataFrame | None = None, buckets: int | None = None) -> DataFrame:
+    """A5: ``(item_a, item_b, n)`` for frequent pairs, ``item_a < item_b``.
+
+    f frequent items allow f(f-1)/2 pairs, and a task's partial counts hold as many rows.
+    Up to ``buckets`` of them are counted at once. Beyond, pairs are hashed and counted by
+    bucket first; only pairs of buckets that reach the support (``pair_bitmap``) are
+    counted by name, so pairs that can't be frequent never reach the shuffle. Both
+    ways give the same rows.
+    """
+    buckets = buckets or PAIR_BUCKETS
+    if buckets < 64 or buckets & (buckets - 1):
+        raise ValueError("buckets must be a power of two, at least 64")
     if freq_items is None:
         freq_items = item_support(items, min_support).persist()
     pairs = _basket_pairs(_frequent_occurrences(items, freq_items), basket_cols)
+    f = freq_items.count()
+    if f * (f - 1) // 2 > buckets:
+        pairs = _in_bitmap(pairs, pair_bitmap(pairs, min_support, buckets), buckets)
     return (pairs.groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("n"))
             .filter(F.col("n") >= min_support))
 

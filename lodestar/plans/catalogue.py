@@ -90,6 +90,14 @@ def q_pair_support(spark, sf_dir):
     return B.pair_support(items, S.BASKET_COLS, support)
 
 
+def q_order_pair_support(spark, sf_dir):
+    """Parts ordered together at least twice; the parts allow far more pairs than
+    the buckets, so the bitmap of hashed pairs is at work."""
+    items = (S.table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_partkey").alias("item"))
+             .distinct().persist(StorageLevel.MEMORY_AND_DISK))
+    return B.pair_support(items, ["l_orderkey"], 2, buckets=1 << 16)
+
+
 def q_pair_rules(spark, sf_dir):
     items, support = _basket_setup(spark, sf_dir)
     freq_items = B.item_support(items, support).persist()
@@ -128,6 +136,7 @@ QUERIES: dict[str, Query] = {
     "short_records": q_short_records,
     "item_support": q_item_support,
     "pair_support": q_pair_support,
+    "order_pair_support": q_order_pair_support,
     "pair_rules": q_pair_rules,
     "triple_support": q_triple_support,
     "triple_rules": q_triple_rules,

@@ -68,6 +68,11 @@ ORACLES: dict[str, str] = {
         FROM events GROUP BY user_id""",
     "item_support": f"WITH {_BASKET_ITEMS} SELECT item, n FROM fi",
     "pair_support": f"WITH {_BASKET_ITEMS} SELECT item_a, item_b, n FROM fp",
+    "order_pair_support": """
+        WITH o AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem)
+        SELECT x.l_partkey AS item_a, y.l_partkey AS item_b, count(*) AS n
+        FROM o x JOIN o y ON x.l_orderkey = y.l_orderkey AND x.l_partkey < y.l_partkey
+        GROUP BY 1, 2 HAVING count(*) >= 2""",
     "pair_rules": f"""WITH {_BASKET_ITEMS}
         SELECT lhs || '->' || rhs AS rule, lhs, rhs, r.n, r.n / fi.n AS confidence
         FROM (SELECT item_a AS lhs, item_b AS rhs, n FROM fp

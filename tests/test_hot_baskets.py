@@ -1,5 +1,8 @@
 import random
+from collections import Counter
+from itertools import combinations
 
+import pytest
 from conftest import rows
 from lodestar.operators import baskets as B
 from lodestar.operators import text as T
@@ -43,3 +46,35 @@ def test_sketches_merge_and_stay_near(spark):
     assert all(abs(got[k] - n) <= T.sketch_error() * n for k, n in want.items())
     again = {r["key"]: r.n for r in T.sketch_estimate(T.merge_sketches(*parts, parts[0])).collect()}
     assert again == got  # what is merged twice counts once
+
+
+def test_the_bitmap_loses_no_frequent_pair(spark):
+    items = baskets(spark)
+    held = {}
+    for basket, item in rows(items):
+        held.setdefault(basket, []).append(item)
+    counts = Counter(p for members in held.values() for p in combinations(sorted(members), 2))
+    for support in (2, 4, 1000):
+        want = sorted((a, b, n) for (a, b), n in counts.items() if n >= support)
+        for buckets in (64, 4096, 1 << 22):
+            assert rows(B.pair_support(items, ["basket"], support, buckets=buckets)) == want
+
+
+def test_the_bitmap_drops_pairs_before_they_are_counted(spark):
+    """Most pairs of many small baskets occur once: few pass, and the pairs counted by
+    name are those behind the broadcast bitmap."""
+    items = spark.range(60_000).selectExpr("id div 6 as basket", "xxhash64(id) % 900 as item").distinct()
+    pairs = B._basket_pairs(items, ["basket"])
+    bitmap = B.pair_bitmap(pairs, 12, 1 << 16)
+    kept = B._in_bitmap(pairs, bitmap, 1 << 16)
+    assert kept.columns == pairs.columns and kept.count() < 0.05 * pairs.count()
+    plan = B.pair_support(items, ["basket"], 2, buckets=64)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_bucket_numbers_are_checked_and_empty_tables_give_none(spark):
+    items = baskets(spark)
+    for bad in (1, 100):
+        with pytest.raises(ValueError):
+            B.pair_support(items, ["basket"], 2, buckets=bad)
+    assert B.pair_support(items.limit(0), ["basket"], 2, buckets=64).count() == 0
