@@ -17,6 +17,7 @@ from lodestar.operators import cluster as K
 from lodestar.operators import graph as G
 from lodestar.operators import joins as J
 from lodestar.operators import linear as L
+from lodestar.operators import packed as P
 from lodestar.operators import recommend as R
 from lodestar.operators import sgd as SGD
 from lodestar.operators import sketch as C
@@ -167,12 +168,12 @@ def q_friends_list_order(spark, sf_dir):
 
 
 def q_pagerank_edge(spark, sf_dir):
-    ranks = G.pagerank_edge(_g2(spark, sf_dir), rounds=10, damping=0.85)
+    ranks = P.pagerank_edge(_g2(spark, sf_dir), rounds=10, damping=0.85)
     return ranks.select("page", F.round("rank", RANK_DIGITS).alias("rank"))
 
 
 def _power_ranks(spark, sf_dir):
-    return G.pagerank_power(_g2(spark, sf_dir), rounds=40, beta=0.8)
+    return P.pagerank_power(_g2(spark, sf_dir), rounds=40, beta=0.8)
 
 
 def q_pagerank_power(spark, sf_dir):
@@ -180,7 +181,7 @@ def q_pagerank_power(spark, sf_dir):
 
 
 def q_hits_scores(spark, sf_dir):
-    hs = G.hits(_g2(spark, sf_dir), rounds=40)
+    hs = P.hits(_g2(spark, sf_dir), rounds=40)
     return hs.select("page", F.round("hub", RANK_DIGITS).alias("hub"),
                      F.round("authority", RANK_DIGITS).alias("authority"))
 
