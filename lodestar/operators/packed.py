@@ -15,8 +15,8 @@ A block's edges are salted by a hash of the destination into groups of at most a
 ``GROUP_EDGES`` edges; a page that holds a third of all edges is spread over as many groups,
 and its block's scores are repeated once a group. A destination has at most
 ``BLOCK_PAGES`` edges from one block, so no group outgrows its bound by more than that.
-What a task holds is a group's edges, or one block's scores. A graph that is a single group
-(fewer than ``GROUP_EDGES`` edges) makes its rounds in one stage, without an exchange.
+What a task holds is a group's edges, or one block's scores. A round costs two stages
+however small the graph is; for graphs that fit a broadcast, ``operators.graph`` is quicker.
 
 Edges with a null end are left out; repeated edges and loops count once (U1). An empty
 edge list gives no rows.
@@ -131,7 +131,7 @@ class PackedGraph:
         cells, _ = flow
         z = scores.select("blk", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("salt"), "z")
         sums = (cells.groupBy("sb", "salt").cogroup(
-            self._dealt(z, self.parts, "blk", "salt").groupBy("blk", "salt")).applyInArrow(_send, _PARTIAL_SQL))
+            z.repartition(self.parts, "blk", "salt").groupBy("blk", "salt")).applyInArrow(_send, _PARTIAL_SQL))
         return self._settle((nxt or flow)[1].unionByName(sums), update, weighted)
 
     def _settle(self, rows: DataFrame, update, weighted: bool) -> DataFrame:
@@ -162,14 +162,9 @@ class PackedGraph:
                 yield block(*held)
 
         parts = max(1, min(self.parts, self.blocks))
-        return (self._dealt(rows, parts, "db").sortWithinPartitions("db", "sb", "salt")
+        return (rows.repartition(parts, "db").sortWithinPartitions("db", "sb", "salt")
                 .mapInArrow(add_up, "blk int, groups int, x array<double>, z array<double>, top double"))
 
-    def _dealt(self, df: DataFrame, parts: int, *keys: str) -> DataFrame:
-        """``df`` in ``parts`` by ``keys``. A graph of a single group needs no exchange:
-        its rounds up to a cut are one stage."""
-        return df.coalesce(1) if self.parts == 1 else df.repartition(parts, *keys)
-
     def values(self, scores: DataFrame, name: str) -> DataFrame:
         """Long form ``(idx, name)``."""
         return scores.select("blk", F.posexplode("x").alias("o", name)).select(

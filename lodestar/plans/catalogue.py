@@ -150,6 +150,9 @@ QUERIES: dict[str, Query] = {
 
 RANK_DIGITS = 10
 
+#: Rounds of the queries over packed blocks.
+PACKED_ROUNDS = 10
+
 
 def _g1_friends(spark, sf_dir):
     return S.undirected(S.succession_graph(spark, sf_dir))
@@ -168,12 +171,12 @@ def q_friends_list_order(spark, sf_dir):
 
 
 def q_pagerank_edge(spark, sf_dir):
-    ranks = P.pagerank_edge(_g2(spark, sf_dir), rounds=10, damping=0.85)
+    ranks = G.pagerank_edge(_g2(spark, sf_dir), rounds=10, damping=0.85)
     return ranks.select("page", F.round("rank", RANK_DIGITS).alias("rank"))
 
 
 def _power_ranks(spark, sf_dir):
-    return P.pagerank_power(_g2(spark, sf_dir), rounds=40, beta=0.8)
+    return G.pagerank_power(_g2(spark, sf_dir), rounds=40, beta=0.8)
 
 
 def q_pagerank_power(spark, sf_dir):
@@ -181,7 +184,18 @@ def q_pagerank_power(spark, sf_dir):
 
 
 def q_hits_scores(spark, sf_dir):
-    hs = P.hits(_g2(spark, sf_dir), rounds=40)
+    hs = G.hits(_g2(spark, sf_dir), rounds=40)
+    return hs.select("page", F.round("hub", RANK_DIGITS).alias("hub"),
+                     F.round("authority", RANK_DIGITS).alias("authority"))
+
+
+def q_pagerank_packed(spark, sf_dir):
+    ranks = P.pagerank_power(_g2(spark, sf_dir), rounds=PACKED_ROUNDS, beta=0.8)
+    return ranks.select("page", F.round("rank", RANK_DIGITS).alias("rank"))
+
+
+def q_hits_packed(spark, sf_dir):
+    hs = P.hits(_g2(spark, sf_dir), rounds=PACKED_ROUNDS)
     return hs.select("page", F.round("hub", RANK_DIGITS).alias("hub"),
                      F.round("authority", RANK_DIGITS).alias("authority"))
 
@@ -196,6 +210,8 @@ QUERIES.update({
     "pagerank_edge": q_pagerank_edge,
     "pagerank_power": q_pagerank_power,
     "hits_scores": q_hits_scores,
+    "pagerank_packed": q_pagerank_packed,
+    "hits_packed": q_hits_packed,
     "rank_extremes": q_rank_extremes,
 })
 

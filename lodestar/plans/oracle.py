@@ -183,6 +183,8 @@ GROUP BY u.user_id""",
     "pagerank_edge": _pagerank_edge(10, 0.85),
     "pagerank_power": _pagerank_power_ctes(40, 0.8) + "\nSELECT page, rank FROM pr",
     "hits_scores": _hits(40),
+    "pagerank_packed": _pagerank_power_ctes(10, 0.8) + "\nSELECT page, rank FROM pr",
+    "hits_packed": _hits(10),
     "rank_extremes": _pagerank_power_ctes(40, 0.8) + f""",
   px AS (SELECT page, {significant_sql('rank')} AS rank FROM r40)
 SELECT 'bottom' AS side, row_number() OVER (ORDER BY rank, page) AS pos, page
