@@ -22,6 +22,7 @@ from lodestar.operators import recommend as R
 from lodestar.operators import sgd as SGD
 from lodestar.operators import sketch as C
 from lodestar.operators import text as T
+from lodestar.plans import layouts
 from lodestar.session import scratch_path
 from lodestar.sources import sinks as IO
 from lodestar.sources import tables as S
@@ -480,3 +481,4 @@ QUERIES.update({
     "sink_roundtrip": q_sink_roundtrip,
     "positional_join": q_positional_join,
 })
+QUERIES.update(layouts.QUERIES)

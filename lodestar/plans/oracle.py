@@ -473,3 +473,59 @@ FROM truth JOIN est USING (id)""",
     "positional_join": """
         SELECT row_number() OVER (ORDER BY doc_id) - 1 AS idx, quality, toxic FROM labels""",
 })
+
+
+# -- text layouts -----------------------------------------------------------
+
+_BY_DOC = "row_number() OVER (ORDER BY doc_id) - 1 AS row_id"
+
+ORACLES.update({
+    "adjacency_layout": """
+        SELECT src, dst, CAST(pos AS INTEGER) AS pos, count(*) AS n FROM (
+            SELECT l_orderkey AS src, l_partkey AS dst, 0 AS pos, l_returnflag FROM lineitem
+            UNION ALL SELECT l_orderkey, l_suppkey, 1, l_returnflag FROM lineitem
+            UNION ALL SELECT l_orderkey, CAST(l_linenumber AS BIGINT), 2, l_returnflag FROM lineitem)
+        WHERE l_returnflag <> 'A' GROUP BY 1, 2, 3""",
+    "edges_tab_layout": """
+        SELECT l_partkey AS src, l_suppkey AS dst, count(*) AS n FROM lineitem GROUP BY 1, 2""",
+    "edges_ws_layout": """
+        SELECT CAST(user_id AS VARCHAR) AS src, event_type AS dst, count(*) AS n FROM events
+        WHERE event_type <> 'click' GROUP BY 1, 2""",
+    "ratings_layout": """
+        SELECT l_orderkey AS "user", l_partkey AS item, sum(CAST(CAST(l_quantity AS INTEGER) AS DOUBLE)) AS rating
+        FROM lineitem GROUP BY 1, 2""",
+    "vectors_layout": """
+        SELECT id, CAST(unnest(range(0, len(embedding))) AS INTEGER) AS d, CAST(unnest(embedding) AS DOUBLE) AS x
+        FROM (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS id, embedding FROM embeddings)""",
+    "dense_matrix_layout": f"""
+        SELECT row_id, CAST(col AS BIGINT) AS col_id, CAST(v AS INTEGER) AS value FROM (
+            SELECT {_BY_DOC}, 0 AS col, toxic AS v FROM labels
+            UNION ALL SELECT {_BY_DOC}, 1, quality FROM labels)
+        WHERE v <> 0""",
+    "int_rows_layout": f"""
+        SELECT {_BY_DOC}, CAST(toxic AS DOUBLE) AS toxic, CAST(quality AS DOUBLE) AS quality FROM labels""",
+    "names_layout": """
+        SELECT item, n, p_name AS name
+        FROM (SELECT l_partkey AS item, count(*) AS n FROM lineitem GROUP BY 1)
+        LEFT JOIN (SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS idx, p_name FROM part) ON idx = item""",
+    "counts_layout": "SELECT user_id AS event_id, count(*) AS n FROM events GROUP BY 1",
+    "item_counts_layout": """
+        SELECT l_returnflag AS a, l_linestatus AS b, count(*) AS n FROM lineitem GROUP BY 1, 2""",
+    "centroids_layout": """
+        SELECT CAST(dense_rank() OVER (ORDER BY label) - 1 AS INTEGER) AS cluster, CAST(d AS INTEGER) AS d, x
+        FROM (SELECT label, d, max(x) AS x
+              FROM (SELECT label, unnest(range(0, len(embedding))) AS d, CAST(unnest(embedding) AS DOUBLE) AS x
+                    FROM embeddings) GROUP BY 1, 2)""",
+    "iterations_layout": """
+        SELECT l_linenumber AS iteration, l_returnflag,
+               CASE WHEN l_linenumber = 1 THEN -count(*) ELSE count(*) END AS n
+        FROM lineitem GROUP BY 1, 2""",
+    "sorted_part_files": f"""
+        SELECT row_number() OVER (ORDER BY token) - 1 AS idx, token
+        FROM (SELECT DISTINCT token
+              FROM (SELECT unnest({_SPLIT.format(c='text')}) AS token FROM documents))""",
+    "single_sorted_file": f"""
+        SELECT row_number() OVER (ORDER BY letter) - 1 AS idx, letter, n, CAST(1 AS BIGINT) AS files
+        FROM ({ORACLES["first_letter_count"]})""",
+    "kmeans_assign_nan": f"SELECT * FROM ({ORACLES['kmeans_assign_l2']}) WHERE vec_id % 7 <> 3",
+})
