@@ -2,6 +2,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from lodestar.plans import layouts
 from lodestar.sources.tables import TABLES
 
 SMOKE = "/root/testdata/sf0.001"
@@ -20,7 +21,8 @@ def test_every_oracle_has_a_query():
 FAST = ["word_count", "first_letter_count", "distinct_count_per_key", "pair_rules",
         "triple_rules", "friends_symmetric", "friends_list_order", "pagerank_edge",
         "kmeans_assign_l2", "svm_cost_gradient", "cf_user_user", "cf_item_item",
-        "cms_estimate", "cms_error", "positional_join"]
+        "cms_estimate", "cms_error", "positional_join", "order_pair_support", "pagerank_packed",
+        "hits_packed", *layouts.QUERIES]
 
 
 @pytest.mark.parametrize("name", FAST)
