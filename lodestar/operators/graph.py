@@ -12,11 +12,19 @@ sums per round.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.functions.vectors import significant
+from lodestar.operators.sequence import with_global_index
+from lodestar.plans.guards import bounded_broadcast
 from lodestar.plans.iterate import LineageCutter
 from lodestar.plans.skew import hot_keys, salt_big, salt_small
 
@@ -31,57 +39,248 @@ def _partitions(df: DataFrame) -> int:
 
 # -- friend recommendation (M6) --------------------------------------------
 
-def _two_hop(adj: DataFrame, mode: str) -> DataFrame:
-    """``(user_id, candidate)`` rows, one per shared neighbour; in
-    ``symmetric`` mode only those with ``user_id < candidate`` (the caller
-    mirrors their counts).
+#: Pairs that a block of users has on average at most; a task counts a block at a time.
+BLOCK_PAIRS = 1 << 22
+
+#: Entries of a list that travel in a row; longer lists are several rows.
+LIST_PIECE = 2048
+
+_SENT = pa.schema([("blk", pa.int32()), ("direct", pa.bool_()), ("users", pa.binary()), ("list", pa.binary()),
+                   ("user_at", pa.binary()), ("list_at", pa.binary())])
+_SENT_SQL = "blk int, direct boolean, users binary, list binary, user_at binary, list_at binary"
+
+
+def _send_lists(batches: Iterator[pa.RecordBatch], blocks: int, placed: bool, nameless: int) -> Iterator[pa.RecordBatch]:
+    """Rows (s, d[, at]) in order of s -> each user's list, in pieces, once to every
+    block that one of its members is in, beside those members, and once to the
+    user's own block as ``direct`` friends."""
+    names = ["s", "d", "at"] if placed else ["s", "d"]
+    out: list[tuple] = []
+    size = 0
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        nonlocal size
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _SENT, strict=True)], schema=_SENT)
+        out.clear()
+        size = 0
+
+    def close(s: int, d: np.ndarray, at: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+        nonlocal size
+        place = None if at is None else np.unique(at, return_inverse=True)[1].astype(np.int32)
+        blk = d % blocks
+        order = np.argsort(blk, kind="stable")
+        first = np.flatnonzero(np.diff(blk[order], prepend=-1))
+        cuts = [*(4 * first).tolist(), 4 * len(d)]
+        users, user_at = d[order].tobytes(), None if place is None else place[order].tobytes()
+        to = blk[order[first]].tolist()
+        own = np.array([s], np.int32).tobytes()
+        known = d[d != nameless]
+        for a in range(0, len(known), LIST_PIECE):
+            out.append((s % blocks, True, own, known[a:a + LIST_PIECE].tobytes(), None, None))
+        for a in range(0, len(d), LIST_PIECE):
+            piece, piece_at = d[a:a + LIST_PIECE].tobytes(), None if place is None else place[a:a + LIST_PIECE].tobytes()
+            for b, x, y in zip(to, cuts, cuts[1:], strict=False):
+                out.append((b, False, users[x:y], piece, None if place is None else user_at[x:y], piece_at))
+                size += len(piece) + y - x
+                if size > 4 << 20:
+                    yield from flush()
+
+    held: list[list[np.ndarray]] = []
+    for batch in batches:
+        cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in names]
+        cuts = [0, *(np.flatnonzero(np.diff(cols[0])) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            if a == b:
+                continue
+            if held and held[-1][0][0] != cols[0][a]:
+                yield from close(*_joined(held))
+                held = []
+            held.append([c[a:b] for c in cols])
+    if held:
+        yield from close(*_joined(held))
+    yield from flush()
+
+
+def _joined(held: list[list[np.ndarray]]) -> tuple[int, np.ndarray, np.ndarray | None]:
+    s, d, *at = (np.concatenate(c) if len(held) > 1 else c[0] for c in zip(*held, strict=True))
+    return int(s[0]), d.astype(np.int32), at[0] if at else None
+
+
+def _int32s(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets (in numbers) and numbers of a column of packed arrays."""
+    n = len(column)
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + n + 1].astype(np.int64) // 4
+    return offsets, np.frombuffer(column.buffers()[2] or b"", np.int32)
+
+
+def _pair_keys(batch: pa.RecordBatch, blocks: int, n: int, larger: bool) -> Iterator[np.ndarray]:
+    """Of rows of one block: ``user // blocks * n + member`` of each user beside each
+    member of its row's list, at most about 2 * ``BLOCK_PAIRS`` at a time."""
+    (uo, users), (lo, members) = _int32s(batch.column("users")), _int32s(batch.column("list"))
+    rows = np.repeat(np.arange(len(batch)), np.diff(uo))  # the row of each user
+    users = users[uo[0]:uo[-1]]
+    placed = batch.column("user_at").null_count < len(batch)
+    if placed:
+        _, user_at = _int32s(batch.column("user_at"))
+        _, list_at = _int32s(batch.column("list_at"))
+        at0, lat0 = np.frombuffer(batch.column("user_at").buffers()[1], np.int32)[batch.column("user_at").offset] // 4, lo[0]
+        user_at = user_at[at0:at0 + len(users)]
+        shift = np.frombuffer(batch.column("list_at").buffers()[1], np.int32)[batch.column("list_at").offset] // 4 - lat0
+    size = np.diff(lo)[rows]
+    ends = np.cumsum(size)
+    a = 0
+    while a < len(users):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + BLOCK_PAIRS, "right")))
+        own = size[a:b]
+        at = np.arange(own.sum()) + np.repeat(lo[rows[a:b]] - (np.cumsum(own) - own), own)
+        user, member = np.repeat(users[a:b].astype(np.int64), own), members[at]
+        if placed:
+            keep = np.repeat(user_at[a:b], own) < list_at[at + shift]
+        else:
+            keep = member > user if larger else member != user
+        yield (user // blocks * n + member)[keep]
+        a = b
+
+
+class _Counts:
+    """Counts by key: a table where all keys of a block are few, else sorted runs."""
+
+    def __init__(self, cells: int):
+        self.table = np.zeros(cells, np.int64) if cells <= BLOCK_PAIRS else None
+        self.keys, self.n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.held: list[np.ndarray] = []
+        self.size = 0
+
+    def add(self, keys: np.ndarray) -> None:
+        if self.table is not None:
+            self.table += np.bincount(keys, minlength=len(self.table))
+            return
+        self.held.append(keys)
+        self.size += len(keys)
+        if self.size > max(BLOCK_PAIRS, len(self.keys)):
+            self.merge()
+
+    def merge(self) -> None:
+        new = np.sort(np.concatenate([*self.held, self.keys[:0]]))
+        self.held, self.size = [], 0
+        first = np.flatnonzero(np.diff(new, prepend=-1))
+        keys, n = new[first], np.diff(np.append(first, len(new)))
+        if len(self.keys):
+            both, n = np.concatenate([self.keys, keys]), np.concatenate([self.n, n])
+            order = np.argsort(both, kind="stable")
+            both = both[order]
+            first = np.flatnonzero(np.diff(both, prepend=-1))
+            keys, n = both[first], np.add.reduceat(n[order], first)
+        self.keys, self.n = keys, n
+
+    def done(self) -> tuple[np.ndarray, np.ndarray]:
+        if self.table is not None:
+            keys = np.flatnonzero(self.table)
+            return keys, self.table[keys]
+        self.merge()
+        return self.keys, self.n
+
+
+def _count_block(batches: Iterator[pa.RecordBatch], blocks: int, n: int, top_n: int, larger: bool) -> Iterator[pa.RecordBatch]:
+    """Rows of ``_send_lists`` in order of the block -> each user's ``top_n`` best."""
+    cells = -(-n // blocks) * n
+
+    def best(blk: int, counts: _Counts, direct: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        keys, shared = counts.done()
+        if direct and len(keys):
+            friends = np.unique(np.concatenate(direct))
+            at = np.minimum(np.searchsorted(friends, keys), len(friends) - 1)
+            stranger = friends[at] != keys
+            keys, shared = keys[stranger], shared[stranger]
+        user = keys // n
+        order = np.lexsort((keys, -shared, user))
+        first = np.flatnonzero(np.diff(user[order], prepend=-1))
+        place = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
+        order = order[place < top_n]
+        yield pa.RecordBatch.from_arrays([pa.array(user[order] * blocks + blk), pa.array(keys[order] % n), pa.array(shared[order])],
+                                         names=["u", "c", "n"])
+
+    counts, direct, at = None, [], None
+    for batch in batches:
+        blks = batch.column("blk").to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(blks)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            if a == b:
+                continue
+            if blks[a] != at:
+                if counts:
+                    yield from best(at, counts, direct)
+                at, counts, direct = int(blks[a]), _Counts(cells), []
+            part = batch.slice(a, b - a)
+            is_direct = part.column("direct")
+            for some, listed in ((part.filter(is_direct), True), (part.filter(pc.invert(is_direct)), False)):
+                if not len(some):
+                    continue
+                if listed:
+                    (_, users), (lo, members) = _int32s(some.column("users")), _int32s(some.column("list"))
+                    uo = _int32s(some.column("users"))[0]
+                    direct.append(np.repeat(users[uo[:-1]].astype(np.int64) // blocks * n, np.diff(lo)) + members[lo[0]:lo[-1]])
+                else:
+                    for keys in _pair_keys(some, blocks, n, larger):
+                        counts.add(keys)
+    if counts:
+        yield from best(at, counts, direct)
+
+
+def _two_hop_counts(adj: DataFrame, mode: str, top_n: int) -> DataFrame:
+    """``(user_id, candidate, n)``: shared neighbours of the ``top_n`` best
+    non-friends of each user (all of them are counted, exactly).
 
     ``symmetric``: both directions; ``list_order``: the reference's
     one-directional emission, friend i -> friend j only for j after i in
     the list (column ``pos`` when present, else id order -- with id-sorted
     lists only larger ids are offered, N3).
 
-    A hub of degree d yields about d^2 rows.  Hubs that make more than half an
-    average partition of the output are split explicitly: one side of the
-    join is salted by a hash of the user, the other repeats the hub's rows
-    once per salt (salts proportional to the hub's output), so the d^2 rows
-    are produced by many tasks instead of one.
+    A user of degree d shares d^2 pairs. They are never rows: users get dense numbers
+    and are dealt over blocks, of which there are as many as pairs of ``BLOCK_PAIRS``.
+    A list goes once to each block that a member of it is in, and a task counts block
+    after block. It holds a block's distinct pairs, whatever the degrees.
     """
-    order = "pos" if "pos" in adj.columns else "dst"
+    placed = mode == "list_order" and "pos" in adj.columns
     parts = _partitions(adj)
-    hot = hot_keys(adj, "src", parts, power=2)
-    a = adj.select(F.col("src").alias("mid"), F.col("dst").alias("user_id"),
-                   F.col(order).alias("_oa"))
-    a = a.withColumn("_salt", salt_big("mid", hot, "user_id"))
-    b = adj.select(F.col("src").alias("mid"), F.col("dst").alias("candidate"),
-                   F.col(order).alias("_ob"))
-    b = b.withColumn("_salt", F.explode(salt_small("mid", hot)))
-    cond = (F.col("user_id") < F.col("candidate")) if mode == "symmetric" else (
-        F.col("_oa") < F.col("_ob"))
-    return a.join(b, ["mid", "_salt"]).filter(cond).select("user_id", "candidate")
+    names = adj.select(F.col("src").alias("page")).union(adj.select("dst")).distinct()
+    cut = LineageCutter(adj.sparkSession)
+    names = cut(with_global_index(names, ["page"], out="idx"), 0, force=True)
+    n = names.count()
+    nameless = names.filter(F.col("page").isNull()).first()
+    rows = adj.filter(F.col("src").isNotNull() & F.col("pos" if placed else "dst").isNotNull())
+    sizes = rows.groupBy("src").agg(F.count(F.lit(1)).cast("double").alias("d")).agg(F.sum("d"), F.sum(F.col("d") * F.col("d"))).first()
+    edges, pairs = int(sizes[0] or 0), sizes[1] or 0.0
+    blocks = max(parts, math.ceil(min(pairs, float(n) * n) / BLOCK_PAIRS))
+    s, d = (bounded_broadcast(names.select(F.col("page").alias(c), F.col("idx").alias(i)), known_rows=n)
+            for c, i in (("_src", "s"), ("_dst", "d")))
+    keys = ["s", "at", "d"] if placed else ["s", "d"]
+    numbered = rows.join(s, F.col("src") == F.col("_src")).join(d, F.col("dst").eqNullSafe(F.col("_dst")))
+    numbered = numbered.select("s", "d", *([F.col("pos").alias("at")] if placed else []))
+    void = nameless["idx"] if nameless else -1
+    sent = (numbered.repartition(max(parts, edges >> 21), "s").sortWithinPartitions(*keys)
+            .mapInArrow(lambda b: _send_lists(b, blocks, placed, void), _SENT_SQL))
+    larger = mode == "list_order"
+    tasks = min(blocks, max(parts, math.ceil(pairs / (16 * BLOCK_PAIRS))))
+    best = (sent.repartition(tasks, "blk").sortWithinPartitions("blk")
+            .mapInArrow(lambda b: _count_block(b, blocks, n, top_n, larger), "u long, c long, n long"))
+    user, candidate = (bounded_broadcast(names.select(F.col("page").alias(c), F.col("idx").alias(i)), known_rows=n)
+                       for c, i in (("user_id", "u"), ("candidate", "c")))
+    return best.join(user, "u").join(candidate, "c").select("user_id", "candidate", "n")
 
 
 def friend_candidates(adj: DataFrame, top_n: int = 10, mode: str = "symmetric") -> DataFrame:
     """``(user_id, candidate, n, rank)`` for the top ``top_n`` non-friends.
 
     ``adj`` holds one row per (user, friend) of each user's list.  Counts
-    are mutual friends (A7), partially aggregated before the shuffle; direct
-    friends are removed by an anti join (J4); ranking is count desc, id asc
-    (W1), which Spark plans with a partial per-user limit before the
-    exchange, so a user with very many candidates ships only ``top_n`` rows
-    per partition.
+    are mutual friends (A7), without direct friends (J4); ranking is count
+    desc, id asc (W1).  A user's pairs are counted in one place (see
+    ``_two_hop_counts``), which passes on ``top_n`` of them.
     """
     if mode not in ("symmetric", "list_order"):
         raise ValueError("mode must be 'symmetric' or 'list_order'")
-    adj = _cached(adj)
-    counts = (_two_hop(adj, mode).groupBy("user_id", "candidate")
-              .agg(F.count(F.lit(1)).alias("n")))
-    if mode == "symmetric":  # a shared neighbour is shared both ways
-        counts = counts.select(F.inline(F.array(
-            F.struct("user_id", "candidate", "n"),
-            F.struct(F.col("candidate").alias("user_id"), F.col("user_id").alias("candidate"), "n"))))
-    direct = adj.select(F.col("src").alias("user_id"), F.col("dst").alias("candidate"))
-    counts = counts.join(direct, ["user_id", "candidate"], "left_anti")
+    counts = _two_hop_counts(_cached(adj), mode, top_n)
     w = Window.partitionBy("user_id").orderBy(F.desc("n"), F.asc("candidate"))
     return (counts.withColumn("rank", F.row_number().over(w).cast("long"))
             .filter(F.col("rank") <= top_n))

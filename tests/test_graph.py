@@ -121,3 +121,30 @@ def test_list_order_follows_list_positions(spark):
     got = rows(G.recommend_friends(adj, 10, "list_order"), "user_id", "candidate", "n")
     # rows 1 and 4 emit 3 -> 2 (3 before 2), never 2 -> 3; 2 and 3 have a single friend
     assert got == [(1, None, None), (2, None, None), (3, 2, 2), (4, None, None)]
+
+
+@pytest.mark.parametrize("mode", ["symmetric", "list_order", "placed"])
+def test_friends_over_many_blocks_and_pieces(spark, monkeypatch, mode):
+    """Lists in pieces and users over many blocks, against a count of all pairs: a hub,
+    repeated friends, ties of places, nulls."""
+    import random
+    from collections import Counter
+
+    monkeypatch.setattr(G, "LIST_PIECE", 4)
+    monkeypatch.setattr(G, "BLOCK_PAIRS", 60)
+    rng = random.Random(3)
+    data = {(0, v, v % 7) for v in range(1, 50)} | {(rng.randrange(50), rng.randrange(50), rng.randrange(5)) for _ in range(160)}
+    data |= {(None, 3, 1), (None, 4, 2), (5, 8, None)} | ({(5, None, 1), (6, None, 2)} if mode == "placed" else {(5, None, 1)})
+    adj = spark.createDataFrame(list(data), "src long, dst long, pos int")
+    adj = adj if mode == "placed" else adj.drop("pos")
+    lists, friends = {}, {(s, d) for s, d, _ in data}
+    for s, d, p in data:
+        if s is not None:
+            lists.setdefault(s, []).append((d, p if mode == "placed" else d))
+    n = Counter((a, b) for own in lists.values() for a, pa_ in own for b, pb in own
+                if pa_ is not None and pb is not None and (a != b if mode == "symmetric" else pa_ < pb)
+                and (None in (a, b) or (a, b) not in friends))
+    got = G.friend_candidates(adj, 1000, "symmetric" if mode == "symmetric" else "list_order").collect()
+    assert {(r.user_id, r.candidate): r.n for r in got} == dict(n)
+    top = G.friend_candidates(adj, 2, "symmetric" if mode == "symmetric" else "list_order").collect()
+    assert sorted(map(str, top)) == sorted(str(r) for r in got if r["rank"] <= 2)
