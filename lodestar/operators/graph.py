@@ -343,8 +343,9 @@ class _Flow:
     * ``edges``: the cached edge list itself is small -- broadcast it; the
       score vector stays where the previous aggregation left it.
     * ``scores``: the node count is below the bound -- broadcast the score
-      vector each round; the cached edges keep their scan partitioning, so
-      no edge moves and a node of any degree is spread over all tasks.
+      vector each round. The cached edges are partitioned once by ``(to, salt)``,
+      hot ``to`` nodes salted by ``frm``, and summed there, so no edge moves and
+      a round shuffles one sum a node and salt, however many edges and tasks.
     * ``salted``: both are large -- hash-partition the edges once on
       ``(frm, salt)``; hot ``frm`` nodes (more than half an average
       partition) are salted by ``to`` into about one partition's worth of
@@ -361,20 +362,25 @@ class _Flow:
         self.mode = ("edges" if n_edges <= max_edges else
                      "scores" if nodes.count() <= max_nodes else "salted")
         self.links = links
-        if self.mode == "salted":
+        if self.mode != "edges":
             parts = _partitions(links)
-            self.hot = hot_keys(links, frm, parts)
-            self.links = (links.withColumn("_salt", salt_big(frm, self.hot, to))
-                          .repartition(parts, frm, "_salt")
+            key, other = (frm, to) if self.mode == "salted" else (to, frm)
+            self.hot = hot_keys(links, key, parts)
+            self.links = (links.withColumn("_salt", salt_big(key, self.hot, other))
+                          .repartition(parts, key, "_salt")
                           .persist(StorageLevel.MEMORY_AND_DISK))
+            self.links.count()  # a cache is known to be partitioned only once it is filled
 
     def spread(self, scores: DataFrame, value: str) -> DataFrame:
-        """``(page, c)``: ``value * w`` sent along every edge."""
+        """``(page, c)``: ``value * w`` sent along every edge (J9, X3), summed where
+        the edges of a page lie together."""
         if self.mode == "edges":
             lk = F.broadcast(self.links)
             j = lk.join(scores, lk[self.frm] == scores.page)
         elif self.mode == "scores":
             j = self.links.join(F.broadcast(scores), self.links[self.frm] == scores.page)
+            return (j.groupBy(self.to, "_salt").agg(F.sum(F.col(value) * F.col("w")).alias("c"))
+                    .select(F.col(self.to).alias("page"), "c"))
         else:
             sc = scores.withColumn("_s", F.explode(salt_small("page", self.hot)))
             j = self.links.join(sc, (self.links[self.frm] == sc.page)
@@ -382,7 +388,7 @@ class _Flow:
         return j.select(F.col(self.to).alias("page"), (F.col(value) * F.col("w")).alias("c"))
 
     def release(self) -> None:
-        if self.mode == "salted":
+        if self.mode != "edges":
             self.links.unpersist()
 
 

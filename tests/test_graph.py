@@ -148,3 +148,21 @@ def test_friends_over_many_blocks_and_pieces(spark, monkeypatch, mode):
     assert {(r.user_id, r.candidate): r.n for r in got} == dict(n)
     top = G.friend_candidates(adj, 2, "symmetric" if mode == "symmetric" else "list_order").collect()
     assert sorted(map(str, top)) == sorted(str(r) for r in got if r["rank"] <= 2)
+
+
+def test_rounds_shuffle_sums_not_partial_sums(spark, monkeypatch):
+    """With broadcast scores, edges lie by destination: a round's only exchange carries
+    one sum a page, however many tasks hold its edges."""
+    monkeypatch.setattr(G, "MAX_BROADCAST_EDGES", 0)
+    edges = spark.createDataFrame([(s, d) for s in range(60) for d in range(5)], "src long, dst long")
+    links = G._links(edges, weighted=False)
+    flow = G._Flow(links, "src", "dst", links.count(), G._nodes(links))
+    assert flow.mode == "scores"
+    scores = spark.createDataFrame([(s, 1.0) for s in range(60)], "page long, s double")
+    sent = flow.spread(scores, "s")
+    sent.collect()
+    plan = sent._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0]
+    assert "Exchange hashpartitioning" not in plan
+    assert sorted(map(tuple, sent.groupBy("page").agg(G.F.sum("c")).collect())) == [(d, 60.0) for d in range(5)]
+    flow.release()
+    links.unpersist()
