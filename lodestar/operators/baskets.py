@@ -63,6 +63,18 @@ def _plain_pairs(occ: DataFrame, keys: Sequence[str]) -> DataFrame:
     return x.join(y, list(keys)).filter(F.col("item_a") < F.col("item_b"))
 
 
+#: Pairs that a task makes or counts, on average, where pairs are many.
+TASK_PAIRS = 1 << 21
+
+
+def _tasks(occ: DataFrame, basket_cols: Sequence[str]) -> int:
+    """Tasks for the pairs of all baskets; 0 if the usual number will do."""
+    m = F.count(F.lit(1)).cast("double")
+    pairs = occ.groupBy(*basket_cols).agg((m * (m - 1) / 2).alias("_p")).agg(F.sum("_p")).first()[0] or 0.0
+    tasks = math.ceil(pairs / TASK_PAIRS)
+    return tasks if tasks > int(occ.sparkSession.conf.get("spark.sql.shuffle.partitions")) else 0
+
+
 def _basket_pairs(occ: DataFrame, basket_cols: Sequence[str], block: int | None = None) -> DataFrame:
     """``(*basket, item_a, item_b)`` for ``item_a < item_b`` in a basket.
 
@@ -125,17 +137,23 @@ def pair_support(items: DataFrame, basket_cols: Sequence[str], min_support: int,
     Up to ``buckets`` of them are counted at once. Beyond, pairs are hashed and counted by
     bucket first; only pairs of buckets that reach the support (``pair_bitmap``) are
     counted by name, so pairs that can't be frequent never reach the shuffle. Both
-    ways give the same rows.
+    ways give the same rows. There, tasks are as many as their pairs take
+    (``TASK_PAIRS``): what one holds does not grow with the table.
     """
     buckets = buckets or PAIR_BUCKETS
     if buckets < 64 or buckets & (buckets - 1):
         raise ValueError("buckets must be a power of two, at least 64")
     if freq_items is None:
         freq_items = item_support(items, min_support).persist()
-    pairs = _basket_pairs(_frequent_occurrences(items, freq_items), basket_cols)
+    occ = _frequent_occurrences(items, freq_items)
     f = freq_items.count()
-    if f * (f - 1) // 2 > buckets:
+    many = f * (f - 1) // 2 > buckets
+    tasks = _tasks(occ, basket_cols) if many else 0
+    pairs = _basket_pairs(occ.repartition(tasks, *basket_cols) if tasks else occ, basket_cols)
+    if many:
         pairs = _in_bitmap(pairs, pair_bitmap(pairs, min_support, buckets), buckets)
+        if tasks:
+            pairs = pairs.repartition(tasks, "item_a", "item_b")
     return (pairs.groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("n"))
             .filter(F.col("n") >= min_support))
 

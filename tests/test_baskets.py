@@ -57,3 +57,20 @@ def test_fpgrowth_agrees_with_apriori(spark):
     got = sorted((tuple(r["items"]), r["n"]) for r in B.frequent_itemsets(arrays, 2, 5).collect())
     assert got == [(("a",), 4), (("a", "b"), 3), (("a", "b", "c"), 2), (("a", "c"), 3),
                    (("b",), 4), (("b", "c"), 3), (("c",), 4)]
+
+
+def test_tasks_follow_the_pairs(spark, monkeypatch):
+    """Where pairs are many they are made and counted by as many tasks as they take."""
+    from collections import Counter
+    from itertools import combinations
+
+    baskets = {b: sorted({(b * 7 + i * i) % 40 for i in range(9)}) for b in range(60)}
+    items = spark.createDataFrame([(b, i) for b, own in baskets.items() for i in own], "b long, item long")
+    n = Counter(p for own in baskets.values() for p in combinations(own, 2))
+    monkeypatch.setattr(B, "TASK_PAIRS", 40)
+    tasks = -(-sum(n.values()) // 40)
+    assert tasks > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    got = B.pair_support(items, ["b"], 2, buckets=64)
+    assert {(r.item_a, r.item_b): r.n for r in got.collect()} == {p: k for p, k in n.items() if k > 1}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert f"RepartitionByExpression [item_a" in plan and f", {tasks}" in plan
